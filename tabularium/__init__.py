@@ -1 +1,8 @@
 """tabularium: lazy DataFrame operators for telemetry, listings and text work on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

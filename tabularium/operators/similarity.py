@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.functions.columns import squared_distance
+
 
 def keyed_dot(
     left: DataFrame,
@@ -25,3 +27,23 @@ def keyed_dot(
         .groupBy(*by)
         .agg(F.sum(F.col("_amount") * F.col("_price")).alias("dot"))
     )
+
+
+def nearest_rows(df: DataFrame, key: str, vector: str, probe, k: int = 5) -> DataFrame:
+    """The ``k`` rows with the smallest squared distance to the row whose key is ``probe``.
+
+    The probe (one row) becomes a literal, so the search is a scan with a bounded top-k.
+    """
+    row = df.filter(F.col(key) == probe).select(vector).first()
+    if row is None:
+        raise ValueError(f"no row with {key} = {probe}")
+    return nearest_to(df, vector, list(row[0]), key, k)
+
+
+def nearest_to(df: DataFrame, vector: str, point: list[float], key: str, k: int = 5) -> DataFrame:
+    target = F.array(*[F.lit(float(x)) for x in point])
+    return (
+        df.withColumn("distance", squared_distance(vector, target))
+        .orderBy("distance", key)
+        .limit(k)
+    )
