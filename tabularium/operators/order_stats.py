@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabularium.session import durable
+
 CUTS = 255
 
 
@@ -170,3 +172,30 @@ def quantiles(
             F.sort_array(F.collect_list(F.struct("i", value_at.alias("v")))), lambda s: s["v"]
         ).alias("q")
     )
+
+
+def global_row_number(df: DataFrame, order: list, name: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers in a total order, without one task seeing all rows.
+
+    A range-partitioned sort gives every row a partition and a position in it; the sorted rows
+    are checkpointed so that both stay fixed, and the sizes of the partitions (one row each) give
+    the offsets.
+    """
+    placed = durable(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.select(
+        "*",
+        F.shiftright("_id", 33).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
+    ).drop("_id")
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = sizes.select(
+        "_part",
+        (
+            F.sum("_size").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_size")
+        ).alias("_earlier"),
+    )
+    return (
+        placed.join(F.broadcast(earlier), "_part")
+        .withColumn(name, F.col("_earlier") + F.col("_pos") + F.lit(start))
+        .drop("_part", "_pos", "_earlier")
+    )

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.functions.columns import squared_distance
+from tabularium.functions.columns import cosine, indicator, squared_distance
+
+FREQUENT_TOKENS = 10_000
 
 
 def keyed_dot(
@@ -47,3 +51,138 @@ def nearest_to(df: DataFrame, vector: str, point: list[float], key: str, k: int
         .orderBy("distance", key)
         .limit(k)
     )
+
+
+def cosine_to(df: DataFrame, key: str, vector: str, probe) -> DataFrame:
+    """Cosine of every row's vector with the vector of the row whose key is ``probe``."""
+    row = df.filter(F.col(key) == probe).select(vector).first()
+    if row is None:
+        raise ValueError(f"no row with {key} = {probe}")
+    target = F.array(*[F.lit(float(x)) for x in row[0]])
+    return df.withColumn("cosine", cosine(vector, target))
+
+
+def distinct_sets(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """Rows with equal token sets collapsed: ``(set_id, tokens, size, copies)``.
+
+    ``set_id`` is the smallest key of the copies. However many copies there are, each task sends
+    one row per set.
+    """
+    ordered = df.select(key, F.array_sort(F.array_distinct(tokens)).alias("tokens"))
+    signed = ordered.withColumn("_sig", F.sha2(F.array_join("tokens", "\u001f"), 256))
+    return (
+        signed.groupBy("_sig")
+        .agg(
+            F.min(key).alias("set_id"),
+            F.min_by("tokens", key).alias("tokens"),
+            F.count(F.lit(1)).alias("copies"),
+        )
+        .select("set_id", "tokens", F.size("tokens").alias("size"), "copies")
+    )
+
+
+def set_members(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """Which set every row belongs to: ``(key, set_id)``."""
+    signed = df.select(
+        key,
+        F.sha2(F.array_join(F.array_sort(F.array_distinct(tokens)), "\u001f"), 256).alias("_sig"),
+    )
+    first = signed.groupBy("_sig").agg(F.min(key).alias("set_id"))
+    return signed.join(first, "_sig").select(key, "set_id")
+
+
+def cosine_pairs(
+    sets: DataFrame, min_cosine: float, frequent: int = FREQUENT_TOKENS
+) -> DataFrame:
+    """Every pair of distinct token sets whose cosine |A & B| / sqrt(|A| |B|) reaches the bound.
+
+    Prefix filtering, exact for any positive bound: two sets that reach it share at least
+    bound^2 * |A| tokens, so they must share one of the first |A| - ceil(bound^2 * |A|) + 1 tokens
+    of A in any common order. Rare tokens come first in that order, which keeps common tokens out
+    of the join; sizes must be within a factor bound^2, which the join key checks in size bands.
+    """
+    if not 0.0 < min_cosine <= 1.0:
+        raise ValueError("the bound must be in (0, 1]")
+    share = min_cosine * min_cosine
+    exploded = sets.select("set_id", "size", F.explode("tokens").alias("token"))
+    common = (
+        exploded.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .orderBy(F.col("df").desc(), "token")
+        .limit(frequent)
+    )
+    # At most ``frequent`` rows, so the broadcast has a fixed bound; other tokens rank as rare.
+    ranked = exploded.join(F.broadcast(common), "token", "left").groupBy("set_id", "size").agg(
+        F.sort_array(
+            F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))
+        ).alias("ordered")
+    )
+    # The tiny slack keeps rounding from shortening a prefix.
+    needed = F.ceil(F.col("size") * share - 1e-9)
+    prefix = F.slice("ordered", 1, (F.col("size") - needed + 1).cast("int"))
+    step = -math.log(share) if share < 1.0 else 1.0
+    band = F.floor(F.ln("size") / F.lit(step)).cast("int") if share < 1.0 else F.col("size")
+    keyed = ranked.select(
+        "set_id", "size", band.alias("band"), F.explode(F.transform(prefix, lambda s: s["token"])).alias("token")
+    )
+    reach = [0, 1] if share < 1.0 else [0]
+    small = keyed.select(
+        F.col("set_id").alias("a"),
+        F.col("size").alias("size_a"),
+        "token",
+        F.explode(F.array(*[F.col("band") + F.lit(r) for r in reach])).alias("band"),
+    )
+    large = keyed.select(
+        F.col("set_id").alias("b"), F.col("size").alias("size_b"), "token", "band"
+    )
+    later = (F.col("size_a") < F.col("size_b")) | (
+        (F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b"))
+    )
+    candidates = (
+        small.join(large, ["token", "band"])
+        .filter(later & (F.col("size_a") >= F.col("size_b") * share - 1e-9))
+        .select("a", "b")
+        .distinct()
+    )
+    left = sets.select(
+        F.col("set_id").alias("a"), F.col("tokens").alias("ta"), F.col("copies").alias("ca")
+    )
+    right = sets.select(
+        F.col("set_id").alias("b"), F.col("tokens").alias("tb"), F.col("copies").alias("cb")
+    )
+    shared = F.size(F.array_intersect("ta", "tb"))
+    matched = (
+        candidates.join(left, "a")
+        .join(right, "b")
+        .select(
+            "a",
+            "b",
+            "ca",
+            "cb",
+            shared.alias("shared"),
+            (F.size("ta") + F.size("tb") - shared).alias("united"),
+            (shared / F.sqrt(F.size("ta").cast("double") * F.size("tb"))).alias("cosine"),
+        )
+        .filter(F.col("cosine") >= min_cosine)
+    )
+    swap = F.col("a") > F.col("b")
+    return matched.select(
+        F.least("a", "b").alias("set_a"),
+        F.greatest("a", "b").alias("set_b"),
+        F.when(swap, F.col("cb")).otherwise(F.col("ca")).alias("copies_a"),
+        F.when(swap, F.col("ca")).otherwise(F.col("cb")).alias("copies_b"),
+        "shared",
+        "united",
+        "cosine",
+    )
+
+
+def set_pair_vectors(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """Union of two token sets and their 0/1 vectors over it, with the cosine of the vectors."""
+    union = F.array_union(left, right)
+    return (
+        pairs.withColumn("union", union)
+        .withColumn("vector_a", indicator("union", left))
+        .withColumn("vector_b", indicator("union", right))
+        .withColumn("cosine", F.round(cosine("vector_a", "vector_b"), 3))
+    )

@@ -1,2 +1,267 @@
-QUERIES = {}
-SQL = {}
+"""Comment, vocabulary, classifier and page queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabularium.functions import text as tx
+from tabularium.functions.columns import as_wall_clock
+from tabularium.operators import similarity, splits
+from tabularium.operators import text as ops
+from tabularium.plans.common import with_ctes
+from tabularium.session import new_folder
+from tabularium.sources import shapes
+from tabularium.sources import text as io
+from tabularium.streaming import scoring
+from tabularium.streaming.usage import batch_folder_writer, write_stream_batches
+
+MIN_COSINE = 0.8
+VECTOR_SIZE = 50
+
+
+def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.clean_comments(shapes.comments(spark, sf))
+
+
+def clean_comments(spark: SparkSession, sf: str) -> DataFrame:
+    df = _cleaned(spark, sf)
+    return df.select("doc_id", "text", "label", tx.training_line("text", "label").alias("line"))
+
+
+def bucket_split(spark: SparkSession, sf: str) -> DataFrame:
+    df = splits.comment_splits(shapes.table(spark, sf, "documents"), "doc_id")
+    return splits.with_split(
+        df, "doc_id", {"first": 70, "second": 30}, "pair", "half"
+    ).select("doc_id", "split", "half")
+
+
+def text_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned lines written per split as text shards, read back as labelled parts, counted."""
+    root = new_folder(spark, "shards")
+    split = splits.comment_splits(_cleaned(spark, sf), "doc_id")
+    lines = split.select(tx.training_line("text", "label").alias("value"), "split")
+    lines.write.partitionBy("split").text(root)
+    parts = [
+        io.read_labelled_parts(spark, f"{root}/split={name}").withColumn("split", F.lit(name))
+        for name in ("train", "eval", "test")
+    ]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return whole.groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")
+    )
+
+
+def token_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.vocabulary(_cleaned(spark, sf))
+
+
+def padded_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    df = _cleaned(spark, sf)
+    out = ops.padded_sequences(df, ops.vocabulary(df), "doc_id")
+    return out.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
+
+
+def label_index(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.label_index(_cleaned(spark, sf).select("doc_id", "label"), "label")
+
+
+def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors aligned to the vocabulary, zeros for words below the minimum count."""
+    df = _cleaned(spark, sf)
+    model = ops.fit_word_vectors(df, size=VECTOR_SIZE)
+    return ops.embedding_table(ops.vocabulary(df), model.getVectors(), VECTOR_SIZE)
+
+
+def _model_and_rest(spark: SparkSession, sf: str):
+    df = splits.comment_splits(_cleaned(spark, sf), "doc_id")
+    model = ops.fit_classifier(df.filter(F.col("split") == "train"))
+    return model, df.filter(F.col("split") != "train")
+
+
+def text_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    model, rest = _model_and_rest(spark, sf)
+    return ops.evaluate_classifier(model, rest.filter(F.col("split") == "eval"))
+
+
+def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents cleaned, scored and written as JSON lines, then read back."""
+    model, _ = _model_and_rest(spark, sf)
+    documents = shapes.table(spark, sf, "documents").select(
+        tx.clean_text("text").alias("text")
+    )
+    root = new_folder(spark, "predictions")
+    io.write_json_lines(ops.score(model, documents), root)
+    return spark.read.schema("text string, label string, score double").json(root)
+
+
+def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a message stream, one per second of event time."""
+    schema = shapes.table(spark, sf, "documents").schema
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    )
+    return stream.select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")).alias("timestamp"),
+        F.encode("text", "UTF-8").alias("value"),
+    )
+
+
+def stream_scored_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages per 15 second window, and how many had no usable text."""
+    model, _ = _model_and_rest(spark, sf)
+    root = new_folder(spark, "scored")
+    scored = scoring.score_messages(_message_stream(spark, sf), model)
+    topic = scoring.to_topic(scored)
+    write_stream_batches(
+        topic, batch_folder_writer(f"{root}/data"), f"{root}/state"
+    ).awaitTermination()
+    fields = "text string, label string, score double, window_start timestamp"
+    back = spark.read.parquet(f"{root}/data").select(
+        F.from_json(F.decode("value", "UTF-8"), fields).alias("m")
+    )
+    return (
+        back.groupBy(as_wall_clock("m.window_start").alias("window_start"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("m.label") == tx.UNDEFINED).alias("undefined"),
+            F.sum(F.length("m.text")).alias("chars"),
+        )
+    )
+
+
+def page_text(spark: SparkSession, sf: str) -> DataFrame:
+    return shapes.table(spark, sf, "pages").select(
+        "page_id", "url", tx.html_text("html").alias("text")
+    )
+
+
+def _page_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return page_text(spark, sf).select("page_id", tx.token_set("text").alias("tokens"))
+
+
+def page_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return page_text(spark, sf).select(
+        "page_id",
+        F.size(tx.tokens("text")).alias("n_tokens"),
+        F.size(tx.token_set("text")).alias("n_distinct"),
+        F.size(tx.token_set("text", strip_punct=True)).alias("n_stripped"),
+    )
+
+
+def page_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    sets = similarity.distinct_sets(_page_sets(spark, sf), "page_id", "tokens")
+    pairs = similarity.cosine_pairs(sets, MIN_COSINE)
+    return pairs.select(
+        "set_a", "set_b", "copies_a", "copies_b", "shared", "united",
+        F.round("cosine", 3).alias("cosine"),
+    )
+
+
+def page_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return similarity.set_members(_page_sets(spark, sf), "page_id", "tokens")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        clean_comments,
+        bucket_split,
+        text_shards,
+        token_vocab,
+        padded_sequences,
+        label_index,
+        word_vectors,
+        text_classifier,
+        batch_scoring,
+        stream_scored_windows,
+        page_text,
+        page_tokens,
+        page_cosine_pairs,
+        page_copies,
+    )
+}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _tokens_sql(column: str) -> str:
+    words = ", ".join(_quoted(w) for w in tx.STOP_WORDS)
+    plain = f"regexp_replace(lower({column}), {_quoted(tx.COMMENT_NOISE)}, ' ', 'g')"
+    return (
+        f"list_filter(string_split({plain}, ' '), lambda t: t <> '' AND t NOT IN ({words}))"
+    )
+
+
+_CLEANED = f"""cleaned AS (SELECT doc_id, array_to_string({_tokens_sql('text')}, ' ') AS text,
+    CASE WHEN toxic = 1 THEN 'TROLL' ELSE 'NO_TROLL' END AS label
+  FROM documents JOIN labels USING (doc_id))"""
+
+
+def _bucket(salt: str) -> str:
+    return f"CAST('0x' || substr(md5('{salt}' || doc_id), 1, 8) AS BIGINT) % 100"
+
+
+_SPLIT = f"""CASE WHEN {_bucket('test')} < 25 THEN 'test' WHEN {_bucket('eval')} < 20 THEN 'eval'
+  ELSE 'train' END"""
+
+_VOCAB = """words AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
+    generate_subscripts(string_split(text, ' '), 1) AS pos FROM cleaned),
+counts AS (SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1),
+vocab AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS index FROM counts)"""
+
+_PAGES = f"""plain AS (SELECT page_id, url, regexp_replace(regexp_replace(html,
+    {_quoted(tx.HIDDEN)}, '', 'g'), {_quoted(tx.TAGS)}, '', 'g') AS t FROM pages),
+texts AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(replace(replace(t,
+    '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+    '&amp;', '&'), {_quoted(tx.SPACES)}, ' ', 'g') AS text FROM plain)"""
+
+_SETS = """bags AS (SELECT page_id, list_sort(list_distinct(string_split(lower(text), ' '))) AS tokens
+  FROM texts),
+sets AS (SELECT min(page_id) AS set_id, tokens, count(*) AS copies FROM bags GROUP BY tokens)"""
+
+SQL = {
+    "clean_comments": with_ctes(_CLEANED)
+    + "SELECT doc_id, text, label, text || ', ' || label AS line FROM cleaned",
+    "bucket_split": f"""SELECT doc_id, {_SPLIT} AS split,
+  CASE WHEN {_bucket('pair')} < 70 THEN 'first' ELSE 'second' END AS half FROM documents""",
+    "text_shards": with_ctes(_CLEANED)
+    + f"""SELECT {_SPLIT} AS split, label, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars
+FROM cleaned WHERE text <> '' GROUP BY ALL""",
+    "token_vocab": with_ctes(_CLEANED, _VOCAB) + "SELECT word, n, index FROM vocab",
+    "padded_sequences": with_ctes(
+        _CLEANED,
+        _VOCAB,
+        """seqs AS (SELECT doc_id, list(index ORDER BY pos) AS s FROM words
+  JOIN vocab USING (word) GROUP BY 1),
+padded AS (SELECT c.doc_id, list_concat(list_transform(range(300), lambda x: 0::BIGINT),
+    coalesce(s, [])) AS s FROM cleaned c LEFT JOIN seqs USING (doc_id))""",
+    )
+    + "SELECT doc_id, array_to_string(s[len(s) - 299:], ' ') AS sequence FROM padded",
+    "label_index": with_ctes(_CLEANED)
+    + """SELECT doc_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_index
+FROM cleaned""",
+    "stream_scored_windows": f"""SELECT
+  time_bucket(INTERVAL 15 SECOND, make_timestamp((1704067200 + doc_id) * 1000000)) AS window_start,
+  count(*) AS n, count(*) FILTER (len({_tokens_sql('text')}) = 0) AS undefined,
+  CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1""",
+    "page_text": with_ctes(_PAGES) + "SELECT page_id, url, text FROM texts",
+    "page_tokens": with_ctes(_PAGES)
+    + f"""SELECT page_id, CAST(len(string_split(lower(text), ' ')) AS INTEGER) AS n_tokens,
+  CAST(len(list_distinct(string_split(lower(text), ' '))) AS INTEGER) AS n_distinct,
+  CAST(len(list_distinct(string_split(translate(lower(text), {_quoted(tx.PUNCTUATION)}, ''), ' ')))
+    AS INTEGER) AS n_stripped FROM texts""",
+    "page_cosine_pairs": with_ctes(_PAGES, _SETS)
+    + f"""SELECT a.set_id AS set_a, b.set_id AS set_b, a.copies AS copies_a, b.copies AS copies_b,
+  CAST(len(list_intersect(a.tokens, b.tokens)) AS INTEGER) AS shared,
+  CAST(len(a.tokens) + len(b.tokens) - len(list_intersect(a.tokens, b.tokens)) AS INTEGER) AS united,
+  round(len(list_intersect(a.tokens, b.tokens)) / sqrt(len(a.tokens)::DOUBLE * len(b.tokens)), 3)
+    AS cosine
+FROM sets a JOIN sets b ON a.set_id < b.set_id
+WHERE len(list_intersect(a.tokens, b.tokens)) / sqrt(len(a.tokens)::DOUBLE * len(b.tokens))
+  >= {MIN_COSINE}::DOUBLE""",
+    "page_copies": with_ctes(_PAGES, _SETS)
+    + "SELECT page_id, set_id FROM bags JOIN sets ON bags.tokens = sets.tokens",
+}
