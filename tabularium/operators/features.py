@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.operators.groups import melt, modes
@@ -148,8 +148,9 @@ def feature_scores(
     scores = f_scores(df, features, target).join(
         mutual_information(df, features, target, bins), "feature"
     )
-    top_f = scores.select(F.max("f")).scalar()
-    top_mi = scores.select(F.max("mi")).scalar()
+    every = Window.partitionBy(F.lit(0))  # one row per feature
     return scores.select(
-        "feature", (F.col("f") / top_f).alias("f"), (F.col("mi") / top_mi).alias("mi")
+        "feature",
+        (F.col("f") / F.max("f").over(every)).alias("f"),
+        (F.col("mi") / F.max("mi").over(every)).alias("mi"),
     ).withColumn("keep", F.col("mi") > keep_above)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions.columns import bucket_of
+from tabularium.operators.groups import cumulative_share
 
 
 def assemble(df: DataFrame, features: list[str], name: str = "features") -> DataFrame:
@@ -101,14 +102,11 @@ def pca_scores(model: PipelineModel, df: DataFrame, column: str, name: str = "sc
 
 
 def pca_shares(spark, model: PipelineModel, dimensions: int) -> DataFrame:
-    """Eigenvalue, share and running share per component (the variances add up to d)."""
+    """Eigenvalue, share and running share per component of a full decomposition."""
     shares = model.stages[-1].explainedVariance.toArray()
-    rows = [
-        (i + 1, float(s * dimensions), float(s), float(c))
-        for i, (s, c) in enumerate(zip(shares, np.cumsum(shares)))
-    ]
-    return spark.createDataFrame(
-        rows, "component int, eigenvalue double, share double, running_share double"
+    rows = [(i + 1, float(s * dimensions)) for i, s in enumerate(shares)]
+    return cumulative_share(
+        spark.createDataFrame(rows, "component int, eigenvalue double"), "component", "eigenvalue"
     )
 
 

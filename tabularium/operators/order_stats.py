@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabularium.session import durable
 
-CUTS = 255
+CUTS = 1023
 
 
 def cut_points(df: DataFrame, value: str, cuts: int = CUTS) -> list[float]:
@@ -41,7 +41,7 @@ def value_counts_bucketed(df: DataFrame, groups: list[str], value: str) -> DataF
 
 
 def _offsets(counted: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows of a group in earlier buckets, and in the whole group; at most 256 rows per group."""
+    """Rows of a group in earlier buckets, and in the whole group; at most CUTS + 1 rows per group."""
     totals = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_in_bucket"))
     ordered = Window.partitionBy(*groups).orderBy("_bucket")
     return totals.select(
@@ -81,7 +81,7 @@ def mid_ranks(df: DataFrame, value: str, carry: list[str] | None = None) -> Data
     counted = value_counts_bucketed(df, carry, value)
     pooled = counted.groupBy("_bucket", "value").agg(F.sum("n").alias("ties"))
     totals = pooled.groupBy("_bucket").agg(F.sum("ties").alias("_in_bucket"))
-    # At most 256 rows in total, so one ordered task for them is fine.
+    # At most CUTS + 1 rows in total, so one ordered task for them is fine.
     earlier = totals.select(
         "_bucket",
         (
@@ -143,9 +143,10 @@ def quantiles(
     first = F.col("_earlier") + F.col("_here")
     last = first + F.col("n") - 1
     low, high = F.floor("w.at"), F.ceil("w.at")
+    # The join comes first: it drops all other buckets before anything is sorted.
     picked = (
-        counted.withColumn("_here", F.sum("n").over(inside) - F.col("n"))
-        .join(wanted, keys)
+        counted.join(wanted, keys)
+        .withColumn("_here", F.sum("n").over(inside) - F.col("n"))
         .select(
             *groups,
             "value",

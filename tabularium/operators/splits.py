@@ -38,23 +38,30 @@ def sample_and_rest(df: DataFrame, key: str, percent: int, salt: str = ""):
 
 
 def fixed_group_sample(
-    df: DataFrame, group: str, key: str, size: int, slices: int = 64
+    df: DataFrame, group: str, key: str, size: int, hex_digits: int = 4
 ) -> DataFrame:
     """Exactly ``size`` rows per group (all of a smaller group): the lowest md5 of the key.
 
-    A first cut inside ``slices`` hash slices of a group leaves at most ``slices * size`` rows of
-    it for the final cut, so a group of any size is spread over many tasks.
+    A histogram of the first digits of the md5 tells up to which prefix the wanted rows of a
+    group reach. Only rows up to that prefix are ordered, about ``size`` plus 1 / 16^hex_digits of
+    the group, so the size of a group does not decide the size of a task.
     """
-    tagged = df.withColumn("_order", F.md5(F.col(key))).withColumn(
-        "_slice", F.pmod(F.xxhash64(key), F.lit(slices))
+    tagged = df.withColumn("_order", F.md5(F.col(key).cast("string"))).withColumn(
+        "_prefix", F.substring("_order", 1, hex_digits)
     )
-    order = [F.col("_order"), F.col(key)]
-    local = Window.partitionBy(group, "_slice").orderBy(*order)
-    whole = Window.partitionBy(group).orderBy(*order)
+    histogram = tagged.groupBy(group, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(group).orderBy("_prefix")
+    reach = (
+        histogram.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
+        .filter(F.col("_before") < size)
+        .groupBy(group)
+        .agg(F.max("_prefix").alias("_last"))
+    )
+    whole = Window.partitionBy(group).orderBy("_order", key)
     return (
-        tagged.withColumn("_rank", F.row_number().over(local))
-        .filter(F.col("_rank") <= size)
+        tagged.join(reach, group)
+        .filter(F.col("_prefix") <= F.col("_last"))
         .withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= size)
-        .drop("_rank", "_slice", "_order")
+        .drop("_rank", "_prefix", "_order", "_last")
     )

@@ -118,6 +118,10 @@ def pca_shares(spark: SparkSession, sf: str) -> DataFrame:
     return models.pca_shares(spark, model, DIMENSIONS)
 
 
+def pca_loadings(spark: SparkSession, sf: str) -> DataFrame:
+    return models.pca_loadings(spark, models.fit_pca(shapes.vectors(spark, sf), "vector", 10))
+
+
 def pca_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """The five rows nearest to vector 7 in the space of the first ten components."""
     df = shapes.vectors(spark, sf)
@@ -160,6 +164,7 @@ QUERIES = {
         importances,
         group_clusters,
         pca_shares,
+        pca_loadings,
         pca_neighbours,
         vector_neighbours,
         svd_lowrank,

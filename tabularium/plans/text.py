@@ -136,6 +136,14 @@ def page_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Text per site page address without its query and fragment, the latest page wins."""
+    pages = shapes.table(spark, sf, "pages").withColumn(
+        "url", F.regexp_replace("url", "[?#].*$", "")
+    )
+    return io.pages_to_content(pages)
+
+
 def _page_sets(spark: SparkSession, sf: str) -> DataFrame:
     return page_text(spark, sf).select("page_id", tx.token_set("text").alias("tokens"))
 
@@ -176,6 +184,7 @@ QUERIES = {
         batch_scoring,
         stream_scored_windows,
         page_text,
+        page_content,
         page_tokens,
         page_cosine_pairs,
         page_copies,
@@ -248,6 +257,9 @@ FROM cleaned""",
   count(*) AS n, count(*) FILTER (len({_tokens_sql('text')}) = 0) AS undefined,
   CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1""",
     "page_text": with_ctes(_PAGES) + "SELECT page_id, url, text FROM texts",
+    "page_content": with_ctes(_PAGES)
+    + """SELECT url, arg_max(text, page_id) AS text
+FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url, text FROM texts) GROUP BY 1""",
     "page_tokens": with_ctes(_PAGES)
     + f"""SELECT page_id, CAST(len(string_split(lower(text), ' ')) AS INTEGER) AS n_tokens,
   CAST(len(list_distinct(string_split(lower(text), ' '))) AS INTEGER) AS n_distinct,

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabularium.functions.text import html_text
+
 # The nested layout of a chat comment line.
 COMMENT = T.StructType(
     [
@@ -107,3 +109,9 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Feature collection documents -> one row per feature."""
     documents = spark.read.schema(FEATURE_COLLECTION).option("multiLine", True).json(path)
     return documents.select(F.explode("features").alias("f")).select("f.properties.*")
+
+
+def pages_to_content(pages: DataFrame, url: str = "url", html: str = "html", order: str = "page_id"):
+    """One ``(url, text)`` row per address; the page with the highest ``order`` wins."""
+    latest = pages.groupBy(url).agg(F.max_by(html, order).alias(html))
+    return latest.select(url, html_text(html).alias("text"))
