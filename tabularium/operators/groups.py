@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import scale01
-from tabularium.operators.order_stats import quantiles
+from tabularium.session import durable
+from tabularium.operators.order_stats import join_groups, quantiles
 
 
 def value_counts(df: DataFrame, column: str, with_nulls: bool = True) -> DataFrame:
@@ -188,7 +189,7 @@ def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> Da
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     return (
-        counted.join(q, group)
+        join_groups(counted, q, [group])
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_lo"),
@@ -209,7 +210,7 @@ def bandwidths(df: DataFrame, group: str, value: str) -> DataFrame:
     )
     iqr = (F.col("q")[1] - F.col("q")[0]) / 1.34
     narrow = F.when(F.least("sd", iqr) > 0, F.least("sd", iqr)).otherwise(F.col("sd"))
-    return moments.join(spread, group).select(
+    return join_groups(moments, spread, [group]).select(
         group, "n", "low", "high", (F.lit(0.9) * narrow * F.pow("n", F.lit(-0.2))).alias("bw")
     )
 
@@ -221,7 +222,8 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
     estimate), so the pass over the rows ends in at most ``points`` weights per group and only
     those weights meet the grid.
     """
-    bw = bandwidths(df, group, value).filter("bw > 0")
+    # One row per group, used for the rows and again for the grid: written once.
+    bw = durable(bandwidths(df, group, value).filter("bw > 0"))
     start = F.col("low") - cut * F.col("bw")
     step = (F.col("high") - F.col("low") + 2 * cut * F.col("bw")) / (points - 1)
     scale = bw.select(group, "n", "bw", start.alias("start"), step.alias("step"))
@@ -230,7 +232,7 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
     shared = (
         df.select(group, F.col(value).cast("double").alias("v"))
         .filter("v IS NOT NULL")
-        .join(scale, group)
+        .transform(lambda d: join_groups(d, scale, [group]))
         .select(
             group,
             F.inline(
@@ -252,7 +254,7 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
         * F.exp(-0.5 * F.pow((F.col("i") - s["j"]) * F.col("step") / F.col("bw"), F.lit(2.0))),
     )
     return (
-        weights.join(scale, group)
+        join_groups(weights, scale, [group])
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
         .select(
             group,

@@ -1,4 +1,8 @@
-"""Hypothesis tests computed from group aggregates."""
+"""Hypothesis tests computed from group aggregates.
+
+The table of group aggregates (one row per group) is checkpointed before totals are taken over it,
+so the rows themselves are read once.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 from tabularium.functions import distributions as dist
 from tabularium.operators.groups import proportion
 from tabularium.operators.order_stats import mid_ranks
+from tabularium.session import durable
 
 
 def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -27,7 +32,7 @@ def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way analysis of variance: ``(df_between, df_within, ss_between, ss_within, f, p)``."""
-    stats = group_moments(df, group, value)
+    stats = durable(group_moments(df, group, value))
     grand = stats.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("g")).scalar()
     sums = stats.agg(
         (F.count(F.lit(1)) - 1).alias("df_between"),
@@ -45,10 +50,12 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rank test with tie correction: ``(df, h, p)``."""
     ranked = mid_ranks(df, value, [group])
     ties = F.col("ties").cast("double")
-    per_group = ranked.groupBy(group).agg(
-        F.sum("n").cast("double").alias("n"),
-        F.sum(F.col("n") * F.col("rank")).alias("rank_sum"),
-        F.sum(F.col("n") * (ties * ties - 1.0)).alias("tie_part"),
+    per_group = durable(
+        ranked.groupBy(group).agg(
+            F.sum("n").cast("double").alias("n"),
+            F.sum(F.col("n") * F.col("rank")).alias("rank_sum"),
+            F.sum(F.col("n") * (ties * ties - 1.0)).alias("tie_part"),
+        )
     )
     total = per_group.agg(F.sum("n").alias("N")).scalar()
     gap = F.col("rank_sum") / F.col("n") - (total + 1.0) / 2.0
@@ -66,12 +73,16 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def tukey_pairs(df: DataFrame, group: str, value: str, level: float = 0.95) -> DataFrame:
-    """All pairs of groups: difference of means, interval and adjusted p-value.
+    """All pairs of groups: difference of means, interval and adjusted p-value."""
+    return _pairs_of(durable(group_moments(df, group, value)), group, level)
+
+
+def _pairs_of(stats: DataFrame, group: str, level: float) -> DataFrame:
+    """Tukey comparisons from the group moments.
 
     The pairing works on the table of group moments (one row per group): every group lists the
     numbers of its partners and meets them in an equi-join.
     """
-    stats = group_moments(df, group, value)
     pooled = stats.agg(
         F.count(F.lit(1)).cast("double").alias("k"),
         (F.sum("n") - F.count(F.lit(1))).cast("double").alias("dof"),
@@ -123,7 +134,8 @@ def tukey_pairs(df: DataFrame, group: str, value: str, level: float = 0.95) -> D
 
 def group_similarity(df: DataFrame, group: str, value: str) -> DataFrame:
     """Adjusted p-values as a symmetric matrix in long form, 1 on the diagonal, with 1 - p."""
-    pairs = tukey_pairs(df, group, value).select(
+    stats = durable(group_moments(df, group, value))
+    pairs = _pairs_of(stats, group, 0.95).select(
         "group_a", "group_b", F.round("p_adj", 4).alias("value")
     )
     both = pairs.select(
@@ -136,8 +148,7 @@ def group_similarity(df: DataFrame, group: str, value: str) -> DataFrame:
             )
         )
     )
-    known = df.filter(F.col(value).isNotNull()).select(group).distinct()
-    diagonal = known.select(
+    diagonal = stats.select(
         F.col(group).alias("group_a"), F.col(group).alias("group_b"), F.lit(1.0).alias("value")
     )
     return both.unionByName(diagonal).withColumn("distance", 1.0 - F.col("value"))

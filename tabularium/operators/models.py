@@ -182,22 +182,10 @@ def compression_ratio(rows: int, columns: int, k: int) -> float:
 def cluster_groups(
     df: DataFrame, group: str, value: str, k: int = 3, seed: int = 0
 ) -> DataFrame:
-    """Groups clustered on their mean and spread; ``(group, cluster)`` ordered by cluster mean."""
-    stats = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(group)
-        .agg(
-            F.avg(value).alias("mean"),
-            F.coalesce(F.stddev(value), F.lit(0.0)).alias("sd"),
-        )
-    )
-    table = assemble(stats, ["mean", "sd"], "raw")
-    model = Pipeline(
-        stages=[
-            StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features"),
-            BisectingKMeans(k=k, seed=seed, maxIter=30),
-        ]
-    ).fit(table)
+    """Groups clustered on their mean; ``(group, cluster)``, clusters numbered by their centre."""
+    stats = df.filter(F.col(value).isNotNull()).groupBy(group).agg(F.avg(value).alias("mean"))
+    table = assemble(stats, ["mean"])
+    model = BisectingKMeans(k=k, seed=seed, maxIter=30).fit(table)
     assigned = model.transform(table).select(group, "mean", F.col("prediction").alias("found"))
     order = (
         assigned.groupBy("found")

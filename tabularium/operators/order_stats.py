@@ -14,22 +14,35 @@ from pyspark.sql import functions as F
 
 from tabularium.session import durable
 
-CUTS = 1023
+CUTS = 511
 
 
 def cut_points(df: DataFrame, value: str, cuts: int = CUTS) -> list[float]:
     """At most ``cuts`` inner cut points; one aggregation, a fixed-size answer."""
-    shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 10_000).alias("q"))
+    shares = ", ".join(f"{(i + 1) / (cuts + 1)!r}D" for i in range(cuts))
+    found = df.select(F.col(value).cast("double").alias("_v")).agg(
+        F.expr(f"percentile_approx(_v, array({shares}), 10000)").alias("q")
+    )
     return sorted({float(v) for v in (found.first()["q"] or [])})
 
 
 def bucketed(df: DataFrame, value: str, points: list[float], name: str = "_bucket") -> DataFrame:
     """Adds the index of the half-open interval between cut points that holds the value."""
-    splits = [-float("inf"), *points, float("inf")]
+    splits = [-float("inf"), *(points or [0.0]), float("inf")]
     exact = df.withColumn("_as_double", F.col(value).cast("double"))
-    tagged = Bucketizer(splits=splits, inputCol="_as_double", outputCol=name).transform(exact)
-    return tagged.withColumn(name, F.col(name).cast("int")).drop("_as_double")
+    tagged = Bucketizer(
+        splits=splits, inputCol="_as_double", outputCol=name, handleInvalid="keep"
+    ).transform(exact)
+    # Never NULL, so that joins on it add no NULL test that would keep scans from being shared.
+    return tagged.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(0))).drop("_as_double")
+
+
+def join_groups(left: DataFrame, right: DataFrame, groups: list[str], exact: list[str] = ()):
+    """Inner join that also matches NULL groups; ``exact`` columns are known to hold no NULL."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in [*groups, *exact]})
+    match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in groups]
+    match += [F.col(k) == F.col(f"_r_{k}") for k in exact]
+    return left.join(renamed, match).drop(*[f"_r_{k}" for k in [*groups, *exact]])
 
 
 def value_counts_bucketed(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -57,10 +70,9 @@ def running_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """``(groups, value, n, before, group_n)``: how many rows of the group come before a value."""
     counted = value_counts_bucketed(df, groups, value)
     inside = Window.partitionBy(*groups, "_bucket").orderBy("value")
-    keys = [*groups, "_bucket"]
     return (
         counted.withColumn("_here", F.sum("n").over(inside) - F.col("n"))
-        .join(_offsets(counted, groups), keys)
+        .transform(lambda d: join_groups(d, _offsets(counted, groups), groups, ["_bucket"]))
         .select(
             *groups,
             "value",
@@ -145,7 +157,7 @@ def quantiles(
     low, high = F.floor("w.at"), F.ceil("w.at")
     # The join comes first: it drops all other buckets before anything is sorted.
     picked = (
-        counted.join(wanted, keys)
+        join_groups(counted, wanted, groups, ["_bucket"])
         .withColumn("_here", F.sum("n").over(inside) - F.col("n"))
         .select(
             *groups,
