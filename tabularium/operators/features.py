@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabularium.operators.groups import melt, modes
 from tabularium.operators.order_stats import quantiles
+from tabularium.session import stored
 
 
 @dataclass
@@ -37,8 +38,8 @@ def fill_from_prediction(df: DataFrame, column: str, prediction: Column | str) -
 
 
 def fit_target_means(train: DataFrame, column: str, target: str) -> DataFrame:
-    """The mapping ``(column, encoded)`` kept for later frames."""
-    return (
+    """The mapping ``(column, encoded)``, stored for later frames."""
+    return stored(
         train.filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.avg(target).alias("encoded"))

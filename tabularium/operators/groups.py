@@ -1,4 +1,8 @@
-"""Group statistics, ranked groups, histograms and densities."""
+"""Group statistics, ranked groups, histograms and densities.
+
+Where a group aggregate goes back to the rows, it is stored first: its measured size lets Spark
+broadcast it and leave the rows in place, or shuffle both sides when there are too many groups.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import scale01
-from tabularium.session import durable
+from tabularium.session import stored
 from tabularium.operators.order_stats import join_groups, quantiles
 
 
@@ -56,26 +60,22 @@ def top_dense_groups(
 
 
 def drop_allnull_groups(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Rows of the groups in which ``value`` is known at least once.
-
-    A semi join with the group aggregate: the aggregate shuffles one row per group and task, and
-    the rows themselves stay where they are while the group list is small enough to broadcast.
-    """
+    """Rows of the groups in which ``value`` is known at least once."""
     known = df.groupBy(group).agg(F.count(value).alias("_known")).filter("_known > 0")
-    return df.join(known.select(group), group, "left_semi")
+    return df.join(stored(known.select(group)), group, "left_semi")
 
 
 def drop_rare_groups(df: DataFrame, group: str, min_rows: int) -> DataFrame:
     """Rows of the groups with at least ``min_rows`` rows."""
     kept = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    return df.join(kept.select(group), group, "left_semi")
+    return df.join(stored(kept.select(group)), group, "left_semi")
 
 
 def with_group_count(df: DataFrame, group: str, name: str = "group_n") -> DataFrame:
     """The size of the own group as a column; a join with the counts, so that no task has to
     hold the rows of a large group."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, group)
+    return join_groups(df, stored(counts), [group])
 
 
 def modes(df: DataFrame, groups: list[str], column: str) -> DataFrame:
@@ -91,7 +91,7 @@ def modes(df: DataFrame, groups: list[str], column: str) -> DataFrame:
 
 
 def fill_group_mode(df: DataFrame, group: str, column: str) -> DataFrame:
-    mode = modes(df, [group], column)
+    mode = stored(modes(df, [group], column))
     return (
         df.join(mode, group, "left")
         .withColumn(column, F.coalesce(column, "mode"))
@@ -223,7 +223,7 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
     those weights meet the grid.
     """
     # One row per group, used for the rows and again for the grid: written once.
-    bw = durable(bandwidths(df, group, value).filter("bw > 0"))
+    bw = stored(bandwidths(df, group, value).filter("bw > 0"))
     start = F.col("low") - cut * F.col("bw")
     step = (F.col("high") - F.col("low") + 2 * cut * F.col("bw")) / (points - 1)
     scale = bw.select(group, "n", "bw", start.alias("start"), step.alias("step"))

@@ -1,7 +1,7 @@
 """Hypothesis tests computed from group aggregates.
 
-The table of group aggregates (one row per group) is checkpointed before totals are taken over it,
-so the rows themselves are read once.
+The table of group aggregates (one row per group) is stored before totals are taken over it, so
+the rows themselves are read once.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tabularium.functions import distributions as dist
 from tabularium.operators.groups import proportion
 from tabularium.operators.order_stats import mid_ranks
-from tabularium.session import durable
+from tabularium.session import stored
 
 
 def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -32,7 +32,7 @@ def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way analysis of variance: ``(df_between, df_within, ss_between, ss_within, f, p)``."""
-    stats = durable(group_moments(df, group, value))
+    stats = stored(group_moments(df, group, value))
     grand = stats.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("g")).scalar()
     sums = stats.agg(
         (F.count(F.lit(1)) - 1).alias("df_between"),
@@ -50,7 +50,7 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rank test with tie correction: ``(df, h, p)``."""
     ranked = mid_ranks(df, value, [group])
     ties = F.col("ties").cast("double")
-    per_group = durable(
+    per_group = stored(
         ranked.groupBy(group).agg(
             F.sum("n").cast("double").alias("n"),
             F.sum(F.col("n") * F.col("rank")).alias("rank_sum"),
@@ -74,7 +74,7 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def tukey_pairs(df: DataFrame, group: str, value: str, level: float = 0.95) -> DataFrame:
     """All pairs of groups: difference of means, interval and adjusted p-value."""
-    return _pairs_of(durable(group_moments(df, group, value)), group, level)
+    return _pairs_of(stored(group_moments(df, group, value)), group, level)
 
 
 def _pairs_of(stats: DataFrame, group: str, level: float) -> DataFrame:
@@ -134,7 +134,7 @@ def _pairs_of(stats: DataFrame, group: str, level: float) -> DataFrame:
 
 def group_similarity(df: DataFrame, group: str, value: str) -> DataFrame:
     """Adjusted p-values as a symmetric matrix in long form, 1 on the diagonal, with 1 - p."""
-    stats = durable(group_moments(df, group, value))
+    stats = stored(group_moments(df, group, value))
     pairs = _pairs_of(stats, group, 0.95).select(
         "group_a", "group_b", F.round("p_adj", 4).alias("value")
     )

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tabularium.functions.columns import bucket_of
 from tabularium.operators.groups import cumulative_share
+from tabularium.session import spread, stored
 
 
 def assemble(df: DataFrame, features: list[str], name: str = "features") -> DataFrame:
@@ -43,7 +44,7 @@ def forest_cv(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    data = assemble(train, features).select(
+    data = assemble(spread(train), features).select(
         "features", F.col(target).cast("double"), bucket_of(key, folds, "fold").cast("int").alias("fold")
     )
     search = CrossValidator(
@@ -69,7 +70,7 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return forest.fit(assemble(train, features).select("features", F.col(target).cast("double")))
+    return forest.fit(assemble(spread(train), features).select("features", F.col(target).cast("double")))
 
 
 def importances(spark, model, features: list[str]) -> DataFrame:
@@ -184,7 +185,7 @@ def cluster_groups(
 ) -> DataFrame:
     """Groups clustered on their mean; ``(group, cluster)``, clusters numbered by their centre."""
     stats = df.filter(F.col(value).isNotNull()).groupBy(group).agg(F.avg(value).alias("mean"))
-    table = assemble(stats, ["mean"])
+    table = assemble(stored(stats), ["mean"])
     model = BisectingKMeans(k=k, seed=seed, maxIter=30).fit(table)
     assigned = model.transform(table).select(group, "mean", F.col("prediction").alias("found"))
     order = (
@@ -193,7 +194,7 @@ def cluster_groups(
         .agg(F.sort_array(F.collect_list(F.struct("centre", "found"))).alias("o"))
     )
     ranked = order.select(F.posexplode(F.transform("o", lambda s: s["found"])).alias("i", "found"))
-    return assigned.join(ranked, "found").select(group, (F.col("i") + 1).alias("cluster"))
+    return stored(assigned.join(ranked, "found").select(group, (F.col("i") + 1).alias("cluster")))
 
 
 def attach_clusters(df: DataFrame, clusters: DataFrame, group: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabularium.session import durable
+from tabularium.session import stored
 
 CUTS = 511
 
@@ -191,10 +191,10 @@ def global_row_number(df: DataFrame, order: list, name: str, start: int = 1) ->
     """Consecutive numbers in a total order, without one task seeing all rows.
 
     A range-partitioned sort gives every row a partition and a position in it; the sorted rows
-    are checkpointed so that both stay fixed, and the sizes of the partitions (one row each) give
+    are stored so that both stay fixed, and the sizes of the partitions (one row each) give
     the offsets.
     """
-    placed = durable(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = stored(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.select(
         "*",
         F.shiftright("_id", 33).alias("_part"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import bucket_of
+from tabularium.operators.order_stats import join_groups
+from tabularium.session import stored
 
 
 def with_split(
@@ -51,7 +53,7 @@ def fixed_group_sample(
     )
     histogram = tagged.groupBy(group, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(group).orderBy("_prefix")
-    reach = (
+    reach = stored(
         histogram.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
         .filter(F.col("_before") < size)
         .groupBy(group)
@@ -59,7 +61,7 @@ def fixed_group_sample(
     )
     whole = Window.partitionBy(group).orderBy("_order", key)
     return (
-        tagged.join(reach, group)
+        join_groups(tagged, reach, [group])
         .filter(F.col("_prefix") <= F.col("_last"))
         .withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= size)

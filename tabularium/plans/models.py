@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.columns import bucket_of, fixed
 from tabularium.operators import features, models, regression, similarity
+from tabularium.session import spread
 from tabularium.sources import shapes
 
 FEATURES = ["accommodates", "bedrooms", "extra_people", "score", "type_mean", "spot_mean"]
@@ -19,9 +20,11 @@ def _grid(low: float, high: float, steps: int = 20) -> list[float]:
 
 def model_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Train and test listings with target-mean encoded categories (means from train only)."""
-    whole = shapes.listings(spark, sf).select(
-        "id", "price", "accommodates", "bedrooms", "extra_people", "score",
-        "property_type", "neighbourhood",
+    whole = spread(
+        shapes.listings(spark, sf).select(
+            "id", "price", "accommodates", "bedrooms", "extra_people", "score",
+            "property_type", "neighbourhood",
+        )
     )
     inside = bucket_of("id", 100, "split") < 80
     train, test = whole.filter(inside), whole.filter(~inside)

@@ -10,7 +10,7 @@ from tabularium.functions.columns import as_wall_clock
 from tabularium.operators import similarity, splits
 from tabularium.operators import text as ops
 from tabularium.plans.common import with_ctes
-from tabularium.session import new_folder
+from tabularium.session import new_folder, stored
 from tabularium.sources import shapes
 from tabularium.sources import text as io
 from tabularium.streaming import scoring
@@ -57,7 +57,7 @@ def token_vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def padded_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    df = _cleaned(spark, sf)
+    df = stored(_cleaned(spark, sf))
     out = ops.padded_sequences(df, ops.vocabulary(df), "doc_id")
     return out.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
 
@@ -68,13 +68,13 @@ def label_index(spark: SparkSession, sf: str) -> DataFrame:
 
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors aligned to the vocabulary, zeros for words below the minimum count."""
-    df = _cleaned(spark, sf)
+    df = stored(_cleaned(spark, sf))
     model = ops.fit_word_vectors(df, size=VECTOR_SIZE)
     return ops.embedding_table(ops.vocabulary(df), model.getVectors(), VECTOR_SIZE)
 
 
 def _model_and_rest(spark: SparkSession, sf: str):
-    df = splits.comment_splits(_cleaned(spark, sf), "doc_id")
+    df = splits.comment_splits(stored(_cleaned(spark, sf)), "doc_id")
     model = ops.fit_classifier(df.filter(F.col("split") == "train"))
     return model, df.filter(F.col("split") != "train")
 
@@ -87,7 +87,7 @@ def text_classifier(spark: SparkSession, sf: str) -> DataFrame:
 def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """All documents cleaned, scored and written as JSON lines, then read back."""
     model, _ = _model_and_rest(spark, sf)
-    documents = shapes.table(spark, sf, "documents").select(
+    documents = shapes.documents(spark, sf).select(
         tx.clean_text("text").alias("text")
     )
     root = new_folder(spark, "predictions")
@@ -131,14 +131,14 @@ def stream_scored_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
-    return shapes.table(spark, sf, "pages").select(
+    return shapes.pages(spark, sf).select(
         "page_id", "url", tx.html_text("html").alias("text")
     )
 
 
 def page_content(spark: SparkSession, sf: str) -> DataFrame:
     """Text per site page address without its query and fragment, the latest page wins."""
-    pages = shapes.table(spark, sf, "pages").withColumn(
+    pages = shapes.pages(spark, sf).withColumn(
         "url", F.regexp_replace("url", "[?#].*$", "")
     )
     return io.pages_to_content(pages)

@@ -48,7 +48,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and cut its lineage there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it from there.
+
+    This cuts the lineage at a place that survives lost executors, and the table has a measured
+    size: joins with it are broadcast only below Spark's threshold and shuffled above it.
+    """
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer partitions than that; otherwise unchanged.
+
+    Meant before work that is heavy per row. Large inputs have more partitions than the cluster
+    has cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

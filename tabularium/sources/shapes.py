@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.session import use_utc
+from tabularium.session import spread, use_utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,9 +138,17 @@ def house_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat comments with the nested annotation the cleaning job reads."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     return docs.join(labels, "doc_id").select(
         "doc_id",
