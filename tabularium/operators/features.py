@@ -37,27 +37,44 @@ def fill_from_prediction(df: DataFrame, column: str, prediction: Column | str) -
     return df.withColumn(column, F.coalesce(F.col(column), p))
 
 
-def fit_target_means(train: DataFrame, column: str, target: str) -> DataFrame:
-    """The mapping ``(column, encoded)``, stored for later frames."""
-    return stored(
-        train.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.avg(target).alias("encoded"))
-    )
+@dataclass
+class TargetEncoder:
+    """Stored mapping ``(column, value, encoded)`` and the overall mean for unseen values."""
 
+    table: DataFrame
+    default: float
 
-def apply_target_means(
-    df: DataFrame, mapping: DataFrame, column: str, name: str, default: float
-) -> DataFrame:
-    """Value -> learned mean; unseen values get ``default`` (the mean over the training rows).
+    def mapping(self, column: str, name: str = "encoded") -> DataFrame:
+        return self.table.filter(F.col("column") == column).select(
+            F.col("value").alias(column), F.col("encoded").alias(name)
+        )
 
-    A left join without a hint: the mapping has one row per category and is broadcast only while
-    Spark measures it as small.
-    """
-    return (
-        df.join(mapping.withColumnRenamed("encoded", name), column, "left")
-        .withColumn(name, F.coalesce(F.col(name), F.lit(default)))
+    def apply(self, df: DataFrame, names: dict[str, str]) -> DataFrame:
+        """Adds ``names[column]`` for each column by a left join.
+
+        The mapping has one row per category; its measured size decides whether it is broadcast.
+        """
+        for column, name in names.items():
+            df = df.join(self.mapping(column, name), column, "left").withColumn(
+                name, F.coalesce(F.col(name), F.lit(self.default))
+            )
+        return df
+
+
+def fit_target_encoder(train: DataFrame, columns: list[str], target: str) -> TargetEncoder:
+    """Target means of the categories of all columns, and over all rows, in one aggregation."""
+    cells = [F.struct(F.lit(None).cast("string").alias("column"), F.lit("").alias("value"))]
+    cells += [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    table = stored(
+        train.select(target, F.inline(F.array(*cells)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.avg(target).alias("encoded"))
     )
+    default = table.filter(F.col("column").isNull()).first()
+    return TargetEncoder(table, default["encoded"] if default else None)
 
 
 @dataclass

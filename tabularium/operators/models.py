@@ -26,6 +26,11 @@ def assemble(df: DataFrame, features: list[str], name: str = "features") -> Data
     return VectorAssembler(inputCols=features, outputCol=name, handleInvalid="skip").transform(df)
 
 
+def _training_table(train: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns a forest needs, written once: every fit makes several passes over them."""
+    return spread(stored(train.select(*columns)))
+
+
 def forest_cv(
     train: DataFrame,
     features: list[str],
@@ -44,7 +49,7 @@ def forest_cv(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    data = assemble(spread(train), features).select(
+    data = assemble(_training_table(train, [*features, target, key]), features).select(
         "features", F.col(target).cast("double"), bucket_of(key, folds, "fold").cast("int").alias("fold")
     )
     search = CrossValidator(
@@ -70,7 +75,7 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return forest.fit(assemble(spread(train), features).select("features", F.col(target).cast("double")))
+    return forest.fit(assemble(_training_table(train, [*features, target]), features).select("features", F.col(target).cast("double")))
 
 
 def importances(spark, model, features: list[str]) -> DataFrame:

@@ -1,8 +1,7 @@
 """Linear models solved from one pass of sufficient statistics.
 
-Counts, means and covariances of all columns are plain aggregates (numerically stable ones, with
-map-side partials), so the rows are read once whatever the number of coefficients, folds, penalties
-or gradient steps. Only a matrix with one row and column per feature reaches the driver.
+Counts, sums and sums of products of all columns are plain aggregates with map-side partials, so the
+rows are read once whatever the number of coefficients, folds, penalties or gradient steps. Only a matrix with one row and column per feature reaches the driver.
 """
 
 from __future__ import annotations
@@ -41,29 +40,40 @@ def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
 
 
-def _moment_columns(columns: list[str]) -> list[Column]:
+def _shift(df: DataFrame, columns: list[str]) -> list[float]:
+    """A point near the data: sums of products around it keep their digits. Any point is valid."""
+    row = df.limit(1000).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    return [float(v) if v is not None else 0.0 for v in row]
+
+
+def _shifted_sums(columns: list[str], shift: list[float]) -> list[Column]:
+    z = [F.col(c) - F.lit(s) for c, s in zip(columns, shift)]
     d = len(columns)
     out = [F.count(F.lit(1)).cast("double").alias("n")]
     out += [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    out += [
-        F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)
-    ]
+    out += [F.sum(z[i]).alias(f"s{i}") for i in range(d)]
+    out += [F.sum(z[i] * z[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
     return out
 
 
-def _moments_of(row, d: int) -> Moments:
-    n = float(row["n"])
-    cross = np.zeros((d, d))
+def _moments_of(row, shift: list[float]) -> Moments:
+    n, d = float(row["n"]), len(shift)
+    if n == 0:
+        raise ValueError("no complete rows")
+    total = np.array([row[f"s{i}"] for i in range(d)])
+    products = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
-            cross[i, j] = cross[j, i] = n * row[f"c{i}_{j}"]
-    return Moments(n, np.array([row[f"m{i}"] for i in range(d)]), cross)
+            products[i, j] = products[j, i] = row[f"c{i}_{j}"]
+    mean = np.array([row[f"m{i}"] for i in range(d)])
+    return Moments(n, mean, products - np.outer(total, total) / n)
 
 
 def moments(df: DataFrame, features: list[str], target: str) -> Moments:
     columns = [*features, target]
-    row = _complete(df, columns).agg(*_moment_columns(columns)).first()
-    return _moments_of(row, len(columns))
+    clean = _complete(df, columns)
+    shift = _shift(clean, columns)
+    return _moments_of(clean.agg(*_shifted_sums(columns, shift)).first(), shift)
 
 
 def fold_moments(
@@ -71,17 +81,13 @@ def fold_moments(
 ) -> list[Moments]:
     """Moments of every fold in one aggregation; folds come from a hash of ``key``."""
     columns = [*features, target]
-    rows = (
-        df.select(
-            bucket_of(key, folds, "fold").alias("_fold"),
-            *[F.col(c).cast("double").alias(c) for c in columns],
-        )
-        .na.drop(subset=columns)
-        .groupBy("_fold")
-        .agg(*_moment_columns(columns))
-        .collect()  # one row per fold
-    )
-    return [_moments_of(r, len(columns)) for r in sorted(rows, key=lambda r: r["_fold"])]
+    clean = df.select(
+        bucket_of(key, folds, "fold").alias("_fold"),
+        *[F.col(c).cast("double").alias(c) for c in columns],
+    ).na.drop(subset=columns)
+    shift = _shift(clean, columns)
+    rows = clean.groupBy("_fold").agg(*_shifted_sums(columns, shift)).collect()  # one per fold
+    return [_moments_of(r, shift) for r in sorted(rows, key=lambda r: r["_fold"])]
 
 
 @dataclass

@@ -119,30 +119,48 @@ def cosine_pairs(
     )
     # The tiny slack keeps rounding from shortening a prefix.
     needed = F.ceil(F.col("size") * share - 1e-9)
-    prefix = F.slice("ordered", 1, (F.col("size") - needed + 1).cast("int"))
+    length = (F.col("size") - needed + 1).cast("int")
     step = -math.log(share) if share < 1.0 else 1.0
     band = F.floor(F.ln("size") / F.lit(step)).cast("int") if share < 1.0 else F.col("size")
     keyed = ranked.select(
-        "set_id", "size", band.alias("band"), F.explode(F.transform(prefix, lambda s: s["token"])).alias("token")
+        "set_id",
+        "size",
+        band.alias("band"),
+        (F.col("size") - length).alias("rest"),
+        F.element_at("ordered", length).alias("last"),
+        F.explode(F.transform(F.slice("ordered", 1, length), lambda s: s["token"])).alias("token"),
     )
     reach = [0, 1] if share < 1.0 else [0]
     small = keyed.select(
         F.col("set_id").alias("a"),
         F.col("size").alias("size_a"),
+        F.col("rest").alias("rest_a"),
+        F.col("last").alias("last_a"),
         "token",
         F.explode(F.array(*[F.col("band") + F.lit(r) for r in reach])).alias("band"),
     )
     large = keyed.select(
-        F.col("set_id").alias("b"), F.col("size").alias("size_b"), "token", "band"
+        F.col("set_id").alias("b"),
+        F.col("size").alias("size_b"),
+        F.col("rest").alias("rest_b"),
+        F.col("last").alias("last_b"),
+        "token",
+        "band",
     )
     later = (F.col("size_a") < F.col("size_b")) | (
         (F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b"))
     )
+    # Shared tokens are either in both prefixes (counted here) or behind the prefix that ends
+    # first in the common order, so the count plus that remainder bounds the overlap.
+    behind = F.when(F.col("last_a") <= F.col("last_b"), F.col("rest_a")).otherwise(F.col("rest_b"))
+    wanted = F.sqrt(F.col("size_a").cast("double") * F.col("size_b")) * min_cosine - 1e-9
     candidates = (
         small.join(large, ["token", "band"])
         .filter(later & (F.col("size_a") >= F.col("size_b") * share - 1e-9))
+        .groupBy("a", "b", "size_a", "size_b", behind.alias("behind"))
+        .agg(F.count(F.lit(1)).alias("met"))
+        .filter(F.col("met") + F.col("behind") >= wanted)
         .select("a", "b")
-        .distinct()
     )
     left = sets.select(
         F.col("set_id").alias("a"), F.col("tokens").alias("ta"), F.col("copies").alias("ca")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.columns import bucket_of, fixed
 from tabularium.operators import features, models, regression, similarity
-from tabularium.session import spread
 from tabularium.sources import shapes
 
 FEATURES = ["accommodates", "bedrooms", "extra_people", "score", "type_mean", "spot_mean"]
@@ -20,20 +19,15 @@ def _grid(low: float, high: float, steps: int = 20) -> list[float]:
 
 def model_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Train and test listings with target-mean encoded categories (means from train only)."""
-    whole = spread(
-        shapes.listings(spark, sf).select(
-            "id", "price", "accommodates", "bedrooms", "extra_people", "score",
-            "property_type", "neighbourhood",
-        )
+    whole = shapes.listings(spark, sf).select(
+        "id", "price", "accommodates", "bedrooms", "extra_people", "score",
+        "property_type", "neighbourhood",
     )
     inside = bucket_of("id", 100, "split") < 80
     train, test = whole.filter(inside), whole.filter(~inside)
-    default = train.agg(F.avg("price")).first()[0]
-    for column, name in (("property_type", "type_mean"), ("neighbourhood", "spot_mean")):
-        mapping = features.fit_target_means(whole.filter(inside), column, "price")
-        train = features.apply_target_means(train, mapping, column, name, default)
-        test = features.apply_target_means(test, mapping, column, name, default)
-    return train, test
+    names = {"property_type": "type_mean", "neighbourhood": "spot_mean"}
+    encoder = features.fit_target_encoder(train, list(names), "price")
+    return encoder.apply(train, names), encoder.apply(test, names)
 
 
 def _cv_table(spark: SparkSession, scores: list[tuple[float, float]]) -> DataFrame:

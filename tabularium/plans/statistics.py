@@ -139,9 +139,8 @@ def mean_mode_impute(spark: SparkSession, sf: str) -> DataFrame:
 
 def target_encode(spark: SparkSession, sf: str) -> DataFrame:
     train, whole = _train_and_all(spark, sf)
-    mapping = features.fit_target_means(train, "property_type", "price_cents")
-    default = train.agg(F.avg("price_cents")).first()[0]
-    out = features.apply_target_means(whole, mapping, "property_type", "encoded", default)
+    encoder = features.fit_target_encoder(train, ["property_type"], "price_cents")
+    out = encoder.apply(whole, {"property_type": "encoded"})
     return _fixed(out.select("id", "property_type", "encoded"), 4, "encoded")
 
 

@@ -158,7 +158,7 @@ def page_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    sets = similarity.distinct_sets(_page_sets(spark, sf), "page_id", "tokens")
+    sets = stored(similarity.distinct_sets(_page_sets(spark, sf), "page_id", "tokens"))
     pairs = similarity.cosine_pairs(sets, MIN_COSINE)
     return pairs.select(
         "set_a", "set_b", "copies_a", "copies_b", "shared", "united",

@@ -62,8 +62,8 @@ def stored(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores when the input has fewer partitions than that; otherwise unchanged.
 
-    Meant before work that is heavy per row. Large inputs have more partitions than the cluster
-    has cores and pass through without a shuffle.
+    Meant for a frame that is just a scan, before work that is heavy per row. Large inputs have
+    more partitions than the cluster has cores and pass through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -157,9 +157,9 @@ def test_features(spark):
     filled = features.fit_imputer(df, ["v"], ["s"]).apply(df)
     assert filled.filter("v IS NULL OR s IS NULL").count() == 0
     assert filled.filter("t = 60").first()["v"] == 2.0
-    means = features.fit_target_means(df, "s", "t")
+    encoder = features.fit_target_encoder(df, ["s"], "t")
     unseen = spark.createDataFrame([("x",), ("new",), (None,)], "s string")
-    got = {r["s"]: r["e"] for r in features.apply_target_means(unseen, means, "s", "e", 30.0).collect()}
+    got = {r["s"]: r["e"] for r in encoder.apply(unseen, {"s": "e"}).collect()}
     assert got == {"x": 15.0, "new": 30.0, None: 30.0}
     z = features.fit_scaler(df, ["t"]).apply(df).agg(F.avg("t_z"), F.stddev_pop("t_z")).first()
     assert abs(z[0]) < 1e-12 and math.isclose(z[1], 1.0)
