@@ -36,6 +36,10 @@ def members(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(F.col(column).isin(values))
 
 
+def row_by_key(df: DataFrame, key: str, value) -> DataFrame:
+    return df.filter(F.col(key) == value)
+
+
 def non_empty(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) != "")
 

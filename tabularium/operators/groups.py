@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import scale01
-from tabularium.session import stored
 from tabularium.operators.order_stats import join_groups, quantiles
+from tabularium.session import stored
 
 
 def value_counts(df: DataFrame, column: str, with_nulls: bool = True) -> DataFrame:
@@ -265,12 +265,16 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
     )
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], pairwise: bool = False) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, columns: list[str], pairwise: bool = False, absolute: bool = False
+) -> DataFrame:
     """Pearson correlation in long form ``(a, b, r)``, all pairs in one aggregation.
 
-    Rows with any NULL are left out, or only the NULLs of the pair with ``pairwise``.
+    Rows with any NULL are left out, or only the NULLs of the pair with ``pairwise``; ``absolute``
+    correlates the absolute values of the columns.
     """
-    source = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = {c: F.col(c).cast("double") for c in columns}
+    source = df.select(*[(F.abs(v) if absolute else v).alias(c) for c, v in values.items()])
     if not pairwise:
         source = source.na.drop()
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]

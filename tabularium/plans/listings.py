@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tabularium.functions.columns import fixed, square_metres, unit_number
 from tabularium.operators import cleaning, groups, similarity, splits
 from tabularium.plans.common import FEATURES, LISTINGS, POSTAL_CODES, fixed_sql, with_ctes
-from tabularium.sources import shapes
+from tabularium.session import new_folder
+from tabularium.sources import shapes, text
 
 _L = with_ctes(LISTINGS)
 NUMERIC = ["price", "bedrooms", "accommodates", "square_feet"]
@@ -155,6 +156,40 @@ def corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("r", fixed("r", 6))
 
 
+def corr_pairwise(spark: SparkSession, sf: str) -> DataFrame:
+    """Correlations with a column that has NULLs: each pair uses the rows where both are known."""
+    df = groups.correlation_matrix(
+        shapes.listings(spark, sf), ["price", "bedrooms", "square_feet"], pairwise=True
+    )
+    return df.withColumn("r", fixed("r", 6))
+
+
+def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The two listing splits written as semicolon CSV, read back with a schema, summed up."""
+    root = new_folder(spark, "csv")
+    df = shapes.listings(spark, sf).select(
+        "id", "neighbourhood", "room_type", "price_cents", "square_feet"
+    )
+    train, test = splits.sample_and_rest(df, "id", 80, "csv")
+    schema = train.schema
+    back = []
+    for name, part in (("train", train), ("test", test)):
+        text.write_csv(part, f"{root}/{name}")
+        back.append(
+            text.read_csv(spark, f"{root}/{name}", schema=schema).withColumn("part", F.lit(name))
+        )
+    return (
+        back[0]
+        .unionByName(back[1])
+        .groupBy("part", "room_type")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("square_feet").alias("with_size"),
+            F.sum("price_cents").alias("cents"),
+        )
+    )
+
+
 def histogram_bins(spark: SparkSession, sf: str) -> DataFrame:
     df = groups.histogram(shapes.listings(spark, sf), "price_cents", 20)
     return df.withColumns({"bin_lo": fixed("bin_lo", 3), "bin_hi": fixed("bin_hi", 3)})
@@ -238,6 +273,8 @@ QUERIES = {
         group_mode,
         group_mode_fill,
         corr_matrix,
+        corr_pairwise,
+        csv_round_trip,
         histogram_bins,
         break_points,
         density_grid,
@@ -382,6 +419,19 @@ FROM listings l LEFT JOIN modes m ON l.neighbourhood = m.neighbourhood""",
         for a in _CORR
         for b in _CORR
     ),
+    "corr_pairwise": _L
+    + _union(
+        f"SELECT '{a}' AS a, '{b}' AS b, "
+        + (fixed_sql(f"corr({a}, {b})", 6) if a != b else "1.0::DOUBLE")
+        + " AS r"
+        + (" FROM listings" if a != b else "")
+        for a in ["price", "bedrooms", "square_feet"]
+        for b in ["price", "bedrooms", "square_feet"]
+    ),
+    "csv_round_trip": _L
+    + f"""SELECT CASE WHEN {_BUCKET.format(salt="'csv' || ", key='id')} < 80 THEN 'train'
+  ELSE 'test' END AS part, room_type, count(*) AS n, count(square_feet) AS with_size,
+  CAST(sum(price_cents) AS BIGINT) AS cents FROM listings GROUP BY ALL""",
     "histogram_bins": _L.rstrip()
     + f""", lim AS (SELECT min(price_cents) AS low, max(price_cents) AS high,
     (max(price_cents) - min(price_cents)) / 20.0::DOUBLE AS w FROM listings),

@@ -32,14 +32,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is named."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tabularium-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        app = spark.sparkContext.applicationId
+        if app not in _fallback:
+            _fallback[app] = tempfile.mkdtemp(prefix="tabularium-")
+        folder = _fallback[app]
     return folder.rstrip("/")
 
 

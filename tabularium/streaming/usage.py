@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -74,11 +74,12 @@ def jdbc_batch_writer(write_table, delivered) -> Callable[[DataFrame, int], None
     return write
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def await_all(queries: list[StreamingQuery]) -> None:
     """Wait for every query; the first failure stops the others and is raised."""
     try:
-        for query in queries:
-            query.awaitTermination()
+        while active := [q for q in queries if q.isActive or q.exception()]:
+            for query in active:
+                query.awaitTermination(1)
     except Exception:
         for query in queries:
             if query.isActive:
@@ -96,7 +97,6 @@ def run_device_job(
     """Archive the enriched stream and append minute totals, side by side, to completion."""
     enriched = usage.enrich(devices, users)
     await_all(
-        devices.sparkSession,
         [
             write_stream_archive(enriched, archive_root, f"{checkpoints}/archive"),
             write_stream_batches(

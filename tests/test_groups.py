@@ -130,6 +130,9 @@ def test_correlation_matrix(spark):
     x = np.array([[r[0], r[1]] for r in rows])
     assert np.isclose(pairwise["a", "b"], np.corrcoef(x.T)[0, 1])
     assert np.isclose(whole["a", "b"], np.corrcoef(x[1:].T)[0, 1])
+    signed = df.select((F.col("a") - 2.5).alias("a"), "b")
+    plain = {(r["a"], r["b"]): r["r"] for r in groups.correlation_matrix(signed, ["a", "b"], absolute=True).collect()}
+    assert np.isclose(plain["a", "b"], np.corrcoef(np.abs(x[:, 0] - 2.5), x[:, 1])[0, 1])
     assert whole["a", "b"] == whole["b", "a"] and whole["c", "c"] == 1.0
 
 

@@ -172,3 +172,17 @@ def test_message_bytes_round_trip(spark):
     packed = telemetry.write_stream_text(df)
     assert packed.schema["value"].dataType.typeName() == "binary"
     assert telemetry.read_stream_text(packed).first()["text"] == '{"text":"Grüße","n":1}'
+
+
+def test_a_failing_query_stops_the_others(spark, users, tmp_path):
+    def fail(batch, batch_id):
+        raise ValueError("sink is down")
+
+    stream = stream_of(spark, tmp_path, [ROWS])
+    forever = streams.write_stream_batches(
+        stream, lambda b, i: b.count(), f"{tmp_path}/a", continuous=True
+    )
+    broken = streams.write_stream_batches(stream, fail, f"{tmp_path}/b")
+    with pytest.raises(Exception, match="sink is down"):
+        streams.await_all([forever, broken])
+    assert not forever.isActive
