@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tabularium.llm import decontam, langid, mixing, quality, setsketch
+from tabularium.llm import decontam, extract, langid, mixing, quality, setsketch, unigram
 
 QUERIES = {
+    "op1_main_text": extract.op1_main_text,
     "op2_language_id": langid.op2_language_id,
     "op6_near_duplicates": setsketch.op6_near_duplicates,
     "op7_quality": quality.op7_quality,
     "op8_decontamination": decontam.op8_decontamination,
     "op9_mixture": mixing.op9_mixture,
+    "op10_token_counts": unigram.op10_token_counts,
 }
 
 SQL = {
