@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, model: object) -> Broadcast:
+    """Broadcast a model with its class, so that executors need no installed copy of this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shared_model(shared: Broadcast):
+    """The model in a task; called once per task."""
+    return pickle.loads(shared.value)
+
+
 def byte_table(separators: bytes) -> np.ndarray:
     """True for bytes that belong to words."""
     inside = np.ones(256, dtype=bool)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import remainder, row_sums, table
+from tabularium.llm.common import remainder, row_sums, share, shared_model, table
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -153,12 +153,13 @@ def predict(
     names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """``keep`` columns with language and score, called ``names``; one row per input row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     picked = docs.select(*keep, F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared_model(shared)
         for batch in batches:
-            langs, scores = score_texts(batch.column(batch.num_columns - 1).to_pylist(), shared.value)
+            langs, scores = score_texts(batch.column(batch.num_columns - 1).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*batch.schema.names[:-1], *names],

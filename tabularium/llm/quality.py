@@ -22,7 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import Words, byte_table, remainder, row_starts, row_sums, space_words, table, text_blocks
+from tabularium.llm.common import (
+    Words,
+    byte_table,
+    remainder,
+    row_starts,
+    row_sums,
+    share,
+    shared_model,
+    space_words,
+    table,
+    text_blocks,
+)
 
 SAMPLE = 20_000
 THRESHOLD = 0.3
@@ -200,13 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
 
 def predict(docs: DataFrame, model: Trees, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
     """``keep`` columns and the score; one row per input row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     picked = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        statistics = Statistics()
+        model, statistics = shared_model(shared), Statistics()
         for batch in batches:
-            scores = shared.value.score(statistics(batch.column(batch.num_columns - 1)))
+            scores = model.score(statistics(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], score]
             )

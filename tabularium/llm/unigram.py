@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import table
+from tabularium.llm.common import share, shared_model, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -143,11 +143,11 @@ class Counter:
 
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with ``n_words``, ``n_tokens`` and ``token_score`` (natural logarithm)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
     picked = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = Counter(shared_model(shared))
         for batch in batches:
             found = [counter.text(x.as_py()) for x in batch.column(batch.num_columns - 1)]
             words, pieces, scores = zip(*found) if found else ((), (), ())
