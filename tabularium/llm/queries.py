@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tabularium.llm import decontam, editprint, extract, langid, maxent, mixing, quality, setsketch, unigram
+from tabularium.llm import decontam, editprint, extract, langid, licenses, maxent, mixing, quality, setsketch, unigram
 
 QUERIES = {
     "op1_main_text": extract.op1_main_text,
     "op2_language_id": langid.op2_language_id,
     "op3_lm_scores": maxent.op3_lm_scores,
     "op4_fingerprints": editprint.op4_fingerprints,
+    "op5_license_scan": licenses.op5_license_scan,
     "op6_near_duplicates": setsketch.op6_near_duplicates,
     "op7_quality": quality.op7_quality,
     "op8_decontamination": decontam.op8_decontamination,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_license_scan": licenses.op5_license_scan,
     "op6_near_duplicates": setsketch.OP6_SQL,
     "op8_decontamination": decontam.OP8_SQL,
     "op9_mixture": mixing.OP9_SQL,
