@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,23 +44,19 @@ def shared_model(shared: Broadcast):
     return pickle.loads(shared.value)
 
 
-def byte_table(separators: bytes) -> np.ndarray:
-    """True for bytes that belong to words."""
-    inside = np.ones(256, dtype=bool)
-    inside[list(separators)] = False
-    return inside
+def space_words(data: np.ndarray) -> np.ndarray:
+    """True for bytes of words between space and \\x09-\\x0D."""
+    return ~((data == 32) | ((data - np.uint8(9)) < np.uint8(5)))
 
 
-def space_words() -> np.ndarray:
-    """Words are runs of bytes other than space and \\x09-\\x0D."""
-    return byte_table(bytes([0x20, *range(0x09, 0x0E)]))
+def line_words(data: np.ndarray) -> np.ndarray:
+    """True for bytes of lines."""
+    return (data != 10) & (data != 13)
 
 
-def lower_table() -> np.ndarray:
-    """Byte map that lower-cases A-Z alone."""
-    low = np.arange(256, dtype=np.uint8)
-    low[65:91] += 32
-    return low
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased, all others as they are."""
+    return data + (((data - np.uint8(65)) < np.uint8(26)).view(np.uint8) << np.uint8(5))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,12 +91,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Finds and hashes the words of byte blocks; made once per task."""
+    """Finds and hashes the (lower-cased) words of byte blocks; made once per task."""
 
-    def __init__(self, inside: np.ndarray, lower: bool = True):
+    def __init__(self, inside: Callable[[np.ndarray], np.ndarray]):
         self.inside = inside
-        self.map = (lower_table() if lower else np.arange(256, dtype=np.uint8)).astype(np.uint64)
-        self.map += np.uint64(1)
         self.factor = 0x5851F42D4C957F2D
         self.inverse = pow(self.factor, -1, 1 << 64)
         self.powers = self.inverses = np.ones(1, dtype=np.uint64)
@@ -117,7 +111,7 @@ class Words:
         if not len(data):
             none = np.zeros(0, dtype=np.int64)
             return none, none, none
-        word = self.inside[data]
+        word = self.inside(data)
         begins, ends = word.copy(), word.copy()
         begins[1:] &= ~word[:-1]
         ends[:-1] &= ~word[1:]
@@ -133,7 +127,10 @@ class Words:
         """A 64-bit hash of each span, equal for equal (lower-cased) words."""
         self._grow(len(data) + 1)
         total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self.map[data] * self.powers[: len(data)], out=total[1:])
+        values = lowered(data).astype(np.uint64)
+        values += np.uint64(1)
+        values *= self.powers[: len(data)]
+        np.cumsum(values, out=total[1:])
         return mixed((total[end] - total[start]) * self.inverses[start])
 
 

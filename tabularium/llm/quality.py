@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabularium.llm.common import (
     Words,
-    byte_table,
+    line_words,
     remainder,
     row_starts,
     row_sums,
@@ -63,7 +63,7 @@ class Statistics:
     """Document statistics of text batches; made once per task."""
 
     def __init__(self):
-        self.words, self.lines = Words(space_words()), Words(byte_table(b"\n\r"))
+        self.words, self.lines = Words(space_words), Words(line_words)
         classes = np.zeros((8, 256), dtype=bool)
         for i, chars in enumerate(
             (bytes(range(65, 91)), bytes(range(48, 58)), None, b"|", b"!?", b"#$%&*@~^=<>{}[]\\/_+", b".,;:", b"\n")
@@ -212,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
 def predict(docs: DataFrame, model: Trees, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
     """``keep`` columns and the score; one row per input row."""
     shared = share(docs.sparkSession, model)
-    picked = docs.select(*keep, F.col("text").alias("_text"))
+    picked = docs.select(*keep, F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, statistics = shared_model(shared), Statistics()
