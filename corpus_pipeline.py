@@ -24,14 +24,14 @@ LANGUAGE_BOUND = 0.5
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.predict(docs, model, keep=tuple(docs.columns), score="_score")
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.predict(docs, model, keep=tuple(docs.columns), score="__score")
+    return scored.where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
-    found = langid.predict(docs, model, keep=tuple(docs.columns), names=("_lang", "_score"))
-    sure = (F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LANGUAGE_BOUND)
+    found = langid.predict(docs, model, keep=tuple(docs.columns), names=("__lang", "__score"))
+    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LANGUAGE_BOUND)
     return found.where(sure).select(*docs.columns)
 
 

@@ -123,24 +123,24 @@ def measured(found: DataFrame) -> DataFrame:
 def remove_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, columns unchanged. Clean documents all stay."""
     bad = measured(hits(docs, items)).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("_s").alias("_key")
+        F.col("doc_id").alias("__id"), F.col("_s").alias("__key")
     )
     stored = kept_table(bad, "contaminated")
-    same = docs["doc_id"].eqNullSafe(stored["_id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["_key"])
+    same = docs["doc_id"].eqNullSafe(stored["__id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["__key"])
     return docs.join(stored, same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with hit words cut out of contaminated texts (the rest joined by single spaces, lower-cased)."""
     bad = measured(hits(docs, items)).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("_s").alias("_key"), F.col("spans").alias("_spans")
+        F.col("doc_id").alias("__id"), F.col("_s").alias("__key"), F.col("spans").alias("__spans")
     )
     stored = kept_table(bad, "contaminated")
     words = word_array(docs["text"])
-    inside = lambda i: F.exists(stored["_spans"], lambda s: (s["first"] <= i + 1) & (i + 1 < s["end"]))
+    inside = lambda i: F.exists(stored["__spans"], lambda s: (s["first"] <= i + 1) & (i + 1 < s["end"]))
     rest = F.array_join(F.filter(words, lambda _, i: ~inside(i)), " ")
-    same = docs["doc_id"].eqNullSafe(stored["_id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["_key"])
-    text = F.when(stored["_spans"].isNull(), docs["text"]).otherwise(rest).alias("text")
+    same = docs["doc_id"].eqNullSafe(stored["__id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["__key"])
+    text = F.when(stored["__spans"].isNull(), docs["text"]).otherwise(rest).alias("text")
     return docs.join(stored, same, "left").select(*[text if c == "text" else docs[c] for c in docs.columns])
 
 

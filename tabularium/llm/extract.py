@@ -319,7 +319,7 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` columns with ``text`` and ``n_chars``; one row per page."""
-    picked = pages.select(*keep, F.col(column).alias("_html"))
+    picked = pages.select(*keep, F.col(column).alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

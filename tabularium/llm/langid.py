@@ -154,7 +154,7 @@ def predict(
 ) -> DataFrame:
     """``keep`` columns with language and score, called ``names``; one row per input row."""
     shared = share(docs.sparkSession, model)
-    picked = docs.select(*keep, F.col(text).alias("_text"))
+    picked = docs.select(*keep, F.col(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(shared)

@@ -205,7 +205,7 @@ def scan(docs: DataFrame, known: list[Template] | None = None, keep: tuple[str,
     marks = sorted({w for t in known for w in t.markers()})
     pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w) for w in marks) + r")(?![\p{L}\p{N}])"
     shared = share(docs.sparkSession, known)
-    picked = docs.select(*keep, F.col("text").alias("_text")).where(F.col("_text").rlike(pattern))
+    picked = docs.select(*keep, F.col("text").alias("__text")).where(F.col("__text").rlike(pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared_model(shared)

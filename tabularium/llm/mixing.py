@@ -76,16 +76,15 @@ def copies(seed: str, rate: Column) -> Column:
 def mix(docs: DataFrame, targets: DataFrame | None = None, seed: str = SEED, marks: bool = False) -> DataFrame:
     """Replicated documents in a global random order; sources without a target vanish."""
     wanted = targets if targets is not None else tempered_targets(docs)
-    by_source = rates(docs, wanted).select(F.col("source").alias("_s"), F.col("rate").alias("_rate"))
-    joined = docs.join(by_source, docs["source"].eqNullSafe(F.col("_s")))
+    by_source = rates(docs, wanted).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    joined = docs.join(by_source, docs["source"].eqNullSafe(F.col("__source")))
     out = [c for c in docs.columns if not (marks and c in ("copy", "shuffle_key"))]
-    counted = joined.withColumn("_n", copies(seed, F.col("_rate"))).where("_n > 0")
-    each = counted.select(*out, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_copy"))
-    key = F.xxhash64(F.lit(seed), "doc_id", "text", "_copy")
-    shuffled = each.withColumn("_key", key)
+    counted = joined.withColumn("__n", copies(seed, F.col("__rate"))).where("__n > 0")
+    each = counted.select(*out, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
+    shuffled = each.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "text", "__copy"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = shuffled.repartitionByRange(parts, "_key").sortWithinPartitions("_key")
-    extra = [F.col("_copy").alias("copy"), F.col("_key").alias("shuffle_key")] if marks else []
+    ordered = shuffled.repartitionByRange(parts, "__key").sortWithinPartitions("__key")
+    extra = [F.col("__copy").alias("copy"), F.col("__key").alias("shuffle_key")] if marks else []
     return ordered.select(*out, *extra)
 
 
