@@ -62,13 +62,19 @@ def top_dense_groups(
 def drop_allnull_groups(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rows of the groups in which ``value`` is known at least once."""
     known = df.groupBy(group).agg(F.count(value).alias("_known")).filter("_known > 0")
-    return df.join(stored(known.select(group)), group, "left_semi")
+    return _rows_of_groups(df, known, group)
 
 
 def drop_rare_groups(df: DataFrame, group: str, min_rows: int) -> DataFrame:
     """Rows of the groups with at least ``min_rows`` rows."""
     kept = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    return df.join(stored(kept.select(group)), group, "left_semi")
+    return _rows_of_groups(df, kept, group)
+
+
+def _rows_of_groups(df: DataFrame, kept: DataFrame, group: str) -> DataFrame:
+    """Rows whose group is in ``kept``; the NULL group is a group like any other."""
+    names = stored(kept.select(F.col(group).alias("_kept_group")))
+    return df.join(names, df[group].eqNullSafe(names["_kept_group"]), "left_semi")
 
 
 def with_group_count(df: DataFrame, group: str, name: str = "group_n") -> DataFrame:
@@ -200,7 +206,10 @@ def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> Da
 
 
 def bandwidths(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Default Gaussian bandwidth 0.9 * min(sd, IQR / 1.34) * n^-0.2 per group."""
+    """Default Gaussian bandwidth 0.9 * min(sd, IQR / 1.34) * n^-0.2 per group.
+
+    Without spread (one distinct value) the size of that value, or 1, takes the place of the spread.
+    """
     spread = quantiles(df, [group], value, [0.25, 0.75])
     moments = df.groupBy(group).agg(
         F.count(value).alias("n"),
@@ -209,7 +218,13 @@ def bandwidths(df: DataFrame, group: str, value: str) -> DataFrame:
         F.max(value).cast("double").alias("high"),
     )
     iqr = (F.col("q")[1] - F.col("q")[0]) / 1.34
-    narrow = F.when(F.least("sd", iqr) > 0, F.least("sd", iqr)).otherwise(F.col("sd"))
+    size = F.abs("low")  # of a constant group, whose spread is 0
+    narrow = (
+        F.when(F.least("sd", iqr) > 0, F.least("sd", iqr))
+        .when(F.col("sd") > 0, F.col("sd"))
+        .when(size > 0, size)
+        .otherwise(1.0)
+    )
     return join_groups(moments, spread, [group]).select(
         group, "n", "low", "high", (F.lit(0.9) * narrow * F.pow("n", F.lit(-0.2))).alias("bw")
     )
@@ -223,7 +238,7 @@ def density_grid(df: DataFrame, group: str, value: str, points: int = 64, cut: f
     those weights meet the grid.
     """
     # One row per group, used for the rows and again for the grid: written once.
-    bw = stored(bandwidths(df, group, value).filter("bw > 0"))
+    bw = stored(bandwidths(df, group, value).filter("n > 0"))
     start = F.col("low") - cut * F.col("bw")
     step = (F.col("high") - F.col("low") + 2 * cut * F.col("bw")) / (points - 1)
     scale = bw.select(group, "n", "bw", start.alias("start"), step.alias("step"))

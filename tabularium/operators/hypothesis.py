@@ -7,12 +7,12 @@ the rows themselves are read once.
 from __future__ import annotations
 
 from pyspark.ml.stat import KolmogorovSmirnovTest
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import distributions as dist
 from tabularium.operators.groups import proportion
-from tabularium.operators.order_stats import mid_ranks
+from tabularium.operators.order_stats import global_row_number, mid_ranks
 from tabularium.session import stored
 
 
@@ -77,6 +77,31 @@ def tukey_pairs(df: DataFrame, group: str, value: str, level: float = 0.95) -> D
     return _pairs_of(stored(group_moments(df, group, value)), group, level)
 
 
+def tukey_to_control(
+    df: DataFrame, group: str, value: str, control: str, level: float = 0.95
+) -> DataFrame:
+    """Every other group against one: difference of means, interval, adjusted p-value; one row per group."""
+    stats = stored(group_moments(df, group, value))
+    own = stats.filter(F.col(group) == control).first()
+    if own is None:
+        raise ValueError(f"no values in group {control}")
+    pooled = stats.agg(
+        F.count(F.lit(1)).cast("double").alias("k"), F.sum("n").alias("n"), F.sum("within").alias("w")
+    ).first()
+    k, dof = float(pooled["k"]), float(pooled["n"] - pooled["k"])
+    error = F.sqrt(F.lit(pooled["w"] / dof / 2.0) * (1.0 / F.col("n") + F.lit(1.0 / own["n"])))
+    diff = F.col("mean") - F.lit(own["mean"])
+    others = stats.filter(~F.col(group).eqNullSafe(F.lit(control))).select(
+        F.lit(control).alias("control"), group, diff.alias("diff"), error.alias("error"),
+        F.lit(k).alias("k"), F.lit(dof).alias("dof"),
+    )
+    width = dist.tukey_width(F.lit(level), "k", "dof") * F.col("error")
+    p = dist.tukey_p_value(F.abs("diff") / F.col("error"), "k", "dof")
+    judged = others.withColumns({"width": width, "p_adj": p})
+    low, high = F.col("diff") - F.col("width"), F.col("diff") + F.col("width")
+    return judged.select("control", group, "diff", low.alias("low"), high.alias("high"), "p_adj")
+
+
 def _pairs_of(stats: DataFrame, group: str, level: float) -> DataFrame:
     """Tukey comparisons from the group moments.
 
@@ -91,9 +116,7 @@ def _pairs_of(stats: DataFrame, group: str, level: float) -> DataFrame:
     k = pooled.select("k").scalar()
     dof = pooled.select("dof").scalar()
     within = pooled.select("within").scalar()
-    numbered = stats.withColumn(
-        "i", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(group))
-    )
+    numbered = global_row_number(stats, [F.col(group).asc()], "i")
     left = numbered.filter(F.col("i") > 1).select(
         F.col(group).alias("group_b"),
         F.col("n").alias("n_b"),
@@ -169,11 +192,10 @@ def normality(df: DataFrame, group: str, value: str) -> DataFrame:
     return stats.withColumn("jb", jb).withColumn("p", F.exp(-F.col("jb") / 2.0))
 
 
-def ks_normal(df: DataFrame, value: str) -> DataFrame:
-    """Kolmogorov-Smirnov test of a column against the normal with its own mean and sd."""
-    row = df.agg(F.avg(value).alias("m"), F.stddev(value).alias("s")).first()
+def ks_normal(df: DataFrame, value: str, mean: float, sd: float) -> DataFrame:
+    """Kolmogorov-Smirnov test of a column against a normal law that is given, not fitted to it."""
     clean = df.select(F.col(value).cast("double").alias(value)).na.drop()
-    found = KolmogorovSmirnovTest.test(clean, value, "norm", row["m"], row["s"])
+    found = KolmogorovSmirnovTest.test(clean, value, "norm", float(mean), float(sd))
     return found.select(F.col("statistic"), F.col("pValue").alias("p"))
 
 

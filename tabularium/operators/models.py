@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tabularium.functions.columns import bucket_of
 from tabularium.operators.groups import cumulative_share
-from tabularium.session import spread, stored
+from tabularium.session import stored
 
 
 def assemble(df: DataFrame, features: list[str], name: str = "features") -> DataFrame:
@@ -28,7 +28,7 @@ def assemble(df: DataFrame, features: list[str], name: str = "features") -> Data
 
 def _training_table(train: DataFrame, columns: list[str]) -> DataFrame:
     """The columns a forest needs, written once: every fit makes several passes over them."""
-    return spread(stored(train.select(*columns)))
+    return stored(train.select(*columns))
 
 
 def forest_cv(

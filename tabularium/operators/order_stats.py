@@ -1,7 +1,8 @@
 """Exact ranks and quantiles per group without gathering a group in one task.
 
-Rows are first counted per (group, value). Values then fall into buckets cut at approximate
-quantiles of the whole column, so that one bucket holds a small share of the rows even when a
+Rows are first counted per (group, value); that table is stored and everything else reads it. The
+distinct values then fall into buckets cut at their approximate quantiles, about one bucket per shuffle
+partition, so that one bucket holds a small share of the values even when a
 single group holds most of them. A running count needs only the bucket totals of a group plus an
 ordering inside one bucket. The cut points decide how evenly work is spread, never the result.
 """
@@ -14,14 +15,13 @@ from pyspark.sql import functions as F
 
 from tabularium.session import stored
 
-CUTS = 511
 
-
-def cut_points(df: DataFrame, value: str, cuts: int = CUTS) -> list[float]:
-    """At most ``cuts`` inner cut points; one aggregation, a fixed-size answer."""
+def cut_points(df: DataFrame, value: str) -> list[float]:
+    """Inner cut points, as many as there are shuffle partitions; one aggregation."""
+    cuts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 15)
     shares = ", ".join(f"{(i + 1) / (cuts + 1)!r}D" for i in range(cuts))
     found = df.select(F.col(value).cast("double").alias("_v")).agg(
-        F.expr(f"percentile_approx(_v, array({shares}), 10000)").alias("q")
+        F.expr(f"percentile_approx(_v, array({shares}), {max(10_000, 10 * cuts)})").alias("q")
     )
     return sorted({float(v) for v in (found.first()["q"] or [])})
 
@@ -48,13 +48,12 @@ def join_groups(left: DataFrame, right: DataFrame, groups: list[str], exact: lis
 def value_counts_bucketed(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """``(groups, value, n, _bucket)`` with one row per distinct value of a group, NULL left out."""
     present = df.select(*groups, F.col(value).alias("value")).filter(F.col("value").isNotNull())
-    points = cut_points(present, "value")
-    counted = present.groupBy(*groups, "value").agg(F.count("*").alias("n"))
-    return bucketed(counted, "value", points)
+    counted = stored(present.groupBy(*groups, "value").agg(F.count("*").alias("n")))
+    return bucketed(counted, "value", cut_points(counted, "value"))
 
 
 def _offsets(counted: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows of a group in earlier buckets, and in the whole group; at most CUTS + 1 rows per group."""
+    """Rows of a group in earlier buckets, and in the whole group; one row per group and bucket."""
     totals = counted.groupBy(*groups, "_bucket").agg(F.sum("n").alias("_in_bucket"))
     ordered = Window.partitionBy(*groups).orderBy("_bucket")
     return totals.select(
@@ -93,7 +92,7 @@ def mid_ranks(df: DataFrame, value: str, carry: list[str] | None = None) -> Data
     counted = value_counts_bucketed(df, carry, value)
     pooled = counted.groupBy("_bucket", "value").agg(F.sum("n").alias("ties"))
     totals = pooled.groupBy("_bucket").agg(F.sum("ties").alias("_in_bucket"))
-    # At most CUTS + 1 rows in total, so one ordered task for them is fine.
+    # One row per bucket, about as many as shuffle partitions, so one ordered task for them is fine.
     earlier = totals.select(
         "_bucket",
         (

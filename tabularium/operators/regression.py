@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import distributions as dist
 from tabularium.functions.columns import bucket_of
-
-MAX_LEVELS = 200
-
+from tabularium.session import stored
 
 @dataclass
 class Moments:
@@ -40,40 +38,30 @@ def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
 
 
-def _shift(df: DataFrame, columns: list[str]) -> list[float]:
-    """A point near the data: sums of products around it keep their digits. Any point is valid."""
-    row = df.limit(1000).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return [float(v) if v is not None else 0.0 for v in row]
-
-
-def _shifted_sums(columns: list[str], shift: list[float]) -> list[Column]:
-    z = [F.col(c) - F.lit(s) for c, s in zip(columns, shift)]
+def _moment_columns(columns: list[str]) -> list[Column]:
+    """Central moments: Spark merges them without cancellation, so one pass and no shift will do."""
     d = len(columns)
     out = [F.count(F.lit(1)).cast("double").alias("n")]
     out += [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    out += [F.sum(z[i]).alias(f"s{i}") for i in range(d)]
-    out += [F.sum(z[i] * z[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
+    out += [F.var_pop(c).alias(f"c{i}_{i}") for i, c in enumerate(columns)]
+    out += [F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i + 1, d)]
     return out
 
 
-def _moments_of(row, shift: list[float]) -> Moments:
-    n, d = float(row["n"]), len(shift)
+def _moments_of(row, d: int) -> Moments:
+    n = float(row["n"])
     if n == 0:
         raise ValueError("no complete rows")
-    total = np.array([row[f"s{i}"] for i in range(d)])
-    products = np.zeros((d, d))
+    cross = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
-            products[i, j] = products[j, i] = row[f"c{i}_{j}"]
-    mean = np.array([row[f"m{i}"] for i in range(d)])
-    return Moments(n, mean, products - np.outer(total, total) / n)
+            cross[i, j] = cross[j, i] = n * row[f"c{i}_{j}"]
+    return Moments(n, np.array([row[f"m{i}"] for i in range(d)]), cross)
 
 
 def moments(df: DataFrame, features: list[str], target: str) -> Moments:
     columns = [*features, target]
-    clean = _complete(df, columns)
-    shift = _shift(clean, columns)
-    return _moments_of(clean.agg(*_shifted_sums(columns, shift)).first(), shift)
+    return _moments_of(_complete(df, columns).agg(*_moment_columns(columns)).first(), len(columns))
 
 
 def fold_moments(
@@ -85,9 +73,8 @@ def fold_moments(
         bucket_of(key, folds, "fold").alias("_fold"),
         *[F.col(c).cast("double").alias(c) for c in columns],
     ).na.drop(subset=columns)
-    shift = _shift(clean, columns)
-    rows = clean.groupBy("_fold").agg(*_shifted_sums(columns, shift)).collect()  # one per fold
-    return [_moments_of(r, shift) for r in sorted(rows, key=lambda r: r["_fold"])]
+    rows = clean.groupBy("_fold").agg(*_moment_columns(columns)).collect()  # one per fold
+    return [_moments_of(r, len(columns)) for r in sorted(rows, key=lambda r: r["_fold"])]
 
 
 @dataclass
@@ -131,9 +118,14 @@ def coefficient_table(spark: SparkSession, fit: LinearFit, level: float = 0.95)
         (t, float(c), float(e), float(fit.dof), float(fit.r2))
         for t, c, e in zip(fit.terms, fit.coefficients, fit.errors)
     ]
-    base = spark.createDataFrame(
-        rows, "term string, estimate double, std_error double, dof double, r2 double"
-    )
+    return _judged(spark.createDataFrame(rows, ESTIMATES), level)
+
+
+ESTIMATES = "term string, estimate double, std_error double, dof double, r2 double"
+
+
+def _judged(base: DataFrame, level: float) -> DataFrame:
+    """Adds t, p and the interval to estimates with errors."""
     width = dist.t_width(F.lit(level), "dof") * F.col("std_error")
     t = F.try_divide("estimate", "std_error")
     return (
@@ -153,6 +145,66 @@ def coefficient_table(spark: SparkSession, fit: LinearFit, level: float = 0.95)
     )
 
 
+def factor_regression(
+    df: DataFrame, features: list[str], factor: str, target: str, level: float = 0.95
+) -> DataFrame:
+    """Least squares with a dummy-coded factor: the table of ``coefficient_table``.
+
+    The dummies are eliminated: slopes come from the pooled cross products within levels, and each
+    level's coefficient from its own means. Levels stay a table (any number of them); the driver sees one
+    row and column per feature. The smallest level is the reference of the intercept.
+    """
+    spark, columns, d = df.sparkSession, [*features, target], len(features)
+    clean = df.select(
+        F.col(factor).cast("string").alias("_level"), *[F.col(c).cast("double").alias(c) for c in columns]
+    ).na.drop()
+    levels = stored(clean.groupBy("_level").agg(*_moment_columns(columns)))
+    pairs = [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
+    total = levels.agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("k"),
+        F.min_by(F.struct("*"), "_level").alias("reference"),
+        (F.sum(F.col("n") * F.col(f"m{d}")) / F.sum("n")).alias("mean"),
+        *[F.sum(F.col("n") * F.col(f"c{i}_{j}")).alias(f"w{i}_{j}") for i, j in pairs],
+    ).first()
+    if not total["n"]:
+        raise ValueError("no complete rows")
+    within = np.zeros((d + 1, d + 1))
+    for i, j in pairs:
+        within[i, j] = within[j, i] = total[f"w{i}_{j}"]
+    inverse = np.linalg.inv(within[:d, :d])
+    slope = inverse @ within[:d, d]
+    rss = max(within[d, d] - slope @ within[:d, d], 0.0)
+    dof = total["n"] - total["k"] - d
+    sigma2 = rss / dof if dof > 0 else float("nan")
+    between = levels.agg(
+        F.sum(F.col("n") * F.pow(F.col(f"m{d}") - F.lit(total["mean"]), F.lit(2.0))).alias("b")
+    ).first()["b"]
+    r2 = 1.0 - rss / (within[d, d] + between)
+    reference = total["reference"]
+    x0 = np.array([reference[f"m{i}"] for i in range(d)])
+    start = reference[f"m{d}"] - slope @ x0
+    named = [("(intercept)", start, sigma2 * (1.0 / reference["n"] + x0 @ inverse @ x0))]
+    named += [(f, slope[i], sigma2 * inverse[i, i]) for i, f in enumerate(features)]
+    head = spark.createDataFrame(
+        [(t, float(c), float(np.sqrt(v)), float(dof), float(r2)) for t, c, v in named], ESTIMATES
+    )
+    gap = [F.col(f"m{i}") - F.lit(float(x0[i])) for i in range(d)]
+    own = F.col(f"m{d}") - sum((F.lit(float(slope[i])) * F.col(f"m{i}") for i in range(d)), F.lit(0.0))
+    square = sum(
+        (F.lit(float(inverse[i, j])) * gap[i] * gap[j] for i in range(d) for j in range(d)), F.lit(0.0)
+    )
+    variance = F.lit(float(sigma2)) * (1.0 / F.col("n") + F.lit(1.0 / reference["n"]) + square)
+    rest = levels.filter(F.col("_level") != reference["_level"]).select(
+        F.concat(F.lit(f"{factor}="), "_level").alias("term"),
+        (own - F.lit(float(start))).alias("estimate"),
+        F.sqrt(variance).alias("std_error"),
+        F.lit(float(dof)).alias("dof"),
+        F.lit(float(r2)).alias("r2"),
+    )
+    return _judged(head.unionByName(rest), level)
+
+
 def linear_value(coefficients, features: list[str]) -> Column:
     """Intercept plus weighted features as one column expression."""
     value = F.lit(float(coefficients[0]))
@@ -179,20 +231,6 @@ def fitted_line(df: DataFrame, fit: LinearFit, feature: str, points: int = 1000)
     )
 
 
-def factor_levels(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
-    """The levels of a factor in order; the number of levels is checked before they are fetched."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels; encode it by target means instead")
-    return sorted(r[0] for r in rows)
-
-
-def with_dummies(df: DataFrame, column: str, levels: list[str]) -> tuple[DataFrame, list[str]]:
-    """0/1 columns for all levels but the first."""
-    names = {f"{column}={v}": F.when(F.col(column) == v, 1.0).otherwise(0.0) for v in levels[1:]}
-    return df.withColumns(names), list(names)
-
-
 def gradient_descent(
     df: DataFrame,
     features: list[str],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import cosine, indicator, squared_distance
+from tabularium.session import stored
 
 FREQUENT_TOKENS = 10_000
 
@@ -69,16 +70,11 @@ def distinct_sets(df: DataFrame, key: str, tokens: str) -> DataFrame:
     one row per set.
     """
     ordered = df.select(key, F.array_sort(F.array_distinct(tokens)).alias("tokens"))
-    signed = ordered.withColumn("_sig", F.sha2(F.array_join("tokens", "\u001f"), 256))
-    return (
-        signed.groupBy("_sig")
-        .agg(
-            F.min(key).alias("set_id"),
-            F.min_by("tokens", key).alias("tokens"),
-            F.count(F.lit(1)).alias("copies"),
-        )
-        .select("set_id", "tokens", F.size("tokens").alias("size"), "copies")
-    )
+    signed = stored(ordered.withColumn("_sig", F.sha2(F.array_join("tokens", "\u001f"), 256)))
+    # Only narrow columns are aggregated; the tokens of the first copy are joined afterwards.
+    first = signed.groupBy("_sig").agg(F.min(key).alias("set_id"), F.count(F.lit(1)).alias("copies"))
+    own = signed.select(F.col(key).alias("set_id"), "_sig", "tokens", F.size("tokens").alias("size"))
+    return first.join(own, ["_sig", "set_id"]).select("set_id", "tokens", "size", "copies")
 
 
 def set_members(df: DataFrame, key: str, tokens: str) -> DataFrame:
@@ -98,24 +94,22 @@ def cosine_pairs(
 
     Prefix filtering, exact for any positive bound: two sets that reach it share at least
     bound^2 * |A| tokens, so they must share one of the first |A| - ceil(bound^2 * |A|) + 1 tokens
-    of A in any common order. Rare tokens come first in that order, which keeps common tokens out
-    of the join; sizes must be within a factor bound^2, which the join key checks in size bands.
+    of A in any common order. Rare tokens come first in that order (every token by its frequency), which
+    keeps common tokens out of the join; sizes must be within a factor bound^2, which the join key checks in size bands.
     """
     if not 0.0 < min_cosine <= 1.0:
         raise ValueError("the bound must be in (0, 1]")
     share = min_cosine * min_cosine
     exploded = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    common = (
-        exploded.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .orderBy(F.col("df").desc(), "token")
-        .limit(frequent)
-    )
-    # At most ``frequent`` rows, so the broadcast has a fixed bound; other tokens rank as rare.
-    ranked = exploded.join(F.broadcast(common), "token", "left").groupBy("set_id", "size").agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))
-        ).alias("ordered")
+    counts = stored(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    head = F.broadcast(counts.orderBy(F.col("df").desc(), "token").limit(frequent))
+    # The ``frequent`` commonest tokens (a fixed number) are matched where they are; the rarer ones are shuffled.
+    rare = exploded.join(head.select("token"), "token", "left_anti").join(counts, "token")
+    ranked = (
+        exploded.join(head, "token")
+        .unionByName(rare)
+        .groupBy("set_id", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ordered"))
     )
     # The tiny slack keeps rounding from shortening a prefix.
     needed = F.ceil(F.col("size") * share - 1e-9)
@@ -195,6 +189,19 @@ def cosine_pairs(
     )
 
 
+def cosine_with_set(df: DataFrame, key: str, tokens: str, probe) -> DataFrame:
+    """Every row's token set beside that of the row whose key is ``probe``, without any bound.
+
+    The probe's tokens (one row) become a literal, so this is one scan: union, 0/1 vectors, cosine.
+    """
+    row = df.filter(F.col(key) == probe).select(tokens).first()
+    if row is None:
+        raise ValueError(f"no row with {key} = {probe}")
+    target = F.lit(list(row[0])) if row[0] else F.array().cast("array<string>")
+    others = df.filter(F.col(key) != probe).withColumn("_probe", F.array_distinct(target))
+    return set_pair_vectors(others, "_probe", tokens).drop("_probe")
+
+
 def set_pair_vectors(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Union of two token sets and their 0/1 vectors over it, with the cosine of the vectors."""
     union = F.array_union(left, right)

@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, StringIndexer, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import text as tx
 from tabularium.operators.order_stats import global_row_number
+from tabularium.session import stored
 
 SEQUENCE_LENGTH = 300
 FREQUENT_WORDS = 10_000
 
 
 def clean_comments(comments: DataFrame) -> DataFrame:
-    """``content`` and nested ``annotation`` -> cleaned ``text`` and ``label``; keys are kept."""
+    """``content`` and nested ``annotation`` -> cleaned ``text`` and ``label``; keys are kept.
+
+    Comments nobody has labelled are ``undefined``.
+    """
     keys = [c for c in comments.columns if c not in ("content", "annotation")]
     flag = F.try_element_at(F.col("annotation.label"), F.lit(1))
     return comments.select(
         *keys,
         tx.clean_text("content").alias("text"),
-        tx.label_name(flag).alias("label"),
+        F.when(flag.isNull(), tx.UNDEFINED).otherwise(tx.label_name(flag)).alias("label"),
     )
 
 
@@ -61,10 +65,22 @@ def lookup_words(words: DataFrame, vocab: DataFrame, frequent: int = FREQUENT_WO
 
 
 def padded_sequences(
-    df: DataFrame, vocab: DataFrame, key: str, text: str = "text", length: int = SEQUENCE_LENGTH
+    df: DataFrame,
+    vocab: DataFrame,
+    key: str,
+    text: str = "text",
+    length: int = SEQUENCE_LENGTH,
+    all_known: bool = False,
 ) -> DataFrame:
-    """Word indices per text, unknown words skipped, the last ``length`` kept, zeros in front."""
-    found = lookup_words(words_of(df.select(key, text), text), vocab)
+    """Word indices per text, unknown words skipped, the last ``length`` kept, zeros in front.
+
+    ``all_known`` says that the vocabulary holds every word of these texts: then the last words
+    of a text are the kept ones, and only they are looked up.
+    """
+    words = F.filter(F.split(text, " +"), lambda w: w != "")
+    last = F.when(F.size(words) > length, F.slice(words, -length, length)).otherwise(words)
+    wanted = last if all_known else words
+    found = lookup_words(df.select(key, F.posexplode(wanted).alias("pos", "word")), vocab)
     ordered = found.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("pos", F.col("index").cast("int").alias("i")))).alias("s")
     )
@@ -76,43 +92,61 @@ def padded_sequences(
 
 
 def label_index(df: DataFrame, label: str, name: str = "label_index") -> DataFrame:
-    """Labels in alphabetical order -> 0..n-1."""
-    model = StringIndexer(
-        inputCol=label, outputCol=name, stringOrderType="alphabetAsc", handleInvalid="error"
-    ).fit(df)
-    return model.transform(df).withColumn(name, F.col(name).cast("int"))
+    """Labels in alphabetical order -> 0..n-1; a NULL label keeps a NULL index."""
+    labels = df.select(F.col(label).alias("_label")).filter("_label IS NOT NULL").distinct()
+    numbered = stored(global_row_number(labels, [F.col("_label").asc()], name, 0))
+    found = df.join(numbered, F.col(label) == F.col("_label"), "left").drop("_label")
+    return found.withColumn(name, F.col(name).cast("int"))
+
 
+def _signed_dimension(word: Column, size: int) -> Column:
+    """Dimension (from 1) and sign of a context word, both from its md5."""
+    digest = F.md5(word)
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % size + 1
+    odd = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2 == 1
+    return F.when(odd, -place).otherwise(place).cast("int")
 
-def fit_word_vectors(
+
+def context_counts(
     df: DataFrame,
+    vocab: DataFrame,
     text: str = "text",
     size: int = 300,
     window: int = 7,
     min_count: int = 10,
-    epochs: int = 5,
-    partitions: int | None = None,
-    seed: int = 0,
-):
-    """Word vectors trained on every partition of the input in parallel."""
-    data = df.select(F.filter(F.split(text, " +"), lambda t: t != "").alias("words"))
-    return Word2Vec(
-        vectorSize=size,
-        windowSize=window,
-        minCount=min_count,
-        maxIter=epochs,
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
-        seed=seed,
-        inputCol="words",
-        outputCol="vector",
-    ).fit(data)
+) -> DataFrame:
+    """``(word, dim, value)``: words seen around each frequent enough word, hashed into ``size`` dimensions.
+
+    Each context word adds its sign at its dimension, so vectors of a fixed size keep (on average)
+    the inner products of the full context counts. One explode and one aggregation; nothing is trained,
+    nothing passes the driver, and the result does not depend on partitions.
+    """
+    words = df.select(F.filter(F.split(text, " +"), lambda t: t != "").alias("w"))
+    coded = words.select("w", F.transform("w", lambda t: _signed_dimension(t, size)).alias("c"))
+    each = coded.select("c", F.posexplode("w").alias("pos", "word"))
+    start = F.greatest(F.col("pos") - window, F.lit(0))
+    around = F.concat(
+        F.slice("c", start + 1, F.col("pos") - start), F.slice("c", F.col("pos") + 2, F.lit(window))
+    )
+    centres = each.select("word", around.alias("around"))
+    known = lookup_words(centres, vocab.filter(F.col("n") >= min_count))
+    return (
+        known.select("word", F.explode("around").alias("code"))
+        .groupBy("word", F.abs("code").alias("dim"))
+        .agg(F.sum(F.signum("code")).cast("long").alias("value"))
+    )
 
 
-def embedding_table(vocab: DataFrame, vectors: DataFrame, size: int) -> DataFrame:
+def embedding_table(vocab: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Vector per vocabulary word; words without one get zeros."""
-    known = vectors.select("word", vector_to_array("vector").alias("vector"))
-    return vocab.join(known, "word", "left").withColumn(
-        "vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), size))
+    entries = counts.groupBy("word").agg(
+        F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("at")
     )
+    dimensions = F.sequence(F.lit(1), F.lit(size))
+    vector = F.transform(dimensions, lambda i: F.coalesce(F.try_element_at("at", i), F.lit(0)).cast("double"))
+    zeros = F.array_repeat(F.lit(0.0), size)
+    joined = vocab.join(entries, "word", "left")
+    return joined.withColumn("vector", F.when(F.col("at").isNull(), zeros).otherwise(vector)).drop("at")
 
 
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
@@ -120,7 +154,7 @@ def with_words(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit_classifier(
-    train: DataFrame, label: str = "label", text: str = "text", features: int = 1 << 16
+    train: DataFrame, label: str = "label", text: str = "text", features: int = 1 << 20
 ) -> PipelineModel:
     """Hashed term weights and logistic regression; class 1 is TROLL."""
     data = with_words(train, text).withColumn(

@@ -23,71 +23,63 @@ def enrich(devices: DataFrame, users: DataFrame) -> DataFrame:
     return devices.withColumn("type", F.lit("a")).join(dimension, "id")
 
 
-def windowed_bytes(
-    df: DataFrame, key: str, metric: str, window: str = "1 minute", watermark: str | None = None
+def condense(
+    df: DataFrame, keys: list[str], window: str, watermark: str | None = None
 ) -> DataFrame:
-    """sum(bytes) per ``key`` and window as ``(timestamp, id, value, type)``; batch or stream."""
-    source = df.select("timestamp", "bytes", key)
-    if watermark:
-        source = source.withWatermark("timestamp", watermark)
-    return (
-        source.groupBy(F.col(key), F.window("timestamp", window).alias("w"))
-        .agg(F.sum("bytes").alias("value"))
-        .select(
-            F.col("w.start").alias("timestamp"),
-            F.col(key).alias("id"),
-            "value",
-            F.lit(metric).alias("type"),
-        )
-    )
-
-
-def bytes_by_antenna(enriched: DataFrame) -> DataFrame:
-    return windowed_bytes(enriched, "antenna_id", METRICS["antenna_id"], "1 hour")
+    """Bytes summed per ``keys`` and window start, in the shape of a device frame; batch or stream.
 
-
-def bytes_by_app(enriched: DataFrame) -> DataFrame:
-    return windowed_bytes(enriched, "app", METRICS["app"], "1 hour")
-
-
-def bytes_by_user(enriched: DataFrame) -> DataFrame:
-    """Hourly totals keyed by email; the quota travels along."""
-    return (
-        enriched.groupBy("email", "quota", F.window("timestamp", "1 hour").alias("w"))
-        .agg(F.sum("bytes").alias("value"))
-        .select(
-            F.col("w.start").alias("timestamp"),
-            F.col("email").alias("id"),
-            "value",
-            F.lit(METRICS["id"]).alias("type"),
-            "quota",
-        )
-    )
-
-
-def condense(devices: DataFrame, keys: list[str], window: str) -> DataFrame:
-    """Bytes summed per ``keys`` and window start, in the shape of a device frame.
-
-    Totals are sums, so summing before the join gives the same result and the join then moves
+    Totals are sums, so summing before a join gives the same result and the join then moves
     one row per key and window instead of one per message.
     """
+    source = df.withWatermark("timestamp", watermark) if watermark else df
     return (
-        devices.groupBy(*keys, F.window("timestamp", window).alias("w"))
+        source.groupBy(*keys, F.window("timestamp", window).alias("w"))
         .agg(F.sum("bytes").alias("bytes"))
         .select(*keys, F.col("w.start").alias("timestamp"), "bytes")
     )
 
 
+def totals(
+    df: DataFrame, keys: list[str], metric: str, window: str = "1 minute", watermark: str | None = None
+) -> DataFrame:
+    """Bytes per window as ``(timestamp, id, value, type)``; the first key is the id, more keys travel along."""
+    summed = condense(df.select("timestamp", "bytes", *keys), keys, window, watermark)
+    named = F.col(keys[0]).alias("id"), F.col("bytes").alias("value"), F.lit(metric).alias("type")
+    return summed.select("timestamp", *named, *keys[1:])
+
+
+def _hourly(devices: DataFrame, users: DataFrame, own: list[str], keys: list[str], metric: str) -> DataFrame:
+    """Hourly totals of enriched messages, summed per id before the users are joined."""
+    return totals(enrich(condense(devices, own, "1 hour"), users), keys, metric, "1 hour")
+
+
 def hourly_user_usage(devices: DataFrame, users: DataFrame) -> DataFrame:
-    return bytes_by_user(enrich(condense(devices, ["id"], "1 hour"), users))
+    """Hourly totals keyed by email, with the quota."""
+    return _hourly(devices, users, ["id"], ["email", "quota"], METRICS["id"])
 
 
 def hourly_antenna_usage(devices: DataFrame, users: DataFrame) -> DataFrame:
-    return bytes_by_antenna(enrich(condense(devices, ["id", "antenna_id"], "1 hour"), users))
+    return _hourly(devices, users, ["id", "antenna_id"], ["antenna_id"], METRICS["antenna_id"])
 
 
 def hourly_app_usage(devices: DataFrame, users: DataFrame) -> DataFrame:
-    return bytes_by_app(enrich(condense(devices, ["id", "app"], "1 hour"), users))
+    return _hourly(devices, users, ["id", "app"], ["app"], METRICS["app"])
+
+
+def hourly_report(enriched: DataFrame) -> DataFrame:
+    """The three hourly totals of enriched rows (such as an archived hour) and the quota report, in long form.
+
+    ``report`` is the metric, or ``quota_excess`` for users beyond their quota.
+    """
+    by_user = totals(enriched, ["email", "quota"], METRICS["id"], "1 hour")
+    parts = [by_user.drop("quota")]
+    parts += [totals(enriched, [key], METRICS[key], "1 hour") for key in ("antenna_id", "app")]
+    over = by_user.filter(F.col("value") > F.col("quota")).drop("quota")
+    parts.append(over.withColumn("type", F.lit("quota_excess")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.withColumnRenamed("type", "report")
 
 
 def quota_excess(user_totals: DataFrame) -> DataFrame:

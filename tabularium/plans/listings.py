@@ -446,8 +446,9 @@ SELECT CAST(i AS INTEGER) AS i, {fixed_sql('low + i * (high - low) / 10.0::DOUBL
 FROM lim, generate_series(0, 10) t(i)""",
     "density_grid": _L.rstrip()
     + f""", q AS (SELECT room_type, count(price) AS n, min(price) AS low, max(price) AS high,
-    0.9::DOUBLE * least(stddev_samp(price),
-      (quantile_cont(price, 0.75) - quantile_cont(price, 0.25)) / 1.34::DOUBLE)
+    0.9::DOUBLE * coalesce(nullif(least(stddev_samp(price),
+        (quantile_cont(price, 0.75) - quantile_cont(price, 0.25)) / 1.34::DOUBLE), 0),
+      nullif(stddev_samp(price), 0), nullif(abs(min(price)), 0), 1)
       * pow(count(price)::DOUBLE, -0.2::DOUBLE) AS bw FROM listings GROUP BY 1),
 scale AS (SELECT room_type, n, bw, low - 3.0::DOUBLE * bw AS start,
     (high - low + 6.0::DOUBLE * bw) / 63 AS step FROM q),

@@ -13,6 +13,10 @@ from tabularium.sources import shapes
 _L = with_ctes(LISTINGS)
 
 
+#: Mean and standard deviation of prices by hypothesis, not from the tested rows.
+KNOWN_PRICE = (50_000.0, 30_000.0)
+
+
 def _fixed(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: fixed(c, digits) for c in columns})
 
@@ -32,6 +36,14 @@ def tukey_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _fixed(df.select("group_a", "group_b", "diff"), 6, "diff")
 
 
+def tukey_to_control(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of each neighbourhood against one of them; interval and p-value are in the operator's tests."""
+    df = hypothesis.tukey_to_control(
+        shapes.listings(spark, sf), "neighbourhood", "square_feet", "Brand#1"
+    )
+    return _fixed(df.select("control", "neighbourhood", "diff"), 6, "diff")
+
+
 def group_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return hypothesis.group_similarity(
         shapes.listings(spark, sf), "neighbourhood", "square_feet"
@@ -48,7 +60,7 @@ def test_p_values(spark: SparkSession, sf: str) -> DataFrame:
         hypothesis.kruskal_wallis(df, "neighbourhood", "square_feet").select(
             F.lit("kruskal_wallis").alias("test"), F.col("h").alias("statistic"), "p"
         ),
-        hypothesis.ks_normal(df, "price").select(F.lit("ks").alias("test"), "statistic", "p"),
+        hypothesis.ks_normal(df, "price", *KNOWN_PRICE).select(F.lit("ks").alias("test"), "statistic", "p"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -77,12 +89,10 @@ def ols_normal_eq(spark: SparkSession, sf: str) -> DataFrame:
 
 def ols_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Regression with a dummy-coded factor: estimates, errors, p-values, 95 % intervals."""
-    df = shapes.listings(spark, sf)
-    coded, names = regression.with_dummies(
-        df, "room_type", regression.factor_levels(df, "room_type")
+    table = regression.factor_regression(
+        shapes.listings(spark, sf), ["accommodates", "bedrooms"], "room_type", "price"
     )
-    fit = regression.least_squares(coded, ["accommodates", "bedrooms", *names], "price")
-    return regression.coefficient_table(spark, fit)
+    return _fixed(table, 4, "estimate", "std_error", "t", "p", "low", "high", "r2")
 
 
 def residual_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +123,7 @@ def fit_errors(spark: SparkSession, sf: str) -> DataFrame:
 def gradient_descent(spark: SparkSession, sf: str) -> DataFrame:
     df = shapes.house_prices(spark, sf)
     steps = regression.gradient_descent(
-        df, ["living_area"], "sale_price", eta=0.5 / df.count(), iterations=60
+        df, ["living_area"], "sale_price", eta=0.5 / df.count(), iterations=2000
     )
     return steps.select(
         "iteration",
@@ -182,6 +192,7 @@ QUERIES = {
         anova,
         kruskal_wallis,
         tukey_pairs,
+        tukey_to_control,
         group_similarity,
         test_p_values,
         normality,
@@ -297,6 +308,11 @@ FROM per, tot""",
     + f"""
 SELECT a.g AS group_a, b.g AS group_b, {fixed_sql('b.m - a.m', 6)} AS diff
 FROM stats a JOIN stats b ON a.g < b.g""",
+    "tukey_to_control": _MORE
+    + _MOM.format(g="neighbourhood", v="square_feet")
+    + f"""
+SELECT c.g AS control, s.g AS neighbourhood, {fixed_sql('s.m - c.m', 6)} AS diff
+FROM stats s JOIN stats c ON c.g = 'Brand#1' AND s.g <> 'Brand#1'""",
     "normality": _MORE
     + f"""c AS (SELECT property_type, price - avg(price) OVER (PARTITION BY property_type) AS d
   FROM listings),
@@ -344,7 +360,7 @@ m AS (SELECT count(*)::DOUBLE AS n, avg(sale_price) AS my,
     var_pop(sale_price) * count(*) + count(*) * avg(sale_price) * avg(sale_price) AS yy FROM houses),
 steps AS (SELECT 0 AS iteration, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1
   UNION ALL SELECT iteration + 1, w0 - 0.5::DOUBLE / n * (n * w0 - n * my),
-    w1 - 0.5::DOUBLE / n * ((n - 1) * w1 - xy) FROM steps, m WHERE iteration < 60)
+    w1 - 0.5::DOUBLE / n * ((n - 1) * w1 - xy) FROM steps, m WHERE iteration < 2000)
 SELECT iteration, {fixed_sql('w0', 5)} AS w0, {fixed_sql('w1', 5)} AS w1,
   {fixed_sql('0.5::DOUBLE * (yy - 2 * (w0 * n * my + w1 * xy) + n * w0 * w0 + (n - 1) * w1 * w1)', 1)}
     AS loss FROM steps, m""",

@@ -17,13 +17,19 @@ from tabularium.streaming import scoring
 from tabularium.streaming.usage import batch_folder_writer, write_stream_batches
 
 MIN_COSINE = 0.8
-VECTOR_SIZE = 50
+VECTOR_SIZE = 300
+PROBE_PAGE = 7
 
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return ops.clean_comments(shapes.comments(spark, sf))
 
 
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned comments somebody has labelled."""
+    return _cleaned(spark, sf).filter(F.col("label") != tx.UNDEFINED)
+
+
 def clean_comments(spark: SparkSession, sf: str) -> DataFrame:
     df = _cleaned(spark, sf)
     return df.select("doc_id", "text", "label", tx.training_line("text", "label").alias("line"))
@@ -39,7 +45,7 @@ def bucket_split(spark: SparkSession, sf: str) -> DataFrame:
 def text_shards(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned lines written per split as text shards, read back as labelled parts, counted."""
     root = new_folder(spark, "shards")
-    split = splits.comment_splits(_cleaned(spark, sf), "doc_id")
+    split = splits.comment_splits(_labelled(spark, sf), "doc_id")
     lines = split.select(tx.training_line("text", "label").alias("value"), "split")
     lines.write.partitionBy("split").text(root)
     parts = [
@@ -58,23 +64,25 @@ def token_vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 def padded_sequences(spark: SparkSession, sf: str) -> DataFrame:
     df = stored(_cleaned(spark, sf))
-    out = ops.padded_sequences(df, ops.vocabulary(df), "doc_id")
+    out = ops.padded_sequences(df, ops.vocabulary(df), "doc_id", all_known=True)
     return out.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
 
 
 def label_index(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.label_index(_cleaned(spark, sf).select("doc_id", "label"), "label")
+    return ops.label_index(_labelled(spark, sf).select("doc_id", "label"), "label")
 
 
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors aligned to the vocabulary, zeros for words below the minimum count."""
     df = stored(_cleaned(spark, sf))
-    model = ops.fit_word_vectors(df, size=VECTOR_SIZE)
-    return ops.embedding_table(ops.vocabulary(df), model.getVectors(), VECTOR_SIZE)
+    vocab = stored(ops.vocabulary(df))
+    table = ops.embedding_table(vocab, ops.context_counts(df, vocab, size=VECTOR_SIZE), VECTOR_SIZE)
+    values = F.transform("vector", lambda v: v.cast("int"))
+    return table.select("word", "index", F.array_join(values, " ").alias("vector"))
 
 
 def _model_and_rest(spark: SparkSession, sf: str):
-    df = splits.comment_splits(stored(_cleaned(spark, sf)), "doc_id")
+    df = splits.comment_splits(stored(_labelled(spark, sf)), "doc_id")
     model = ops.fit_classifier(df.filter(F.col("split") == "train"))
     return model, df.filter(F.col("split") != "train")
 
@@ -166,6 +174,36 @@ def page_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_cosine_to(spark: SparkSession, sf: str) -> DataFrame:
+    """One page against all others: size of the token union, 0/1 vectors and cosine, no bound."""
+    sets = _page_sets(spark, sf).withColumn("tokens", F.array_sort(F.array_distinct("tokens")))
+    found = similarity.cosine_with_set(sets, "page_id", "tokens", PROBE_PAGE)
+    ones = lambda v: F.array_join(F.transform(v, lambda x: x.cast("int")), "")
+    return found.select(
+        "page_id",
+        F.size("union").alias("united"),
+        ones("vector_a").alias("probe_vector"),
+        ones("vector_b").alias("page_vector"),
+        "cosine",
+    )
+
+
+def comment_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments written as ISO-8859-1 JSON lines and read back through the annotation parser."""
+    root = new_folder(spark, "latin1")
+    comments = shapes.comments(spark, sf)
+    line = F.to_json(F.struct("doc_id", "content", "annotation"))
+    # what the character set lacks becomes "?", as any writer of it does
+    narrow = F.regexp_replace(line, "[^\\u0000-\\u00ff]", "?")
+    narrow_lines = comments.select(narrow.alias("value"))
+    io.write_lines_latin1(narrow_lines, "value", root)
+    lines = io.read_text_latin1(spark, root)
+    keys = F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id")
+    return io.parse_comments(lines, keys).select(
+        "doc_id", F.length("content").alias("chars"), F.md5("content").alias("digest"), "label"
+    )
+
+
 def page_copies(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.set_members(_page_sets(spark, sf), "page_id", "tokens")
 
@@ -188,6 +226,8 @@ QUERIES = {
         page_tokens,
         page_cosine_pairs,
         page_copies,
+        page_cosine_to,
+        comment_lines,
     )
 }
 
@@ -205,8 +245,10 @@ def _tokens_sql(column: str) -> str:
 
 
 _CLEANED = f"""cleaned AS (SELECT doc_id, array_to_string({_tokens_sql('text')}, ' ') AS text,
-    CASE WHEN toxic = 1 THEN 'TROLL' ELSE 'NO_TROLL' END AS label
-  FROM documents JOIN labels USING (doc_id))"""
+    CASE WHEN toxic = 1 THEN 'TROLL' WHEN toxic = 0 THEN 'NO_TROLL' ELSE 'undefined' END AS label
+  FROM documents LEFT JOIN labels USING (doc_id))"""
+
+_LABELLED = _CLEANED.replace("LEFT JOIN", "JOIN")
 
 
 def _bucket(salt: str) -> str:
@@ -236,7 +278,7 @@ SQL = {
     + "SELECT doc_id, text, label, text || ', ' || label AS line FROM cleaned",
     "bucket_split": f"""SELECT doc_id, {_SPLIT} AS split,
   CASE WHEN {_bucket('pair')} < 70 THEN 'first' ELSE 'second' END AS half FROM documents""",
-    "text_shards": with_ctes(_CLEANED)
+    "text_shards": with_ctes(_LABELLED)
     + f"""SELECT {_SPLIT} AS split, label, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars
 FROM cleaned WHERE text <> '' GROUP BY ALL""",
     "token_vocab": with_ctes(_CLEANED, _VOCAB) + "SELECT word, n, index FROM vocab",
@@ -249,7 +291,23 @@ padded AS (SELECT c.doc_id, list_concat(list_transform(range(300), lambda x: 0::
     coalesce(s, [])) AS s FROM cleaned c LEFT JOIN seqs USING (doc_id))""",
     )
     + "SELECT doc_id, array_to_string(s[len(s) - 299:], ' ') AS sequence FROM padded",
-    "label_index": with_ctes(_CLEANED)
+    "word_vectors": with_ctes(
+        _CLEANED,
+        _VOCAB,
+        """kept AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS spot,
+    CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 300 + 1 AS dim,
+    CASE WHEN CAST('0x' || substr(md5(word), 9, 1) AS INTEGER) % 2 = 1 THEN -1 ELSE 1 END AS sign
+  FROM words WHERE word <> ''),
+near AS (SELECT a.word, b.dim, CAST(sum(b.sign) AS BIGINT) AS value FROM kept a
+  JOIN (SELECT word FROM vocab WHERE n >= 10) f USING (word)
+  JOIN (SELECT doc_id, dim, sign, spot, unnest(range(-7, 8)) AS gap FROM kept) b
+    ON a.doc_id = b.doc_id AND b.spot = a.spot + b.gap AND b.gap <> 0
+  GROUP BY ALL),
+cells AS (SELECT word, index, d.dim FROM vocab, (SELECT unnest(range(1, 301)) AS dim) d)""",
+    )
+    + """SELECT word, index, string_agg(CAST(coalesce(value, 0) AS VARCHAR), ' ' ORDER BY c.dim) AS vector
+FROM cells c LEFT JOIN near USING (word, dim) GROUP BY ALL""",
+    "label_index": with_ctes(_LABELLED)
     + """SELECT doc_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_index
 FROM cleaned""",
     "stream_scored_windows": f"""SELECT
@@ -274,6 +332,20 @@ FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url, text FROM texts
 FROM sets a JOIN sets b ON a.set_id < b.set_id
 WHERE len(list_intersect(a.tokens, b.tokens)) / sqrt(len(a.tokens)::DOUBLE * len(b.tokens))
   >= {MIN_COSINE}::DOUBLE""",
+    "page_cosine_to": with_ctes(_PAGES, _SETS.split("\nsets AS")[0].rstrip().rstrip(","))
+    + f"""SELECT b.page_id, CAST(len(u) AS INTEGER) AS united,
+  array_to_string(list_transform(u, lambda x: CASE WHEN list_contains(p.tokens, x) THEN 1 ELSE 0 END), '')
+    AS probe_vector,
+  array_to_string(list_transform(u, lambda x: CASE WHEN list_contains(b.tokens, x) THEN 1 ELSE 0 END), '')
+    AS page_vector,
+  round(len(list_intersect(p.tokens, b.tokens)) / sqrt(len(p.tokens)::DOUBLE * len(b.tokens)), 3) AS cosine
+FROM (SELECT b.*, list_concat(p.tokens, list_filter(b.tokens, lambda x: NOT list_contains(p.tokens, x))) AS u,
+        p AS p FROM bags b, (SELECT tokens FROM bags WHERE page_id = {PROBE_PAGE}) p
+      WHERE b.page_id <> {PROBE_PAGE}) b""",
+    "comment_lines": """SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest,
+  CAST(toxic AS VARCHAR) AS label
+FROM (SELECT doc_id, regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g') AS t, toxic
+      FROM documents LEFT JOIN labels USING (doc_id))""",
     "page_copies": with_ctes(_PAGES, _SETS)
     + "SELECT page_id, set_id FROM bags JOIN sets ON bags.tokens = sets.tokens",
 }

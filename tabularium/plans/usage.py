@@ -54,6 +54,13 @@ def usage_archive_hour(spark: SparkSession, sf: str) -> DataFrame:
     return _wall(telemetry.read_archive(spark, path, ARCHIVED_HOUR))
 
 
+def usage_archive_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch job: one archived hour read back, its three totals and the quota report."""
+    enriched = usage.enrich(shapes.devices(spark, sf), shapes.users(spark, sf))
+    path = telemetry.write_archive(enriched, new_folder(spark, "archive"))
+    return _wall(usage.hourly_report(telemetry.read_archive(spark, path, ARCHIVED_HOUR)))
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = shapes.table(spark, sf, "events").schema
     stream = (
@@ -104,6 +111,7 @@ QUERIES = {
     "usage_quota_excess": usage_quota_excess,
     "usage_fanout_minute": usage_fanout_minute,
     "usage_archive_hour": usage_archive_hour,
+    "usage_archive_report": usage_archive_report,
     "stream_usage_minute": stream_usage_minute,
     "stream_device_job": stream_device_job,
 }
@@ -150,6 +158,15 @@ FROM enriched GROUP BY email, quota, date_trunc('hour', "timestamp") HAVING sum(
     + """SELECT *, 2024::INTEGER AS year, 1::INTEGER AS month, 15::INTEGER AS day,
   12::INTEGER AS hour
 FROM enriched WHERE date_trunc('hour', "timestamp") = TIMESTAMP '2024-01-15 12:00:00'""",
+    "usage_archive_report": _WITH.rstrip()
+    + """,
+one AS (SELECT *, date_trunc('hour', "timestamp") AS h FROM enriched
+  WHERE date_trunc('hour', "timestamp") = TIMESTAMP '2024-01-15 12:00:00'),
+users_hour AS (SELECT h, email AS id, quota, CAST(sum(bytes) AS BIGINT) AS value FROM one GROUP BY ALL)
+SELECT h AS "timestamp", id, value, 'id_bytes_total' AS report FROM users_hour
+UNION ALL SELECT h, antenna_id, CAST(sum(bytes) AS BIGINT), 'antenna_bytes_total' FROM one GROUP BY ALL
+UNION ALL SELECT h, app, CAST(sum(bytes) AS BIGINT), 'app_bytes_total' FROM one GROUP BY ALL
+UNION ALL SELECT h, id, value, 'quota_excess' FROM users_hour WHERE value > quota""",
     "stream_usage_minute": _WITH.rstrip()
     + ",\n"
     + _FANOUT

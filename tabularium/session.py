@@ -10,8 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "tabularium", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults the operators expect; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app: str = "tabularium", master: str | None = None, shared: str | None = None, **conf: str
+) -> SparkSession:
+    """A session with the defaults the operators expect, in UTC.
+
+    ``shared`` is the folder for checkpoints and intermediate tables that driver and executors all
+    see (``spark.checkpoint.dir``); ``conf`` keys use ``__`` for dots.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,35 +27,57 @@ def build_session(app: str = "tabularium", master: str | None = None, **conf: st
     )
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config(CHECKPOINT_KEY, shared)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Windows, archive partitions and date parts are all defined in UTC."""
+    """Windows, archive partitions and date parts are defined in UTC.
+
+    A session in another zone is switched to UTC for good: results of the caller's own queries in that
+    session then are in UTC, too. ``build_session`` starts in UTC.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
-_fallback: dict[str, str] = {}
+_own: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is named."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a purely local session (driver and tasks in one process) gets a temporary folder of its own
+    where none is named; anywhere else other machines could not read it, so that is an error.
+    """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
-        app = spark.sparkContext.applicationId
-        if app not in _fallback:
-            _fallback[app] = tempfile.mkdtemp(prefix="tabularium-")
-        folder = _fallback[app]
+        app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="tabularium-")
+        folder = _own[app]
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate folders this session has made; frames that read them end with it."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    conf, kind = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    return sum(bool(kind(p).getFileSystem(conf).delete(kind(p), True)) for p in paths)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -61,13 +89,3 @@ def stored(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer partitions than that; otherwise unchanged.
-
-    Meant for a frame that is just a scan, before work that is heavy per row. Large inputs have
-    more partitions than the cluster has cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.session import spread, use_utc
+from tabularium.session import use_utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,21 +139,20 @@ def house_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"))
+    return table(spark, sf_dir, "pages")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chat comments with the nested annotation the cleaning job reads."""
+    """All chat comments with the nested annotation the cleaning job reads; without labels it is empty."""
     docs = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return docs.join(labels, "doc_id").select(
-        "doc_id",
-        F.col("text").alias("content"),
-        F.struct(F.array(F.col("toxic").cast("string")).alias("label")).alias("annotation"),
+    marks = F.array_compact(F.array(F.col("toxic").cast("string")))
+    return docs.join(labels, "doc_id", "left").select(
+        "doc_id", F.col("text").alias("content"), F.struct(marks.alias("label")).alias("annotation")
     )
 
 

@@ -92,10 +92,18 @@ def read_text_latin1(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_comments(lines: DataFrame) -> DataFrame:
-    """JSON lines -> ``(content, label)`` with the first annotation label."""
-    parsed = lines.select(F.from_json("value", COMMENT).alias("j"))
+def write_lines_latin1(df: DataFrame, column: str, path: str) -> None:
+    """Lines of ISO-8859-1 text."""
+    df.select(F.col(column).alias("value")).write.mode("overwrite").option("encoding", "ISO-8859-1").csv(
+        path, quote="", escape="", sep="\u0001", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def parse_comments(lines: DataFrame, *keys) -> DataFrame:
+    """JSON lines -> ``keys``, ``content`` and ``label`` (the first annotation label)."""
+    parsed = lines.select(*keys, F.from_json("value", COMMENT).alias("j"))
     return parsed.select(
+        *parsed.columns[:-1],
         F.col("j.content").alias("content"),
         F.try_element_at(F.col("j.annotation.label"), F.lit(1)).alias("label"),
     )
@@ -106,12 +114,28 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Feature collection documents -> one row per feature."""
+    """Feature collection documents -> one row per feature; a document is read by one task.
+
+    ``read_feature_lines`` reads the splittable form with a feature per line.
+    """
     documents = spark.read.schema(FEATURE_COLLECTION).option("multiLine", True).json(path)
     return documents.select(F.explode("features").alias("f")).select("f.properties.*")
 
 
+def write_feature_lines(df: DataFrame, path: str) -> None:
+    """One feature per line: ``properties`` holds the columns."""
+    df.select(F.struct(*df.columns).alias("properties")).write.mode("overwrite").json(path)
+
+
+def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Features from JSON lines, which split over tasks."""
+    lines = spark.read.schema(FEATURE_COLLECTION["features"].dataType.elementType).json(path)
+    return lines.select("properties.*")
+
+
 def pages_to_content(pages: DataFrame, url: str = "url", html: str = "html", order: str = "page_id"):
     """One ``(url, text)`` row per address; the page with the highest ``order`` wins."""
-    latest = pages.groupBy(url).agg(F.max_by(html, order).alias(html))
-    return latest.select(url, html_text(html).alias("text"))
+    # Only the two narrow columns are aggregated; ``order`` is unique within an address.
+    latest = pages.groupBy(url).agg(F.max(order).alias(order))
+    first = pages.join(latest, [url, order])
+    return first.select(url, html_text(html).alias("text"))

@@ -60,16 +60,19 @@ def batch_folder_writer(root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def jdbc_batch_writer(write_table, delivered) -> Callable[[DataFrame, int], None]:
-    """Appends to a table, skipping batches that ``delivered(batch_id)`` reports as written.
-
-    ``write_table(df)`` gets the rows with their ``batch_id``, so the table itself can answer
-    ``delivered``.
+def jdbc_batch_writer(
+    write_table: Callable[[DataFrame], None], remove_batch: Callable[[int], None]
+) -> Callable[[DataFrame, int], None]:
+    """Appends micro-batches to a table that commits partition by partition.
+
+    ``remove_batch(batch_id)`` deletes the rows of a batch, then ``write_table(df)`` appends them
+    with their ``batch_id``. A batch that failed half way is replayed by the stream, and what it had left goes first,
+    so the table ends up with every row once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not delivered(batch_id):
-            write_table(batch.withColumn("batch_id", F.lit(batch_id)))
+        remove_batch(batch_id)
+        write_table(batch.withColumn("batch_id", F.lit(batch_id)))
 
     return write
 

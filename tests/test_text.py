@@ -1,3 +1,4 @@
+import hashlib
 import json
 import re
 
@@ -120,11 +121,38 @@ def test_label_index_is_alphabetical(spark):
 
 
 def test_embeddings_align_with_the_vocabulary(spark, talks):
-    model = ops.fit_word_vectors(talks, size=4, min_count=2, epochs=1, partitions=1)
-    table = {r["word"]: r["vector"] for r in ops.embedding_table(ops.vocabulary(talks), model.getVectors(), 4).collect()}
+    vocab = ops.vocabulary(talks)
+    counts = ops.context_counts(talks, vocab, size=4, min_count=2)
+    table = {r["word"]: r["vector"] for r in ops.embedding_table(vocab, counts, 4).collect()}
     assert any(table["a"]) and table["b"] == [0.0] * 4
 
 
+def test_context_counts_by_hand(spark):
+    text = "p q r s p q p"
+    df = spark.createDataFrame([(1, text), (2, " ".join("p q".split() * 9))], "k int, text string")
+    got = {
+        (r["word"], r["dim"]): r["value"]
+        for r in ops.context_counts(df, ops.vocabulary(df), size=5, window=2, min_count=1).collect()
+    }
+    want = {}
+    for line in (text, "p q " * 9):
+        words = line.split()
+        for i, w in enumerate(words):
+            for j in range(max(i - 2, 0), min(i + 3, len(words))):
+                if i != j:
+                    digest = hashlib.md5(words[j].encode()).hexdigest()
+                    key = w, int(digest[:8], 16) % 5 + 1
+                    want[key] = want.get(key, 0) + (-1 if int(digest[8], 16) % 2 else 1)
+    assert got == want
+
+
+def test_feature_lines(spark, tmp_path):
+    df = spark.createDataFrame([(1, "A", None, [(2, 3)])], "cartodb_id long, name string, avgprice double, avgbedrooms array<struct<bedrooms:int,total:bigint>>")
+    io.write_feature_lines(df, f"{tmp_path}/lines")
+    row = io.read_feature_lines(spark, f"{tmp_path}/lines").first()
+    assert row["name"] == "A" and row["avgprice"] is None and row["avgbedrooms"][0]["total"] == 3
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [("bad ugly nasty" if i % 2 else "nice kind good", "TROLL" if i % 2 else "NO_TROLL") for i in range(40)]
