@@ -3,7 +3,7 @@
 import corpus_pipeline as pipeline
 from tabularium.llm import langid, quality
 from tabularium.llm.common import table
-from tests.llm.test_texts import brute_components, brute_hits
+from .test_texts import brute_components, brute_hits
 
 
 def test_stages_by_brute_force(spark, small):
