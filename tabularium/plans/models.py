@@ -84,19 +84,9 @@ def lasso_log(spark: SparkSession, sf: str) -> DataFrame:
     return errors.select("part", F.lit(best).alias("alpha"), "mse", "rmse")
 
 
-def forest_cv(spark: SparkSession, sf: str) -> DataFrame:
-    """Held-out R2 per depth. The operator's defaults are depths 1-14, 200 trees and 5 folds."""
-    train, _ = model_frame(spark, sf)
-    depths = [2, 5, 9]
-    found = models.forest_cv(train, FEATURES, "price", "id", depths, trees=10, folds=3)
-    return spark.createDataFrame(
-        [(d, float(r)) for d, r in zip(depths, found.avgMetrics)], "depth int, r2 double"
-    )
-
-
 def importances(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = model_frame(spark, sf)
-    model = models.fit_forest(train, FEATURES, "price", depth=9, trees=20)
+    model = models.fit_forest(train, FEATURES, "price", depth=9, trees=200)
     return models.importances(spark, model, FEATURES)
 
 
@@ -157,7 +147,6 @@ QUERIES = {
         lasso_cv,
         lasso_fit,
         lasso_log,
-        forest_cv,
         importances,
         group_clusters,
         pca_shares,

@@ -51,7 +51,7 @@ def group_similarity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def test_p_values(spark: SparkSession, sf: str) -> DataFrame:
-    """Tail probabilities of the tests above, and of a Kolmogorov-Smirnov test of the prices."""
+    """Statistics and tail probabilities of the analysis of variance and the rank test."""
     df = shapes.listings(spark, sf)
     parts = [
         hypothesis.anova(df, "neighbourhood", "price").select(
@@ -60,9 +60,13 @@ def test_p_values(spark: SparkSession, sf: str) -> DataFrame:
         hypothesis.kruskal_wallis(df, "neighbourhood", "square_feet").select(
             F.lit("kruskal_wallis").alias("test"), F.col("h").alias("statistic"), "p"
         ),
-        hypothesis.ks_normal(df, "price", *KNOWN_PRICE).select(F.lit("ks").alias("test"), "statistic", "p"),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _fixed(parts[0].unionByName(parts[1]), 6, "statistic", "p")
+
+
+def ks_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Kolmogorov-Smirnov test of the prices against a given normal law."""
+    return hypothesis.ks_normal(shapes.listings(spark, sf), "price", *KNOWN_PRICE)
 
 
 def normality(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +79,8 @@ def proportion_ci(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def proportion_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return hypothesis.proportion_interval(shapes.listings(spark, sf), "bedrooms", 3)
+    df = hypothesis.proportion_interval(shapes.listings(spark, sf), "bedrooms", 3)
+    return _fixed(df.select("hits", "n", "low", "high"), 6, "low", "high")
 
 
 def ols_normal_eq(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,6 +200,7 @@ QUERIES = {
         tukey_to_control,
         group_similarity,
         test_p_values,
+        ks_prices,
         normality,
         proportion_ci,
         proportion_bounds,
@@ -335,6 +341,83 @@ SELECT property_type, n, {fixed_sql('sk', 6)} AS skewness, {fixed_sql('ku', 6)}
     + _ols_row("square_feet", "ca", "sbb / det")
     + "\nUNION ALL "
     + _ols_row("bedrooms", "cb", "saa / det"),
+    # With an even number of degrees between groups both tails are finite sums.
+    "test_p_values": _MORE
+    + _MOM.format(g="neighbourhood", v="price")
+    + f""",
+grand AS (SELECT sum(n * m) / sum(n) AS g FROM stats),
+a AS (SELECT count(*) - 1 AS d1, sum(n) - count(*) AS d2,
+    (sum(n * pow(m - grand.g, 2)) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*))) AS f FROM stats, grand),
+ranked AS (SELECT neighbourhood,
+    count(*) OVER (PARTITION BY square_feet)::DOUBLE AS t,
+    rank() OVER (ORDER BY square_feet)
+      + (count(*) OVER (PARTITION BY square_feet) - 1) / 2.0::DOUBLE AS r
+  FROM listings WHERE square_feet IS NOT NULL),
+per AS (SELECT neighbourhood, count(*)::DOUBLE AS n, sum(r) AS rs, sum(t * t - 1) AS tp
+  FROM ranked GROUP BY 1),
+tot AS (SELECT sum(n) AS big FROM per),
+k AS (SELECT count(*) - 1 AS df, (12.0::DOUBLE * sum(n * pow(rs / n - (big + 1) / 2, 2))
+  / (max(big) * (max(big) + 1))) / (1 - sum(tp) / (pow(max(big), 3) - max(big))) AS h FROM per, tot),
+tails AS (
+  SELECT 'anova' AS test, f AS s, list_sum(list_transform(range(0, CAST(d1 / 2 AS BIGINT)),
+    lambda j: exp(d2 / 2 * ln(d2 / (d2 + d1 * f)) + lgamma(d2 / 2 + j) - lgamma(d2 / 2)
+      - lgamma(j + 1.0::DOUBLE) + j * ln(d1 * f / (d2 + d1 * f))))) AS p FROM a
+  UNION ALL SELECT 'kruskal_wallis', h, list_sum(list_transform(range(0, CAST(df / 2 AS BIGINT)),
+    lambda j: exp(-h / 2 + j * ln(h / 2) - lgamma(j + 1.0::DOUBLE)))) FROM k)
+SELECT test, {fixed_sql('s', 6)} AS statistic, {fixed_sql('p', 6)} AS p FROM tails""",
+    "proportion_bounds": "WITH RECURSIVE "
+    + LISTINGS
+    + f""",
+c AS (SELECT count(*) FILTER (bedrooms = 3) AS hits, count(*) AS n FROM listings),
+bounds AS (  -- bisection: P(X >= hits) = 0.05 at the lower bound, P(X <= hits) = 0.05 at the upper
+  SELECT 0 AS i, hits, n, 0.0::DOUBLE AS a0, 1.0::DOUBLE AS a1, 0.0::DOUBLE AS b0, 1.0::DOUBLE AS b1 FROM c
+  UNION ALL
+  SELECT i + 1, hits, n, CASE WHEN up < 0.05 THEN (a0 + a1) / 2 ELSE a0 END,
+    CASE WHEN up < 0.05 THEN a1 ELSE (a0 + a1) / 2 END,
+    CASE WHEN down > 0.05 THEN (b0 + b1) / 2 ELSE b0 END,
+    CASE WHEN down > 0.05 THEN b1 ELSE (b0 + b1) / 2 END
+  FROM (SELECT *,
+      1 - list_sum(list_transform(range(0, hits), lambda k: exp(lgamma(n + 1.0::DOUBLE) - lgamma(k + 1.0::DOUBLE)
+        - lgamma(n - k + 1.0::DOUBLE) + k * ln((a0 + a1) / 2) + (n - k) * ln(1 - (a0 + a1) / 2)))) AS up,
+      list_sum(list_transform(range(0, hits + 1), lambda k: exp(lgamma(n + 1.0::DOUBLE) - lgamma(k + 1.0::DOUBLE)
+        - lgamma(n - k + 1.0::DOUBLE) + k * ln((b0 + b1) / 2) + (n - k) * ln(1 - (b0 + b1) / 2)))) AS down
+    FROM bounds WHERE i < 45))
+SELECT hits, n, {fixed_sql('(a0 + a1) * 50', 6)} AS low, {fixed_sql('(b0 + b1) * 50', 6)} AS high
+FROM bounds WHERE i = 45""",
+    # The dummies are eliminated: slopes from the cross products within levels, levels from their means.
+    "ols_summary": _MORE
+    + f"""lv AS (SELECT room_type AS g, count(*)::DOUBLE AS n, avg(accommodates) AS a, avg(bedrooms) AS b,
+    avg(price) AS y, count(*) * var_pop(accommodates) AS aa, count(*) * var_pop(bedrooms) AS bb,
+    count(*) * var_pop(price) AS yy, count(*) * covar_pop(accommodates, bedrooms) AS ab,
+    count(*) * covar_pop(accommodates, price) AS ay, count(*) * covar_pop(bedrooms, price) AS byy
+  FROM listings GROUP BY 1),
+s AS (SELECT sum(n) AS n, count(*) AS k, sum(aa) AS aa, sum(bb) AS bb, sum(yy) AS yy, sum(ab) AS ab,
+    sum(ay) AS ay, sum(byy) AS byy, sum(n * y) / sum(n) AS ym, sum(aa) * sum(bb) - sum(ab) * sum(ab) AS det FROM lv),
+e AS (SELECT *, (bb * ay - ab * byy) / det AS ca, (aa * byy - ab * ay) / det AS cb, n - k - 2 AS dof FROM s),
+q AS (SELECT e.*, (yy - ca * ay - cb * byy) / dof AS s2,
+    1 - (yy - ca * ay - cb * byy) / (yy + (SELECT sum(lv.n * pow(lv.y - s.ym, 2)) FROM lv, s)) AS r2 FROM e),
+r AS (SELECT * FROM lv ORDER BY g LIMIT 1),
+terms AS (
+  SELECT '(intercept)' AS term, r.y - q.ca * r.a - q.cb * r.b AS est,
+    q.s2 * (1 / r.n + (r.a * r.a * q.bb - 2 * r.a * r.b * q.ab + r.b * r.b * q.aa) / q.det) AS var FROM q, r
+  UNION ALL SELECT 'accommodates', ca, s2 * bb / det FROM q
+  UNION ALL SELECT 'bedrooms', cb, s2 * aa / det FROM q
+  UNION ALL SELECT 'room_type=' || lv.g, lv.y - r.y - q.ca * (lv.a - r.a) - q.cb * (lv.b - r.b),
+    q.s2 * (1 / lv.n + 1 / r.n + (pow(lv.a - r.a, 2) * q.bb - 2 * (lv.a - r.a) * (lv.b - r.b) * q.ab
+      + pow(lv.b - r.b, 2) * q.aa) / q.det)
+  FROM lv, r, q WHERE lv.g <> r.g),
+t AS (SELECT term, est, sqrt(var) AS se, est / sqrt(var) AS t, dof, r2,
+    least(abs(est / sqrt(var)), 12) / 1200 AS h FROM terms, q),
+-- Simpson's rule on the density up to |t|; the quantile from its expansion in 1 / degrees
+p AS (SELECT *, greatest(0, 1 - 2 * h / 3 * list_sum(list_transform(range(0, 1201), lambda i:
+      (CASE WHEN i IN (0, 1200) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+      * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2) - (dof + 1) / 2 * ln(1 + i * h * i * h / dof))
+      / sqrt(dof * pi())))) AS p,
+    1.959963984540054::DOUBLE + (pow(1.959963984540054::DOUBLE, 3) + 1.959963984540054::DOUBLE) / (4 * dof)
+      AS z FROM t)
+SELECT term, {fixed_sql('est', 4)} AS estimate, {fixed_sql('se', 4)} AS std_error, {fixed_sql('t', 4)} AS t,
+  {fixed_sql('p', 4)} AS p, {fixed_sql('est - z * se', 4)} AS low, {fixed_sql('est + z * se', 4)} AS high,
+  {fixed_sql('r2', 4)} AS r2 FROM p""",
     "residual_table": with_ctes(_HOUSES)
     + f"""SELECT id, sale_price, {fixed_sql('f', 6)} AS fitted, {fixed_sql('sale_price - f', 6)} AS residual
 FROM (SELECT h.*, c0 + c1 * living_area AS f FROM houses h,
