@@ -50,40 +50,45 @@ def _unit(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def _inverse(u: Column, rate: Column) -> Column:
-    """Smallest k with P(X <= k) > u; ``rate`` is at most PART_RATE, where 64 steps reach 1 - 2^-53."""
-    first = F.struct(F.lit(0).alias("k"), F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf"))
+def distribution(rate: Column) -> Column:
+    """P(X <= k) for k = 0..63 of the Poisson law; with a rate up to PART_RATE that reaches 1 - 2^-53."""
+    first = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("cdf"))
 
-    def step(acc: Column, i: Column) -> Column:
-        p = acc["p"] * rate / i
-        grown = F.struct((acc["k"] + 1).alias("k"), p.alias("p"), (acc["cdf"] + p).alias("cdf"))
-        return F.when(acc["cdf"] <= u, grown).otherwise(acc)
+    def step(acc: Column, k: Column) -> Column:
+        p = acc["p"] * rate / k
+        total = F.element_at(acc["cdf"], -1) + p
+        return F.struct(p.alias("p"), F.concat(acc["cdf"], F.array(total)).alias("cdf"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, step, lambda acc: acc["k"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(63)), first, step, lambda acc: acc["cdf"])
 
 
-def copies(seed: str, rate: Column) -> Column:
-    """Poisson count of a document: hashed from ``seed``, doc_id and text."""
+def copies(seed: str, parts: Column, cdf: Column) -> Column:
+    """Poisson count of a document: numbers hashed from ``seed``, doc_id and text, inverted one by one."""
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                             F.coalesce(F.col("text"), F.lit(""))))
-    parts = F.greatest(F.ceil(rate / PART_RATE), F.lit(1)).cast("int")
-    one = lambda i: _inverse(_unit(key, i), rate / parts)
-    return F.when(
-        rate > 0, F.aggregate(F.transform(F.sequence(F.lit(1), parts), one), F.lit(0), lambda a, k: a + k)
-    ).otherwise(0)
+    numbers = F.transform(F.sequence(F.lit(1), parts), lambda i: _unit(key, i))
+    counts = F.transform(numbers, lambda u: F.size(F.filter(cdf, lambda c: c <= u)))
+    return F.aggregate(counts, F.lit(0), lambda a, k: a + k)
 
 
 def mix(docs: DataFrame, targets: DataFrame | None = None, seed: str = SEED, marks: bool = False) -> DataFrame:
     """Replicated documents in a global random order; sources without a target vanish."""
     wanted = targets if targets is not None else tempered_targets(docs)
-    by_source = rates(docs, wanted).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    parts = F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int")
+    by_source = rates(docs, wanted).where("rate > 0").select(
+        F.col("source").alias("__source"), parts.alias("__parts"), distribution(F.col("rate") / parts).alias("__cdf")
+    )
+    by_source = kept_table(by_source, "poisson")
     joined = docs.join(by_source, docs["source"].eqNullSafe(F.col("__source")))
     out = [c for c in docs.columns if not (marks and c in ("copy", "shuffle_key"))]
-    counted = joined.withColumn("__n", copies(seed, F.col("__rate"))).where("__n > 0")
+    counted = joined.withColumn("__n", copies(seed, F.col("__parts"), F.col("__cdf"))).where("__n > 0")
     each = counted.select(*out, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
-    shuffled = each.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "text", "__copy"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = shuffled.repartitionByRange(parts, "__key").sortWithinPartitions("__key")
+    keyed = each.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "text", "__copy"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # hashes are even over their range, so the range partition of a key needs no sample
+    share = (F.col("__key").cast("double") + 2.0**63) / 2.0**64
+    place = F.least(F.floor(share * n), F.lit(n - 1)).cast("int")
+    ordered = keyed.repartitionById(n, place).sortWithinPartitions("__key")
     extra = [F.col("__copy").alias("copy"), F.col("__key").alias("shuffle_key")] if marks else []
     return ordered.select(*out, *extra)
 

@@ -251,7 +251,8 @@ def test_mixing_by_brute_force(spark):
 
 def test_large_rates_and_the_global_order(spark):
     docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("s").alias("source"))
-    rate = docs.select(mixing.copies("x", F.lit(300.0)).alias("n")).agg(F.avg("n")).head()[0]
+    counts = mixing.copies("x", F.lit(40), mixing.distribution(F.lit(7.5)))
+    rate = docs.select(counts.alias("n")).agg(F.avg("n")).head()[0]
     assert 285 < rate < 315
     marked = mixing.mix(docs.withColumn("copy", F.lit("clash")), marks=True).collect()
     keys = [r["shuffle_key"] for r in marked]
