@@ -7,7 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.functions.columns import fixed, square_metres, unit_number
+from tabularium.functions.columns import fixed, parse_day, square_metres, unit_number, year_offset
 from tabularium.operators import cleaning, groups, similarity, splits
 from tabularium.plans.common import FEATURES, LISTINGS, POSTAL_CODES, fixed_sql, with_ctes
 from tabularium.session import new_folder
@@ -217,6 +217,25 @@ def qq_table(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumns({c: fixed(c, 4) for c in ["theoretical", "sample", "line"]})
 
 
+def listing_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Day texts parsed, years as an offset, unreadable days filled with the neighbourhood's mode."""
+    written = F.when(F.col("bedrooms") == 6, F.lit("n/a")).otherwise(F.date_format("listed_on", "yyyy-MM-dd"))
+    df = shapes.listings(spark, sf).select("neighbourhood", parse_day(written).alias("day"))
+    df = df.select("neighbourhood", year_offset("day", 1990).alias("years"), F.col("day").isNull().alias("filled"))
+    out = groups.fill_group_mode(df, "neighbourhood", "years")
+    return out.groupBy("neighbourhood", "years", "filled").agg(F.count(F.lit(1)).alias("n"))
+
+
+def feature_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbourhood features written as JSON lines (one feature each) and read back."""
+    path = new_folder(spark, "features")
+    text.write_feature_lines(shapes.features(spark, sf), path)
+    total = F.aggregate("avgbedrooms", F.lit(0).cast("long"), lambda acc, b: acc + b["total"])
+    return text.read_feature_lines(spark, path).select(
+        "name", "avgprice", F.size("avgbedrooms").alias("sizes"), total.alias("listings")
+    )
+
+
 def feature_rollup(spark: SparkSession, sf: str) -> DataFrame:
     df = groups.price_colours(groups.feature_rollup(shapes.features(spark, sf)))
     return df.drop("avgbedrooms").withColumns(
@@ -280,6 +299,8 @@ QUERIES = {
         density_grid,
         box_stats,
         qq_table,
+        listing_dates,
+        feature_lines,
         feature_rollup,
         feature_bars,
         keyed_dot,
@@ -351,6 +372,19 @@ modes AS (SELECT neighbourhood, square_feet AS mode FROM counted
 _BUCKET = "CAST(('0x' || substr(md5({salt}{key}), 1, 8)) AS BIGINT) % 100"
 
 SQL = {
+    "listing_dates": _L.rstrip()
+    + """,
+d AS (SELECT neighbourhood, CASE WHEN bedrooms <> 6 THEN CAST(year(listed_on) - 1990 AS INTEGER) END AS years
+  FROM listings),
+c AS (SELECT neighbourhood, years, count(*) AS n FROM d WHERE years IS NOT NULL GROUP BY ALL),
+m AS (SELECT neighbourhood, arg_min(years, [-n, years]) AS mode FROM c GROUP BY 1)
+SELECT d.neighbourhood, coalesce(years, mode) AS years, years IS NULL AS filled, count(*) AS n
+FROM d LEFT JOIN m ON d.neighbourhood = m.neighbourhood GROUP BY ALL""",
+    "feature_lines": """WITH p AS (SELECT p_brand AS name, CAST(p_size % 6 AS INTEGER) AS bedrooms,
+    CAST(round(p_retailprice * 100) AS BIGINT) AS cents FROM part)
+SELECT name, CASE WHEN name NOT IN ('Brand#3', 'Brand#11')
+    THEN floor(sum(cents) / 100.0::DOUBLE / count(*) * 100 + 0.5::DOUBLE)::DOUBLE END AS avgprice,
+  CAST(count(DISTINCT bedrooms) AS INTEGER) AS sizes, count(*) AS listings FROM p GROUP BY 1""",
     "listing_clean": _L
     + """, measured AS (SELECT *, round(square_feet * 0.092903::DOUBLE, 2) AS m2 FROM listings
   WHERE room_type = 'A' AND neighbourhood <> '')

@@ -116,7 +116,32 @@ def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_scored_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages per 15 second window, and how many had no usable text."""
+    """Messages per 15 second window: how many had no usable text, how many a label that fits their score.
+
+    Not checked: which of the two labels a message gets.
+    """
+    return (
+        _scored_messages(spark, sf)
+        .groupBy(as_wall_clock("m.window_start").alias("window_start"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("m.label") == tx.UNDEFINED).alias("undefined"),
+            F.count_if(F.col("m.label") == tx.label_of_score(F.col("m.score"))).alias("labelled"),
+            F.sum(F.length("m.text")).alias("chars"),
+        )
+    )
+
+
+def stream_label_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages per 15 second window and label."""
+    window = as_wall_clock("m.window_start").alias("window_start")
+    return _scored_messages(spark, sf).groupBy(window, F.col("m.label").alias("label")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _scored_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The message stream scored, written to its sink and read back."""
     model, _ = _model_and_rest(spark, sf)
     root = new_folder(spark, "scored")
     scored = scoring.score_messages(_message_stream(spark, sf), model)
@@ -125,17 +150,9 @@ def stream_scored_windows(spark: SparkSession, sf: str) -> DataFrame:
         topic, batch_folder_writer(f"{root}/data"), f"{root}/state"
     ).awaitTermination()
     fields = "text string, label string, score double, window_start timestamp"
-    back = spark.read.parquet(f"{root}/data").select(
+    return spark.read.parquet(f"{root}/data").select(
         F.from_json(F.decode("value", "UTF-8"), fields).alias("m")
     )
-    return (
-        back.groupBy(as_wall_clock("m.window_start").alias("window_start"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("m.label") == tx.UNDEFINED).alias("undefined"),
-            F.sum(F.length("m.text")).alias("chars"),
-        )
-    )
 
 
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,6 +238,7 @@ QUERIES = {
         text_classifier,
         batch_scoring,
         stream_scored_windows,
+        stream_label_windows,
         page_text,
         page_content,
         page_tokens,
@@ -313,6 +331,7 @@ FROM cleaned""",
     "stream_scored_windows": f"""SELECT
   time_bucket(INTERVAL 15 SECOND, make_timestamp((1704067200 + doc_id) * 1000000)) AS window_start,
   count(*) AS n, count(*) FILTER (len({_tokens_sql('text')}) = 0) AS undefined,
+  count(*) FILTER (len({_tokens_sql('text')}) > 0) AS labelled,
   CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1""",
     "page_text": with_ctes(_PAGES) + "SELECT page_id, url, text FROM texts",
     "page_content": with_ctes(_PAGES)

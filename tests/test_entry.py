@@ -6,12 +6,20 @@ FAST = [
     "histogram_bins", "keyed_dot", "box_stats", "page_text", "clean_comments",
 ]
 
+# Results of fitted models and of the studentised range, which SQL has no means to repeat.
+UNCHECKED = {
+    "group_similarity", "ks_prices", "lasso_cv", "lasso_fit", "lasso_log", "importances", "group_clusters",
+    "pca_shares", "pca_loadings", "pca_neighbours", "svd_lowrank", "text_classifier", "batch_scoring",
+    "stream_label_windows",
+}
+
 
 def test_every_sql_twin_belongs_to_a_query():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
     assert all(callable(q) for q in queries.values())
-    assert len(sql) >= 0.7 * len(queries)
+    rest = {q for q in queries if q != "pipeline" and not q.startswith("op")} - set(sql)
+    assert rest <= UNCHECKED
 
 
 def test_flagship_query(spark, small):
