@@ -26,6 +26,8 @@ SHARE = 20  # contaminated when SHARE * n_hit >= n_words
 KEY_LENGTHS = (1, 2, 4, 8)
 #: A test window takes about 300 bytes in a broadcast; more rows than this are joined by shuffle.
 BROADCAST_WINDOWS = 500_000
+#: Contaminated documents take about 200 bytes each in a broadcast (spans more); beyond this the texts are shuffled.
+BROADCAST_DOCUMENTS = 200_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -120,22 +122,23 @@ def measured(found: DataFrame) -> DataFrame:
     )
 
 
+def _contaminated(docs: DataFrame, items: DataFrame, *more: Column) -> DataFrame:
+    """Ids and text hashes of contaminated documents, to be joined with the texts."""
+    bad = measured(hits(docs, items)).where("contaminated")
+    stored = kept_table(bad.select(F.col("doc_id").alias("__id"), F.col("_s").alias("__key"), *more), "contaminated")
+    return F.broadcast(stored) if stored.count() <= BROADCAST_DOCUMENTS else stored
+
+
 def remove_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, columns unchanged. Clean documents all stay."""
-    bad = measured(hits(docs, items)).where("contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("_s").alias("__key")
-    )
-    stored = kept_table(bad, "contaminated")
+    stored = _contaminated(docs, items)
     same = docs["doc_id"].eqNullSafe(stored["__id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["__key"])
     return docs.join(stored, same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with hit words cut out of contaminated texts (the rest joined by single spaces, lower-cased)."""
-    bad = measured(hits(docs, items)).where("contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("_s").alias("__key"), F.col("spans").alias("__spans")
-    )
-    stored = kept_table(bad, "contaminated")
+    stored = _contaminated(docs, items, F.col("spans").alias("__spans"))
     words = word_array(docs["text"])
     inside = lambda i: F.exists(stored["__spans"], lambda s: (s["first"] <= i + 1) & (i + 1 < s["end"]))
     rest = F.array_join(F.filter(words, lambda _, i: ~inside(i)), " ")

@@ -58,12 +58,13 @@ DROP_KINDS = frozenset(
 )
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 DROP_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos "
+    "ad ads adv adbox adslot adunit adsbygoogle advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos "
     "promotion banner sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
     "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe signup login "
     "social share sharing related recommended recommendations comment comments disqus reply replies respond widget "
-    "widgets pagination pager toolbar copyright".split()
+    "widgets pagination pager toolbar copyright skip".split()
 )
+WITHOUT = frozenset("has no not with without".split())  # has-sidebar names what surrounds a sidebar
 OWN_HEADER = frozenset("article post entry content story main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
@@ -204,7 +205,9 @@ class Page:
             if key in ("class", "id"):
                 for word in value.split():
                     parts = [p.lower() for p in NAME_PART.findall(word)]
-                    bad = DROP_NAMES.intersection(parts)
+                    pairs = [a + b for a, b in zip(parts, parts[1:])]  # sideBar, sign-up
+                    bad = DROP_NAMES.intersection(pairs)
+                    bad |= {p for i, p in enumerate(parts) if p in DROP_NAMES and (not i or parts[i - 1] not in WITHOUT)}
                     if bad and not (bad <= {"header"} and OWN_HEADER.intersection(parts)):
                         return True
         return False
@@ -256,11 +259,14 @@ def main_nodes(page: Page, dropped: list[bool]) -> list[bool]:
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
     chosen = [False] * n
-    whole = next((i for kinds in (("article",), ("main",)) for i in reversed(path) if page.kind[i] in kinds), None)
-    if whole is None:
-        inner = [i for i in range(n) if page.kind[i] in ("article", "main") and not dropped[i]]
+    whole = None
+    for kind in ("article", "main"):
+        around = [i for i in reversed(path) if page.kind[i] == kind]
+        inner = [i for i in range(n) if page.kind[i] == kind and not dropped[i]]
         top = max(inner, key=lambda i: (chars[i], -i), default=None)
-        whole = top if top is not None and 2 * chars[top] >= chars[best] else None
+        if around or (top is not None and 2 * chars[top] >= chars[best] > 0):
+            whole = around[0] if around else top
+            break
     if whole is not None:
         chosen[whole] = True
     else:

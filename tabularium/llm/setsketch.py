@@ -216,11 +216,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (bucket, node, label) with labels joined along the links (a, b) between labels."""
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) joined along the links (a, b) between labels."""
     found = components(links).select(F.col("node").alias("label"), F.col("label").alias("_to"))
-    moved = members.join(found, "label", "left")
-    return kept_table(moved.select("bucket", "node", F.coalesce("_to", "label").alias("label")), "members")
+    moved = labels.join(found, "label", "left")
+    return kept_table(moved.select("node", F.coalesce("_to", "label").alias("label")), "labels")
+
+
+def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, label) of the buckets whose nodes have different labels."""
+    named = members.select("bucket", "node").join(labels, "node")
+    span = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return kept_table(named.join(span.where("low <> high").select("bucket"), "bucket"), "members")
 
 
 def _round_pairs(members: DataFrame, turn: int) -> DataFrame:
@@ -231,11 +238,8 @@ def _round_pairs(members: DataFrame, turn: int) -> DataFrame:
         members, order = members.join(weight, "node"), F.struct("_w", F.xxhash64("node"))
     else:
         order = F.xxhash64("node", F.lit(turn))
-    pivots = members.groupBy("bucket").agg(
-        F.max_by(F.struct("node", "label"), order).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    open_ = pivots.where("low <> high").select("bucket", "pivot")
-    pairs = members.join(open_, "bucket").where("label <> pivot.label").withColumn("_p", F.col("pivot.node"))
+    pivots = members.groupBy("bucket").agg(F.max_by(F.struct("node", "label"), order).alias("pivot"))
+    pairs = members.join(pivots, "bucket").where("label <> pivot.label").withColumn("_p", F.col("pivot.node"))
     return pairs.select(F.least("node", "_p").alias("a"), F.greatest("node", "_p").alias("b"))
 
 
@@ -259,8 +263,7 @@ def _shingle_counts(texts: DataFrame, n: int) -> np.ndarray:
 
 def _rest_pairs(members: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """Pairs of different labels from open buckets that a prefix filter with places can not rule out."""
-    span = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = members.join(span.where("low <> high").select("bucket"), "bucket").select("node", "label").distinct()
+    open_ = members.select("node", "label").distinct()
     held = kept_table(texts.join(open_, "node").select("node", "label", "text"), "open-texts")
     shared = share(members.sparkSession, _shingle_counts(held, n))
 
@@ -325,26 +328,24 @@ def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:
     known = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = kept_table(known.join(side, "node"), "texts")
+    labels = kept_table(ids.select("node", F.col("node").alias("label")), "labels")
     tested = None
     for turn in range(ROUNDS + 1):
+        if turn:
+            members = _still_open(members, labels)
+            if members.isEmpty():
+                break
         drawn = (_round_pairs(members, turn) if turn < ROUNDS else _rest_pairs(members, texts, n)).distinct()
         if tested is not None:
             drawn = drawn.join(tested, ["a", "b"], "left_anti")
         drawn = kept_table(drawn, "pairs")
-        if drawn.isEmpty():
-            if turn < ROUNDS:
-                continue
-            break
         tested = drawn if tested is None else tested.union(drawn)
         hopeful = kept_table(_promising(drawn, nodes, NUMERATOR / DENOMINATOR), "promising")
         links = kept_table(_verified(hopeful, texts, n), "links")
-        if links.isEmpty():
-            continue
-        labels = members.select("node", "label").distinct()
         end = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"_{s}"))
         between = links.join(end("a"), "a").join(end("b"), "b").where("_a <> _b")
-        members = _relabelled(members, between.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
-    final = members.select("node", "label").where("node <> label").distinct()
+        labels = _relabelled(labels, between.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    final = labels.where("node <> label")
     named = copies.join(final, "node", "left").select(
         "k1", "k2", F.col("n_shingles"), F.coalesce("label", "node").alias("_c")
     )
@@ -357,14 +358,18 @@ def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:
 
 def deduplicate(docs: DataFrame, n: int = 5) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id. Columns unchanged."""
-    found = near_duplicates(docs, n).where("kept AND doc_id IS NOT NULL")
-    kept = kept_table(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).select(F.col("doc_id").alias("__id"), "__n"), "kept")
-    one = kept.where("__n = 1").select("__id")
-    more = kept.where("__n > 1").select("__id")
+    rows = near_duplicates(docs, n).where("doc_id IS NOT NULL")
+    ids = kept_table(rows.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n")), "kept")
     same = docs["doc_id"].cast("long") == F.col("__id")
-    single = docs.join(one, same, "left_semi")
-    repeated = docs.join(more, same, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
+
+    def listed(condition: str) -> DataFrame:
+        chosen = ids.where(condition).select(F.col("doc_id").alias("__id"))
+        return F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+
+    # ids that go, or that occur again, are fewer than those that stay
+    single = docs.join(listed("NOT __kept OR __n > 1"), same, "left_anti")
+    repeated = docs.join(listed("__kept AND __n > 1"), same, "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(repeated)
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:

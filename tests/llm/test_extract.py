@@ -18,6 +18,9 @@ MORE = "The second paragraph goes on about the same thing for a good while, as p
         (f"<article><p><b>{BODY}<br><p>{MORE}</p></article>", f"{BODY}\n\n{MORE}"),
         (f"<article><header><h1>Own</h1><span>by me</span></header><p>{BODY}</p>"
          f"<article class=comment><p>{MORE}</p></article></article>", f"Own\n\n{BODY}"),
+        (f"<main><article><p>{BODY}</p><p>{MORE}</p></article><div><p>{BODY}</p></div></main>", f"{BODY}\n\n{MORE}"),
+        (f"<div class='page has-sidebar'><div id=sideBar><p>{MORE}</p></div><div><p>{BODY}</p><p>{MORE}</p></div></div>",
+         f"{BODY}\n\n{MORE}"),
         (f"<ul><li>one<li>two &lt;b&gt;</ul><p>{BODY}", f"one\n\ntwo <b>\n\n{BODY}"),
         (f"<!-- <p>no</p> --><p>  a\n\t b&nbsp;c  </p><!-- open {BODY}", "a b c"),
         ("2 < 3 and <3", "2 < 3 and <3"),
