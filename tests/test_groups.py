@@ -70,8 +70,12 @@ def test_counts_and_means(spark, rooms):
 
 
 def test_group_removal(rooms):
-    assert {r["g"] for r in groups.drop_allnull_groups(rooms, "g", "v").collect()} == {"a", "c"}
+    assert {r["g"] for r in groups.drop_allnull_groups(rooms, "g", "v").collect()} == {"a", "c", None}
     assert {r["g"] for r in groups.drop_rare_groups(rooms, "g", 2).collect()} == {"a"}
+    twice = rooms.union(rooms.filter("g IS NULL"))
+    assert {r["g"] for r in groups.drop_rare_groups(twice, "g", 2).collect()} == {"a", None}
+    silent = rooms.withColumn("v", F.when(F.col("g").isNotNull(), F.col("v")))
+    assert None not in {r["g"] for r in groups.drop_allnull_groups(silent, "g", "v").collect()}
     sizes = {r["g"]: r["group_n"] for r in groups.with_group_count(rooms, "g").collect()}
     assert sizes["a"] == 3
 
@@ -113,6 +117,19 @@ def test_box_stats(spark):
     assert (r["q1"], r["median"], r["q3"], r["whisker_lo"], r["whisker_hi"], r["outliers"]) == (2.0, 3.0, 4.0, 1.0, 4.0, 1)
 
 
+def test_density_keeps_constant_groups(spark):
+    rows = [("c", 5.0)] * 4 + [("one", -3.0), ("zero", 0.0), ("zero", 0.0), (None, 2.0), ("none", None)]
+    out = groups.density_grid(spark.createDataFrame(rows, "g string, v double"), "g", "v", 64).collect()
+    by_group = {}
+    for r in out:
+        by_group.setdefault(r["g"], []).append((r["at"], r["density"]))
+    assert set(by_group) == {"c", "one", "zero", None}
+    for g, (size, n, centre) in {"c": (5, 4, 5), "one": (3, 1, -3), "zero": (1, 2, 0), None: (2, 1, 2)}.items():
+        bw = 0.9 * size * n**-0.2
+        at, density = max(by_group[g], key=lambda p: p[1])
+        assert abs(at - centre) < 0.1 * bw and abs(density * bw * math.sqrt(2 * math.pi) - 1) < 0.01
+
+
 def test_density_integrates_to_one(spark):
     random.seed(1)
     df = spark.createDataFrame([("a", random.gauss(0, 1)) for _ in range(400)], "g string, v double")

@@ -1,3 +1,4 @@
+import random
 import math
 
 import numpy as np
@@ -211,3 +212,47 @@ def test_forest_learns_and_ranks(spark):
     assert found.avgMetrics[1] > found.avgMetrics[0]
     ranked = models.importances(spark, models.fit_forest(df, names, "y", 4, 10), names).collect()
     assert ranked[0]["feature"] in ("a", "b") and ranked[0]["importance"] == 1.0
+
+
+def test_control_comparisons_are_rows_of_the_pair_table(three):
+    _, df = three
+    pairs = {}
+    for r in hypothesis.tukey_pairs(df, "g", "v").collect():
+        pairs[r["group_a"], r["group_b"]] = (r["diff"], r["low"], r["high"], r["p_adj"])
+        pairs[r["group_b"], r["group_a"]] = (-r["diff"], -r["high"], -r["low"], r["p_adj"])
+    control = min(a for a, _ in pairs)
+    got = hypothesis.tukey_to_control(df, "g", "v", control).collect()
+    assert len(got) == len({b for _, b in pairs}) - 1
+    for r in got:
+        want = pairs[control, r["g"]]
+        assert all(abs(a - b) < 1e-6 for a, b in zip((r["diff"], r["low"], r["high"], r["p_adj"]), want))
+
+
+def test_factor_regression_equals_least_squares_on_dummies(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        level = f"l{i % 250:03d}" if i % 3 else "base"
+        x, z = rng.gauss(0, 1), rng.gauss(2, 3)
+        rows.append((level, x, z, 1.5 * x - 0.5 * z + len(level) + (i % 7) + rng.gauss(0, 1)))
+    df = spark.createDataFrame(rows, "f string, x double, z double, y double")
+    levels = sorted({r[0] for r in rows})
+    design = np.array([[1.0, x, z, *[float(level == v) for v in levels[1:]]] for level, x, z, _ in rows])
+    y = np.array([r[3] for r in rows])
+    inverse = np.linalg.inv(design.T @ design)
+    beta = inverse @ design.T @ y
+    residual = y - design @ beta
+    error = np.sqrt(residual @ residual / (len(y) - design.shape[1]) * np.diag(inverse))
+    names = ["(intercept)", "x", "z", *[f"f={v}" for v in levels[1:]]]
+    got = {r["term"]: r for r in regression.factor_regression(df, ["x", "z"], "f", "y").collect()}
+    assert set(got) == set(names) and len(names) > 200
+    for name, b, e in zip(names, beta, error):
+        assert abs(got[name]["estimate"] - b) < 1e-6 and abs(got[name]["std_error"] - e) < 1e-6
+    assert abs(got["x"]["r2"] - (1 - residual @ residual / ((y - y.mean()) @ (y - y.mean())))) < 1e-9
+
+
+def test_kolmogorov_smirnov_takes_the_law_as_given(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(rng.gauss(10, 2),) for _ in range(500)], "v double")
+    assert hypothesis.ks_normal(df, "v", 10.0, 2.0).first()["p"] > 0.01
+    assert hypothesis.ks_normal(df, "v", 12.0, 2.0).first()["p"] < 1e-6
