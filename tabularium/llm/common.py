@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabularium.session import new_folder
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

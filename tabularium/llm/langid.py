@@ -30,7 +30,7 @@ ORDERS = (1, 2, 3)
 ALPHA = 0.5
 #: Overlapping n-grams are not independent: evidence counts as that of so many n-grams at most.
 EVIDENCE = 64
-PIECE = 1 << 19
+PIECE = 1 << 17
 
 
 @dataclass
