@@ -27,8 +27,11 @@ def assemble(df: DataFrame, features: list[str], name: str = "features") -> Data
 
 
 def _training_table(train: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns a forest needs, written once: every fit makes several passes over them."""
-    return stored(train.select(*columns))
+    """The columns a forest needs, written once: every fit makes several passes over them.
+
+    Rows are dealt by a hash of their values, so the cores share the work of narrow rows.
+    """
+    return stored(train.select(*columns).repartition(*columns))
 
 
 def forest_cv(
