@@ -39,7 +39,8 @@ NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NU
 SLACK = 0.25
 ROUNDS = 2
 COUNT_BITS = 20
-#: Ids of candidate documents, 16 bytes each, are broadcast up to this count and joined by shuffle beyond.
+#: Ids and buckets (8 bytes, pivots 24) are broadcast up to this count and joined by shuffle beyond, where
+#: adaptive execution splits hot keys. A broadcast leaves the rows of a hot bucket where they are.
 BROADCAST_IDS = 500_000
 
 
@@ -223,11 +224,18 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return kept_table(moved.select("node", F.coalesce("_to", "label").alias("label")), "labels")
 
 
+def _sized(df: DataFrame, name: str) -> DataFrame:
+    """A stored table, marked for broadcast if it is small enough."""
+    stored = kept_table(df, name)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_IDS else stored
+
+
 def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, node, label) of the buckets whose nodes have different labels."""
     named = members.select("bucket", "node").join(labels, "node")
     span = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return kept_table(named.join(span.where("low <> high").select("bucket"), "bucket"), "members")
+    buckets = _sized(span.where("low <> high").select("bucket"), "buckets")
+    return kept_table(named.join(buckets, "bucket"), "members")
 
 
 def _round_pairs(members: DataFrame, turn: int) -> DataFrame:
@@ -239,7 +247,8 @@ def _round_pairs(members: DataFrame, turn: int) -> DataFrame:
     else:
         order = F.xxhash64("node", F.lit(turn))
     pivots = members.groupBy("bucket").agg(F.max_by(F.struct("node", "label"), order).alias("pivot"))
-    pairs = members.join(pivots, "bucket").where("label <> pivot.label").withColumn("_p", F.col("pivot.node"))
+    pairs = members.join(_sized(pivots, "pivots"), "bucket").where("label <> pivot.label")
+    pairs = pairs.withColumn("_p", F.col("pivot.node"))
     return pairs.select(F.least("node", "_p").alias("a"), F.greatest("node", "_p").alias("b"))
 
 
@@ -322,7 +331,7 @@ def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:
     )
     banded = nodes.select("node", F.explode(band).alias("bucket")).distinct()
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    members = banded.join(shared, "bucket").select("bucket", "node", F.col("node").alias("label"))
+    members = banded.join(_sized(shared, "buckets"), "bucket").select("bucket", "node", F.col("node").alias("label"))
     members = kept_table(members, "members")
     ids = kept_table(members.select("node").distinct(), "candidates")
     known = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
