@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tabularium.llm import decontam, editprint, extract, langid, licenses, maxent, mixing, quality, setsketch, unigram
+from tabularium.llm import (
+    decontam,
+    editprint,
+    extract,
+    filteraudit,
+    langid,
+    licenses,
+    maxent,
+    mixing,
+    quality,
+    setsketch,
+    unigram,
+)
 
 QUERIES = {
     "op1_main_text": extract.op1_main_text,
@@ -15,11 +27,12 @@ QUERIES = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_mixture": mixing.op9_mixture,
     "op10_token_counts": unigram.op10_token_counts,
+    "op12_filter_audit": filteraudit.op12_filter_audit,
 }
 
 SQL = {
-    "op5_license_scan": licenses.op5_license_scan,
     "op6_near_duplicates": setsketch.OP6_SQL,
     "op8_decontamination": decontam.OP8_SQL,
     "op9_mixture": mixing.OP9_SQL,
+    "op12_filter_audit": filteraudit.OP12_SQL,
 }
