@@ -9,10 +9,10 @@ A document fails a filter by these conditions on its whole text (words: maximal
 * D: any of ``#$%&*|``
 * E: the text of some document with a smaller id, wherever that one stands, removed or not
 
-A to D come from one pass over the texts. E is an existential self-join: hashes that occur under more than
-one id pick the texts to compare, each of these texts keeps its smallest id, and a left-semi join on hash,
-exact text and smaller id marks the rest. So a group of any number of copies costs a row a copy, never a
-pair. The marked ids are united with the other failures and aggregated to bit combinations: after that
+A to D come from one pass over the texts. E is an existential self-join: a bitmap of the hashes that occur
+under more than one id (of fixed size, so it may only let too many through) picks the texts to compare, each
+of these texts keeps its smallest id, and a left-semi join on hash, exact text and smaller id marks the rest.
+So a group of any number of copies costs a row a copy, never a pair. The marked ids are united with the other failures and aggregated to bit combinations: after that
 everything is arithmetic on at most 32 counts a part.
 
 Defined results: a null text is the empty text, a null source the empty part. Rows with a null id never
@@ -37,6 +37,8 @@ CAPITAL_SHARE = 5  # percent of the code points
 SYMBOLS = "[#$%&*|]"
 COPY = 1 << LETTERS.index("E")
 N_ORDERS = 120
+#: Size of the broadcast bitmap of hashes: 16 MB at most, whatever the corpus.
+HASH_BITS = 1 << 27
 
 
 def text_failures(text: Column) -> Column:
@@ -57,6 +59,30 @@ def text_failures(text: Column) -> Column:
     return F.element_at(F.transform(F.array(words), bits), 1)  # the words are split once
 
 
+def marked_hashes(base: DataFrame) -> DataFrame:
+    """(bucket, bits): bitmaps of the hashes that stand under several ids, in ``HASH_BITS`` bits at most."""
+    ids = base.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    place = short_hash("h")
+    several = ids.where("low < high").select(
+        F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("place")
+    )
+    return kept_table(several.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), "hashes")
+
+
+def short_hash(h: str) -> Column:
+    return F.pmod(F.xxhash64(h), F.lit(HASH_BITS))
+
+
+def bucket(h: str) -> Column:
+    return F.bitmap_bucket_number(short_hash(h)) == F.col("bucket")
+
+
+def in_bitmap(h: str) -> Column:
+    at = F.bitmap_bit_position(short_hash(h))
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
+
+
 def failures(docs: DataFrame) -> DataFrame:
     """(doc_id, part, mask, n): the failed filters of every document; equal rows are counted in ``n``."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -65,10 +91,11 @@ def failures(docs: DataFrame) -> DataFrame:
         "h", F.unhex(F.sha2("text", 256))
     )
     base = kept_table(hashed.select("doc_id", "part", "h", text_failures(F.col("text")).alias("mask")), "failures")
-    ids = base.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    several = kept_table(ids.where("low < high").select("h"), "several")
-    texts = hashed.join(several, "h", "left_semi")
-    smallest = texts.groupBy(F.col("h").alias("h_of"), F.col("text").alias("text_of")).agg(F.min("doc_id").alias("first"))
+    texts = hashed.join(F.broadcast(marked_hashes(base)), bucket("h"), "inner").where(in_bitmap("h")).drop("bucket", "bits")
+    ids = texts.groupBy(F.col("h").alias("h_of"), F.col("text").alias("text_of")).agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+    )
+    smallest = kept_table(ids.where("first < last").drop("last"), "smallest")
     same = (F.col("h") == F.col("h_of")) & (F.col("text") == F.col("text_of")) & (F.col("first") < F.col("doc_id"))
     copies = texts.join(smallest, same, "left_semi").select("doc_id", "part", "h").distinct()
     rows = base.withColumn("n", F.lit(1)).unionByName(
