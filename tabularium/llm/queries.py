@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabularium.llm import (
+    alignment,
     decontam,
     editprint,
     extract,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_mixture": mixing.op9_mixture,
     "op10_token_counts": unigram.op10_token_counts,
     "op12_filter_audit": filteraudit.op12_filter_audit,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 SQL = {
