@@ -29,15 +29,16 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import kept_table, share, shared_model, table
+from tabularium.llm.common import kept_table, row_sums, share, shared_model, table
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
@@ -48,9 +49,11 @@ SPACES = "".join(
 )
 #: A block of documents ends at this many documents or characters, whichever comes first.
 BLOCK_DOCS = 1 << 13
-BLOCK_CHARS = 1 << 23
-REMEMBERED = 200_000
-STRETCH_CHARS = 64
+BLOCK_CHARS = 1 << 22
+#: Documents and characters that are looked up together; characters of one call of the tokenizers.
+GROUP_DOCS, GROUP_CHARS, CALL_CHARS = 1 << 10, 1 << 20, 1 << 11
+#: Stretches that are remembered from block to block.
+REMEMBERED = 250_000
 #: Ids of B need fewer bits than this.
 B_BITS = 20
 ROWS_OUT = 1 << 15
@@ -78,16 +81,38 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@dataclass(slots=True)
-class Stretch:
-    """Counts of a stretch of text; ``whole`` is false where the tokens do not give back the text."""
+class Growing:
+    """Numbers that are added at the end; ``all`` is a view of them."""
 
-    n_a: int = 0
-    n_b: int = 0
-    n_groups: int = 0
-    groups: str = ""
-    links: np.ndarray | None = None  # a pair of ids each: a << B_BITS | b
-    whole: bool = False
+    def __init__(self):
+        self.n, self.space = 0, np.empty(1 << 12, np.int64)
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.n + len(values)
+        if need > len(self.space):
+            self.space = np.concatenate([self.space[: self.n], np.empty(max(need, 2 * self.n) - self.n, np.int64)])
+        self.space[self.n : need] = values
+        self.n = need
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.space[: self.n]
+
+
+class Stretches:
+    """What is known of stretches of text, by number. ``n_a`` is -1 where the tokens do not give back the text."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.n_a, self.n_b, self.n_groups, self.n_links = Growing(), Growing(), Growing(), Growing()
+        self.links = Growing()  # a pair of ids each: a << B_BITS | b
+        self.groups: list[str] = []
+
+    def add(self, parts, n_a, n_b, n_groups, n_links, links, groups) -> None:
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts))))
+        for mine, more in zip((self.n_a, self.n_b, self.n_groups, self.n_links, self.links), (n_a, n_b, n_groups, n_links, links)):
+            mine.add(more)
+        self.groups += groups
 
 
 class Aligner:
@@ -101,10 +126,11 @@ class Aligner:
         self.a.encode_special_tokens = True
         alphabet = byte_alphabet()
         special = {i: t.content for i, t in self.a.get_added_tokens_decoder().items()}
-        self.a_bytes = {
-            i: special[i].encode() if i in special else bytes(alphabet[c] for c in t)
-            for t, i in self.a.get_vocab().items()
-        }
+        names = {i: t for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [
+            special[i].encode() if i in special else bytes(alphabet[c] for c in names.get(i, ""))
+            for i in range(max(names, default=-1) + 1)
+        ]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=files.b)
         assert self.b.get_piece_size() <= 1 << B_BITS
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -113,58 +139,99 @@ class Aligner:
             for i, p in enumerate(pieces)
         ]
         self.lone_mark = self.b.piece_to_id(MARK)
+        self.a_size, self.b_size = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        # ids as text, with what stands behind them inside a group and at the end of their side of it
+        self.a_text, self.b_text = (
+            [np.array([f"{i}{end}" for i in range(len(x))], object) for end in (",", last)]
+            for x, last in ((self.a_bytes, "|"), (self.b_bytes, ";"))
+        )
         plain = [p.replace(MARK, " ") for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         joined = {p[k] for p in plain for k in range(1, len(p)) if p[k] in SPACES and p[k] != p[k - 1]}
         s, inner = re.escape(SPACES), re.escape("".join(joined))
         more = f"(?:[{inner}][{s}]*[^{s}]*)*" if inner else ""
-        self.stretches = re.compile(f"[{s}]*[^{s}]+{more}|[{s}]+").findall
-        self.known: dict[str, Stretch] = {}
-
-    def stretch(self, part: str) -> Stretch:
-        """Tokens of one stretch, read as it stands (with its leading white space)."""
-        a = self.a.encode(part, add_special_tokens=False).ids
-        if part.startswith(" "):
-            b = self.b.encode(part[1:]) if len(part) > 1 else [self.lone_mark]
+        self.cut = re.compile(f"[{s}]*[^{s}]+{more}|[{s}]+").findall
+        self.known = Stretches()
+
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of a text that already has its leading white space."""
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        if text.startswith(" "):
+            b = self.b.encode(text[1:]) if len(text) > 1 else [self.lone_mark]
         else:  # the space that the tokenizer adds is a token of its own here
-            b = self.b.encode(part)
-            b = b[1:] if b and b[0] == self.lone_mark else [-1]
-        data = part.encode("utf-8", "surrogatepass")
-        found = [self.a_bytes[i] for i in a], [self.b_bytes[i] if i >= 0 else b"" for i in b]
-        if any(b"".join(x) != data for x in found):
-            return Stretch()
-        groups, links, i, j, at_a, at_b, first_a, first_b = [], [], 0, 0, len(found[0][0]), len(found[1][0]), 0, 0
-        while True:
-            links.append(a[i] << B_BITS | b[j])
-            end = min(at_a, at_b)
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                first_a, first_b = i + 1, j + 1
-                if end == len(data):
-                    return Stretch(len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64), True)
-            if at_a == end:
-                i += 1
-                at_a += len(found[0][i])
-            if at_b == end:
-                j += 1
-                at_b += len(found[1][j])
-
-    def text(self, text: str | None) -> list[Stretch]:
-        """The stretches of a space and the text; none for texts without tokens."""
-        if not text or MARK in text:  # the mark would come back as a space
-            return []
-        known, found = self.known, []
-        for part in self.stretches(" " + text):
-            s = known.get(part)
-            if s is None:
-                s = self.stretch(part)
-                if len(part) <= STRETCH_CHARS:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = s
-            if not s.whole:
-                return []
-            found.append(s)
-        return found
+            b = self.b.encode(text)
+            b = b[1:] if b[:1] == [self.lone_mark] else []
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def learn(self, parts: list[str]) -> None:
+        """Read new stretches; those that may stand one after the other go through the tokenizers together."""
+        together: list[str] = []
+        size = 0
+        for part in parts:
+            if part[-1] in SPACES:
+                self._learn([part])
+                continue
+            together.append(part)
+            size += len(part)
+            if size >= CALL_CHARS:
+                self._learn(together)
+                together, size = [], 0
+        if together:
+            self._learn(together)
+
+    def _learn(self, parts: list[str]) -> None:
+        a, b = self.ids("".join(parts))
+        sizes = np.array([len(p.encode("utf-8", "surrogatepass")) for p in parts])
+        data = "".join(parts).encode("utf-8", "surrogatepass")
+        same = all(
+            b"".join(map(names.__getitem__, ids.tolist())) == data for names, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
+        none = np.zeros(1, np.int64)
+        if not same and len(parts) == 1:
+            return self.known.add(parts, none - 1, none, none, none, none[:0], [""])
+        ends_a, ends_b, ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum(sizes)
+        if not same or not (np.isin(ends, ends_a).all() and np.isin(ends, ends_b).all()):
+            for part in parts:
+                self._learn([part])
+            return None
+        in_a, in_b = (np.zeros(len(data) + 1, np.int64) for _ in range(2))
+        in_a[ends_a] = in_b[ends_b] = 1
+        both = in_a & in_b
+        before_a, before_b, before = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b, np.cumsum(both) - both
+        cuts = np.flatnonzero(in_a | in_b)  # each stretch of bytes up to a cut is in one token of either side
+        links = a[before_a[cuts]] << B_BITS | b[before_b[cuts]]
+        texts = np.concatenate(
+            [np.where(both[x] == 1, t[1][i], t[0][i]) for x, t, i in ((ends_a, self.a_text, a), (ends_b, self.b_text, b))]
+        )
+        texts = texts[np.argsort(np.concatenate([2 * before[ends_a], 2 * before[ends_b] + 1]), kind="stable")].tolist()
+        per = lambda marks: np.diff(marks[ends] + 1, prepend=0)
+        n_a, n_b = per(before_a), per(before_b)
+        stops = np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(texts[x:y]) for x, y in zip([0, *stops], stops)]
+        n_links = np.diff(np.searchsorted(cuts, ends, side="right"), prepend=0)
+        self.known.add(parts, n_a, n_b, per(before), n_links, links, groups)
+        return None
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Numbers of the stretches of a space and each text; none for texts without tokens."""
+        cut = [self.cut(" " + t) if t and MARK not in t else [] for t in texts]  # a mark would come back as a space
+        number = self.known.number
+        fresh = dict.fromkeys(p for parts in cut for p in parts if p not in number)
+        if fresh:
+            self.learn(list(fresh))
+        found = [np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)) for parts in cut]
+        n_a = self.known.n_a.all
+        return [f if not len(f) or n_a[f].min() >= 0 else f[:0] for f in found]
+
+    def hashed(self, found: np.ndarray) -> str:
+        if not len(found):
+            return ""
+        text = "".join(map(self.known.groups.__getitem__, found.tolist()))
+        return hashlib.sha256(text[:-1].encode()).hexdigest()
+
+    def forget(self) -> None:
+        """Start anew when much is known; between blocks only, as they hold numbers."""
+        if len(self.known.number) > REMEMBERED:
+            self.known = Stretches()
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,46 +298,31 @@ def documents_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(rows), np.concatenate(docs)
 
 
-@dataclass
-class Block:
-    """Documents of a block while it is read."""
-
-    numbers: dict[int, int] = field(default_factory=dict)  # of stretches by identity
-    stretches: list[Stretch] = field(default_factory=list)
-    counts: list[list[int]] = field(default_factory=list)  # stretch numbers of each document
-    n_chars: int = 0
-
-    def add(self, found: list[Stretch], n_chars: int) -> None:
-        mine = []
-        for s in found:
-            number = self.numbers.setdefault(id(s), len(self.stretches))
-            if number == len(self.stretches):
-                self.stretches.append(s)  # also keeps the object, and so its id
-            mine.append(number)
-        self.counts.append(np.asarray(mine, np.int32))
-        self.n_chars += n_chars
-
-    def postings(self) -> Iterator[tuple[int, int, int, bytes]]:
-        """(pair, plane, documents, bits); plane -1 holds the documents of the pair."""
-        n = len(self.counts)
-        if not self.stretches:
-            return
-        doc = np.repeat(np.arange(n), [len(c) for c in self.counts])
-        keys, times = np.unique(np.concatenate(self.counts).astype(np.int64) * n + doc, return_counts=True)
-        starts = np.cumsum([0, *(len(s.links) for s in self.stretches)])
-        names, pair_of = np.unique(np.concatenate([s.links for s in self.stretches]), return_inverse=True)
-        stretch, doc = np.divmod(keys, n)
-        size = starts[stretch + 1] - starts[stretch]
-        place = np.repeat(starts[stretch] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        keys, times = summed(pair_of[place] * n + np.repeat(doc, size), np.repeat(times, size))
-        pair, doc = np.divmod(keys, n)
-        pair, extra, plane = names[pair], times - 1, -1
-        yield from ((p, -1, k, bits) for p, k, bits in bitmaps(pair, doc, n))
-        while (extra > 0).any():
-            plane += 1
-            odd = (extra & 1) == 1
-            yield from ((p, plane, k, bits) for p, k, bits in bitmaps(pair[odd], doc[odd], n))
-            extra >>= 1
+def postings(known: Stretches, docs: list[np.ndarray]) -> Iterator[tuple[int, int, int, bytes]]:
+    """(pair, plane, documents, bits) of a block's documents; plane -1 holds the documents of the pair."""
+    n, numbers = len(docs), np.concatenate(docs)
+    if not len(numbers):
+        return
+    used, numbers = np.unique(numbers, return_inverse=True)
+    doc = np.repeat(np.arange(n), [len(d) for d in docs])
+    keys, times = np.unique(numbers * n + doc, return_counts=True)
+    ends = np.cumsum(known.n_links.all)[used]
+    size = known.n_links.all[used]
+    starts = np.cumsum(size) - size
+    place = np.repeat(ends - size - starts, size) + np.arange(size.sum())
+    names, pair_of = np.unique(known.links.all[place], return_inverse=True)
+    stretch, doc = np.divmod(keys, n)
+    size = size[stretch]
+    place = np.repeat(starts[stretch] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    keys, times = summed(pair_of[place] * n + np.repeat(doc, size), np.repeat(times, size))
+    pair, doc = np.divmod(keys, n)
+    pair, extra, plane = names[pair], times - 1, -1
+    yield from ((p, -1, k, bits) for p, k, bits in bitmaps(pair, doc, n))
+    while (extra > 0).any():
+        plane += 1
+        odd = (extra & 1) == 1
+        yield from ((p, plane, k, bits) for p, k, bits in bitmaps(pair[odd], doc[odd], n))
+        extra >>= 1
 
 
 ROWS = (
@@ -293,44 +345,56 @@ def read_blocks(docs: DataFrame, files: Files) -> DataFrame:
     def rows(**columns) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in ARROW], schema=ARROW
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in ARROW],
+            schema=ARROW,
         )
 
-    def ended(block: Block, number: int) -> Iterator[pa.RecordBatch]:
+    def ended(aligner: Aligner, block: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
         some: list[tuple] = []
 
         def packed() -> pa.RecordBatch:
             pair, plane, n, bits = zip(*some)
             return rows(block=[number] * len(some), pair=pair, plane=plane, n_docs=n, bits=bits)
 
-        for row in block.postings():
+        for row in postings(aligner.known, block):
             some.append(row)
             if len(some) == ROWS_OUT:
                 yield packed()
                 some.clear()
         if some:
             yield packed()
+        aligner.forget()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(shared_model(shared))
         number = TaskContext.get().partitionId() << 32  # tasks that are run again number alike
-        block = Block()
+        block: list[np.ndarray] = []
+        n_chars = 0
         for batch in batches:
-            first, out = 0, []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                found = aligner.text(text)
-                sha = hashlib.sha256(";".join([s.groups for s in found]).encode()).hexdigest() if found else ""
-                n_a, n_b, n_groups = sum(s.n_a for s in found), sum(s.n_b for s in found), sum(s.n_groups for s in found)
-                out.append((number, len(block.counts), doc_id, n_a, n_b, n_groups, sum(len(s.links) for s in found), sha))
-                block.add(found, len(text or ""))
-                if len(block.counts) >= BLOCK_DOCS or block.n_chars >= BLOCK_CHARS:
-                    yield from ended(block, number)
-                    block, number = Block(), number + 1
-            if out:
-                names = ("block", "doc", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-                yield rows(**dict(zip(names, map(list, zip(*out)))))
-        yield from ended(block, number)
+            sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            first = 0
+            while first < batch.num_rows:
+                before = sizes[first - 1] if first else 0
+                last = int(np.searchsorted(sizes, before + GROUP_CHARS, side="right"))
+                last = min(max(last, first + 1), first + min(GROUP_DOCS, BLOCK_DOCS), batch.num_rows)
+                found = aligner.texts(batch.column(1).slice(first, last - first).to_pylist())
+                known = aligner.known
+                at = np.cumsum([0, *map(len, found)])
+                each = np.concatenate(found)
+                sums = [row_sums(c.all[each], at) for c in (known.n_a, known.n_b, known.n_groups, known.n_links)]
+                yield rows(
+                    block=np.full(len(found), number), doc=np.arange(len(block), len(block) + len(found), dtype=np.int32),
+                    doc_id=batch.column(0).slice(first, last - first), groups_sha256=list(map(aligner.hashed, found)),
+                    **{c: x.astype(np.int64) for c, x in zip(("n_a", "n_b", "n_groups", "n_links"), sums)},
+                )
+                block += found
+                n_chars += int(sizes[last - 1] - before)
+                first = last
+                if len(block) >= BLOCK_DOCS or n_chars >= BLOCK_CHARS:
+                    yield from ended(aligner, block, number)
+                    block, n_chars, number = [], 0, number + 1
+        if block:
+            yield from ended(aligner, block, number)
 
     return picked.mapInArrow(run, ROWS)
 
@@ -351,36 +415,37 @@ def returned(postings: DataFrame, scores: DataFrame) -> DataFrame:
     marked = scores.join(F.broadcast(highest), b == F.col("b")).select(
         "pair", "n_links", (F.col("n_links") == F.col("highest")).cast("int").alias("best")
     )
-    marked = kept_table(marked, "pairs")
-    rows = postings.join(marked, "pair").select("block", "plane", "n_docs", "bits", "n_links", "best").repartition("block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            n_docs = np.cumsum(np.asarray(whole.column("n_docs")))
-            cuts = np.searchsorted(n_docs, np.arange(0, n_docs[-1] if len(n_docs) else 0, BITS_READ), side="right")
-            for lo, hi in zip(cuts, [*cuts[1:], len(n_docs)]):
-                if lo < hi:
-                    yield brought(whole.slice(lo, hi - lo))
-
-    def brought(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, block = np.unique(np.asarray(batch.column("block")), return_inverse=True)
-        weight = np.left_shift(1, np.maximum(np.asarray(batch.column("plane")), 0).astype(np.int64))
-        bits = batch.column("bits")
+    marked = kept_table(marked, "pairs").hint("merge")  # one plan at any size
+    rows = postings.join(marked, "pair").select("block", "plane", "n_docs", "bits", "n_links", "best")
+
+    def run(whole: pa.Table) -> pa.Table:
+        whole = whole.combine_chunks()
+        n_docs = np.cumsum(np.asarray(whole.column("n_docs")))
+        cuts = np.searchsorted(n_docs, np.arange(0, n_docs[-1], BITS_READ), side="left")
+        parts = [brought(whole.slice(x, y - x)) for x, y in zip(cuts, [*cuts[1:], len(n_docs)]) if x < y]
+        doc = np.concatenate([p[0] for p in parts])
+        names, doc = np.unique(doc, return_inverse=True)
+        sums = []
+        for i in (1, 2):
+            total = np.zeros(len(names), np.int64)
+            np.add.at(total, doc, np.concatenate([p[i] for p in parts]))
+            sums.append(total)
+        block = np.full(len(names), whole.column("block")[0].as_py())
+        return pa.table([block, names.astype(np.int32), *sums], names=["block", "doc", "n_best", "count_sum"])
+
+    def brought(rows: pa.Table) -> list[np.ndarray]:
+        """Documents with their sums of some postings."""
+        weight = np.left_shift(1, np.maximum(np.asarray(rows.column("plane")), 0).astype(np.int64))
+        bits = rows.column("bits").combine_chunks()
         offsets = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset : bits.offset + len(bits) + 1].astype(np.int64)
         row, doc = documents_of(np.frombuffer(bits.buffers()[2], np.uint8), offsets)
-        key = block[row] << 32 | doc
-        order = np.argsort(key, kind="stable")
-        key, row = key[order], row[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sums = [
-            np.add.reduceat((weight * np.asarray(batch.column(c)).astype(np.int64))[row], first) for c in ("best", "n_links")
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names[key[first] >> 32]), pa.array((key[first] & 0xFFFFFFFF).astype(np.int32)), *map(pa.array, sums)],
-            ["block", "doc", "n_best", "count_sum"],
-        )
+        order = np.argsort(doc, kind="stable")
+        doc, row = doc[order], row[order]
+        first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+        values = [(weight * np.asarray(rows.column(c)).astype(np.int64))[row] for c in ("best", "n_links")]
+        return [doc[first], *(np.add.reduceat(v, first) for v in values)]
 
-    return rows.mapInArrow(run, "block long, doc int, n_best long, count_sum long")
+    return rows.groupBy("block").applyInArrow(run, "block long, doc int, n_best long, count_sum long")
 
 
 def align(docs: DataFrame, files: Files | None = None) -> tuple[DataFrame, DataFrame]:
@@ -389,9 +454,8 @@ def align(docs: DataFrame, files: Files | None = None) -> tuple[DataFrame, DataF
     postings = both.where("pair is not null").select("block", "pair", "plane", "n_docs", "bits")
     scores = kept_table(pair_scores(postings), "scores")
     own = both.where("pair is null").drop("pair", "plane", "n_docs", "bits")
-    back = returned(postings, scores).groupBy("block", "doc").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
     zero = F.lit(0).cast("long")
-    found = own.join(back, ["block", "doc"], "left").select(
+    found = own.join(returned(postings, scores).hint("merge"), ["block", "doc"], "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links",
         F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256",
     )
