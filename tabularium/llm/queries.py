@@ -12,6 +12,7 @@ from tabularium.llm import (
     licenses,
     maxent,
     mixing,
+    nndescent,
     quality,
     setsketch,
     unigram,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_mixture": mixing.op9_mixture,
     "op10_token_counts": unigram.op10_token_counts,
+    "op11_nearest_neighbours": nndescent.op11_nearest_neighbours,
     "op12_filter_audit": filteraudit.op12_filter_audit,
     "op13_token_alignment": alignment.op13_token_alignment,
 }

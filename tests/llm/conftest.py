@@ -7,6 +7,7 @@ DOCUMENTS = (
 LABELS = "doc_id long, quality int, toxic int, text string, score string"
 PAGES = "page_id long, url string, html string, text string, n_chars string"
 BENCHMARK = "item_id long, text string, doc_id string"
+EMBEDDINGS = "vec_id long, embedding array<float>, label int, score string, rank string"
 
 ENGLISH = "the cat sat on the mat and looked at the rain over the long river near town"
 GERMAN = "der Hund lag auf der Decke und sah in den Regen über dem breiten Fluss"
@@ -35,12 +36,13 @@ ODD = [
 ]
 
 
-def write(spark, folder, documents, labels, pages, benchmark):
+def write(spark, folder, documents, labels, pages, benchmark, embeddings):
     for name, rows, schema in (
         ("documents", documents, DOCUMENTS),
         ("labels", labels, LABELS),
         ("pages", pages, PAGES),
         ("benchmark", benchmark, BENCHMARK),
+        ("embeddings", embeddings, EMBEDDINGS),
     ):
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
@@ -52,9 +54,11 @@ def odd_tables(spark, tmp_path_factory):
     pages = [(1, "u", None, "t", "n"), (2, "u", "", "t", "n"), (None, None, "<p>a<p>b", None, None), (3, "u", "x" * 300_000, "t", "n")]
     pages += pages[2:3]
     benchmark = [(1, ENGLISH, "d"), (1, ENGLISH, "d"), (2, "long river near town", "d"), (3, None, None), (4, "!!!", "d"), (None, GERMAN, "d")]
-    return write(spark, tmp_path_factory.mktemp("odd"), ODD, labels, pages, benchmark)
+    embeddings = [(i, v, 1, "s", "r") for i, v in enumerate([[1.0, 0.0], [0.0, 1.0], None, [], [0.0, 0.0], [1.0, None], [1.0, 0.0]])]
+    embeddings += [(20, [1.0, 1.0], None, None, None)] * 2 + [(None, [1.0, 1.0], None, None, None)]
+    return write(spark, tmp_path_factory.mktemp("odd"), ODD, labels, pages, benchmark, embeddings)
 
 
 @pytest.fixture(scope="session")
 def empty_tables(spark, tmp_path_factory):
-    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
+    return write(spark, tmp_path_factory.mktemp("empty"), [], [], [], [], [])

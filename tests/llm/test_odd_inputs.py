@@ -4,7 +4,8 @@ import corpus_pipeline
 import pytest
 from tabularium.llm.queries import QUERIES
 
-ONE_PER_DOCUMENT = [q for q in QUERIES if q not in ("op1_main_text", "op5_license_scan", "op9_mixture")]
+OTHER_ROWS = ("op1_main_text", "op5_license_scan", "op9_mixture", "op11_nearest_neighbours", "op12_filter_audit")
+ONE_PER_DOCUMENT = [q for q in QUERIES if q not in OTHER_ROWS]
 
 
 @pytest.fixture(scope="module")
@@ -100,6 +101,27 @@ def test_tokens(results):
     assert all(r["n_tokens"] >= r["n_words"] for r in rows)
 
 
+def test_neighbours(results):
+    """Copies tie and the smaller id leads; vectors without a direction take no part."""
+    rows = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in results("op11_nearest_neighbours")]
+    expected = [(0, 1, 6, 1.0), (0, 2, 20, 1.0), (0, 3, 1, 0.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0), (20, 3, 6, 1.0)]
+    assert sorted(rows) == expected
+
+
+def test_filter_audit(results):
+    rows = [r for r in results("op12_filter_audit") if r["filter_order"] == "EABCD"]
+    assert sorted({r["part"] for r in rows}) == ["", "a", "b"]
+    first = {r["part"]: (r["kept"], r["removed"]) for r in rows if r["step"] == 1}
+    assert first == {"a": (7, 2), "b": (2, 0), "": (3, 0)}
+
+
+def test_alignment(results):
+    rows = results("op13_token_alignment")
+    assert all(of(rows, i)[0]["n_links"] == 0 and of(rows, i)[0]["groups_sha256"] == "" for i in (1, 2))
+    assert of(rows, 4)[0] == of(rows, 4)[1]
+    assert all(r["n_links"] == r["n_a"] + r["n_b"] - r["n_groups"] for r in rows)
+
+
 def test_pipeline(spark, odd_tables, empty_tables):
     got = corpus_pipeline.run(spark, odd_tables)
     assert got.columns == spark.read.parquet(f"{odd_tables}/documents.parquet").columns
