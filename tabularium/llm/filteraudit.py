@@ -92,6 +92,7 @@ def failures(docs: DataFrame) -> DataFrame:
     )
     base = kept_table(hashed.select("doc_id", "part", "h", text_failures(F.col("text")).alias("mask")), "failures")
     texts = hashed.join(F.broadcast(marked_hashes(base)), bucket("h"), "inner").where(in_bitmap("h")).drop("bucket", "bits")
+    texts = kept_table(texts, "texts")  # else the semi-join would be planned below the bitmap, with all texts
     ids = texts.groupBy(F.col("h").alias("h_of"), F.col("text").alias("text_of")).agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
     )
