@@ -70,7 +70,7 @@ def block_of(node: Column) -> Column:
 
 
 def make_nodes(rows: DataFrame, top: int) -> DataFrame:
-    """(node, block, vec, members): distinct vectors with their smallest ids, numbered along a random projection."""
+    """(node, block, vec, members): distinct vectors with their smallest ids, numbered without gaps along a random projection."""
     smallest = Window.partitionBy("vec").orderBy("id")
     members = (
         rows.withColumn("__r", F.row_number().over(smallest))
@@ -79,9 +79,14 @@ def make_nodes(rows: DataFrame, top: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list("id")).alias("members"))
     )
     kept = kept_table(members, "vectors")
-    dealt = dealt_along(kept, kept.count(), 0, "vec", "members")
-    node = F.monotonically_increasing_id()
-    return kept_table(dealt.select(node.alias("node"), block_of(node).alias("block"), "vec", "members"), "nodes")
+    dealt = dealt_along(kept, kept.count(), 0, "vec", "members").select("vec", "members", F.monotonically_increasing_id().alias("at"))
+    placed = kept_table(dealt, "placed")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row per partition
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    node = F.col("before") + place
+    numbered = placed.join(F.broadcast(before), part == F.col("part"))
+    return kept_table(numbered.select(node.alias("node"), block_of(node).alias("block"), "vec", "members"), "nodes")
 
 
 def dealt_along(df: DataFrame, n: int, order: int, *columns: str) -> DataFrame:
