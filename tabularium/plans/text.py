@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions import text as tx
-from tabularium.functions.columns import as_wall_clock
-from tabularium.operators import similarity, splits
+from tabularium.functions.columns import as_wall_clock, fixed
+from tabularium.operators import log_odds, model_store, similarity, splits
 from tabularium.operators import text as ops
-from tabularium.plans.common import with_ctes
+from tabularium.plans.common import fixed_sql, with_ctes
 from tabularium.session import new_folder, stored
 from tabularium.sources import shapes
 from tabularium.sources import text as io
@@ -81,28 +81,64 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table.select("word", "index", F.array_join(values, " ").alias("vector"))
 
 
-def _model_and_rest(spark: SparkSession, sf: str):
+def _train_and_rest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     df = splits.comment_splits(stored(_labelled(spark, sf)), "doc_id")
-    model = ops.fit_classifier(df.filter(F.col("split") == "train"))
-    return model, df.filter(F.col("split") != "train")
+    inside = F.col("split") == "train"
+    return df.filter(inside), df.filter(~inside)
+
+
+#: Folders of the models that this session has published, by application, tables and kind.
+_published: dict[tuple[str, str, str], str] = {}
+
+
+def _store(spark: SparkSession, sf: str, kind: str, publish) -> str:
+    """The model store of ``kind``; where nobody has published a model yet, ``publish(root)`` does."""
+    key = spark.sparkContext.applicationId, sf, kind
+    if key not in _published:
+        _published[key] = new_folder(spark, kind)
+    if not model_store.versions(spark, _published[key]):
+        publish(_published[key])
+    return _published[key]
+
+
+def _classifier(spark: SparkSession, sf: str):
+    """The published classifier, loaded from its store."""
+
+    def publish(root: str) -> None:
+        model_store.publish_pipeline(ops.fit_classifier(_train_and_rest(spark, sf)[0]), spark, root)
+
+    return model_store.load_pipeline(spark, _store(spark, sf, "classifier", publish))
+
+
+def _weights(spark: SparkSession, sf: str) -> DataFrame:
+    """The published word weights, loaded from their store."""
+
+    def publish(root: str) -> None:
+        model_store.publish_table(log_odds.fit_log_odds(_train_and_rest(spark, sf)[0]), root)
+
+    return model_store.load_table(spark, _store(spark, sf, "weights", publish))
 
 
 def text_classifier(spark: SparkSession, sf: str) -> DataFrame:
-    model, rest = _model_and_rest(spark, sf)
-    return ops.evaluate_classifier(model, rest.filter(F.col("split") == "eval"))
+    _, rest = _train_and_rest(spark, sf)
+    return ops.evaluate_classifier(_classifier(spark, sf), rest.filter(F.col("split") == "eval"))
 
 
 def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents cleaned, scored and written as JSON lines, then read back."""
-    model, _ = _model_and_rest(spark, sf)
-    documents = shapes.documents(spark, sf).select(
-        tx.clean_text("text").alias("text")
-    )
+    """All documents cleaned, scored with the loaded model and written as JSON lines, then read back."""
+    documents = shapes.documents(spark, sf).select(tx.clean_text("text").alias("text"))
     root = new_folder(spark, "predictions")
-    io.write_json_lines(ops.score(model, documents), root)
+    io.write_json_lines(ops.score(_classifier(spark, sf), documents), root)
     return spark.read.schema("text string, label string, score double").json(root)
 
 
+def loaded_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Label and score of every document from loaded word weights."""
+    documents = shapes.documents(spark, sf).select("doc_id", tx.clean_text("text").alias("text"))
+    scored = log_odds.score_log_odds(_weights(spark, sf), documents)
+    return scored.select("doc_id", "label", fixed("score", 6).alias("score"))
+
+
 def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a message stream, one per second of event time."""
     schema = shapes.table(spark, sf, "documents").schema
@@ -142,9 +178,24 @@ def stream_label_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The message stream scored, written to its sink and read back."""
-    model, _ = _model_and_rest(spark, sf)
+    return _through_sink(spark, scoring.score_messages(_message_stream(spark, sf), _classifier(spark, sf)))
+
+
+def stream_loaded_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of a stream per 15 second window and label, scored with loaded word weights."""
+    weights = _weights(spark, sf)
+    scored = scoring.in_windows(
+        _message_stream(spark, sf), lambda messages: log_odds.score_log_odds(weights, messages)
+    )
+    window = as_wall_clock("m.window_start").alias("window_start")
+    return _through_sink(spark, scored).groupBy(window, F.col("m.label").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(fixed("m.score", 6)).alias("total")
+    ).withColumn("total", fixed("total", 4))
+
+
+def _through_sink(spark: SparkSession, scored: DataFrame) -> DataFrame:
+    """Scored messages written to their sink and read back."""
     root = new_folder(spark, "scored")
-    scored = scoring.score_messages(_message_stream(spark, sf), model)
     topic = scoring.to_topic(scored)
     write_stream_batches(
         topic, batch_folder_writer(f"{root}/data"), f"{root}/state"
@@ -237,6 +288,8 @@ QUERIES = {
         word_vectors,
         text_classifier,
         batch_scoring,
+        loaded_scores,
+        stream_loaded_windows,
         stream_scored_windows,
         stream_label_windows,
         page_text,
@@ -281,6 +334,23 @@ _VOCAB = """words AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word,
 counts AS (SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1),
 vocab AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS index FROM counts)"""
 
+_LOADED = f"""marked AS (SELECT doc_id, text, label, {_SPLIT} AS split FROM cleaned),
+train AS (SELECT doc_id, text, (label = 'TROLL')::INT AS troll FROM marked
+  WHERE label <> 'undefined' AND split = 'train'),
+terms AS (SELECT doc_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {log_odds.FEATURES} AS bucket
+  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM cleaned) WHERE word <> ''),
+seen AS (SELECT bucket, sum(troll) + 1.0 AS t, sum(1 - troll) + 1.0 AS n
+  FROM train JOIN terms USING (doc_id) GROUP BY 1),
+totals AS (SELECT sum(t - 1) + {log_odds.FEATURES} AS t, sum(n - 1) + {log_odds.FEATURES} AS n FROM seen),
+base AS (SELECT ln(CAST(sum(troll) + 1 AS DOUBLE)) - ln(CAST(sum(1 - troll) + 1 AS DOUBLE)) AS b FROM train),
+sums AS (SELECT doc_id, sum(ln(CAST(coalesce(seen.t, 1) AS DOUBLE) / totals.t)
+    - ln(CAST(coalesce(seen.n, 1) AS DOUBLE) / totals.n)) AS z
+  FROM terms LEFT JOIN seen USING (bucket), totals GROUP BY 1),
+scored AS (SELECT doc_id, coalesce(1.0::DOUBLE / (1 + exp(-(z + b))), 0) AS p, z IS NULL AS empty
+  FROM cleaned LEFT JOIN sums USING (doc_id), base),
+labelled AS (SELECT doc_id, p, CASE WHEN empty THEN 'undefined' WHEN p < 0.5 THEN 'NO_TROLL' ELSE 'TROLL' END
+  AS label FROM scored)"""
+
 _PAGES = f"""plain AS (SELECT page_id, url, regexp_replace(regexp_replace(html,
     {_quoted(tx.HIDDEN)}, '', 'g'), {_quoted(tx.TAGS)}, '', 'g') AS t FROM pages),
 texts AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(replace(replace(t,
@@ -292,6 +362,11 @@ _SETS = """bags AS (SELECT page_id, list_sort(list_distinct(string_split(lower(t
 sets AS (SELECT min(page_id) AS set_id, tokens, count(*) AS copies FROM bags GROUP BY tokens)"""
 
 SQL = {
+    "loaded_scores": with_ctes(_CLEANED, _LOADED)
+    + f"SELECT doc_id, label, {fixed_sql('p', 6)} AS score FROM labelled",
+    "stream_loaded_windows": with_ctes(_CLEANED, _LOADED)
+    + f"""SELECT time_bucket(INTERVAL 15 SECOND, TIMESTAMP '2024-01-01' + to_seconds(doc_id)) AS window_start,
+  label, count(*) AS n, {fixed_sql(f"sum({fixed_sql('p', 6)})", 4)} AS total FROM labelled GROUP BY 1, 2""",
     "clean_comments": with_ctes(_CLEANED)
     + "SELECT doc_id, text, label, text || ', ' || label AS line FROM cleaned",
     "bucket_split": f"""SELECT doc_id, {_SPLIT} AS split,

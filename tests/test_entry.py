@@ -18,6 +18,7 @@ def test_every_sql_twin_belongs_to_a_query():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
     assert all(callable(q) for q in queries.values())
+    assert all(isinstance(text, str) for text in sql.values())
     rest = {q for q in queries if q != "pipeline" and not q.startswith("op")} - set(sql)
     assert rest <= UNCHECKED
 
