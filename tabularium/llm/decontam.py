@@ -1,10 +1,13 @@
 """Benchmark decontamination: a hash set of normalised test n-grams against every training window.
 
 Words are lower-cased (A-Z) runs of letters, digits and characters beyond ASCII. A window is 13
-consecutive words of an item; an item with fewer words is one window. Documents are tokenised once;
-the hash of each of their word windows is looked up in the table of test windows (broadcast while it
-stays below ``BROADCAST_WINDOWS`` rows, else joined by shuffle), every hit is verified on its
-words, and hit spans are merged per document. DataFrame functions only; no Python in the tasks.
+consecutive words of an item; an item with fewer words is one window. Every document window becomes a narrow
+row (document, hash, place) that is looked up among the hashes of the test windows by a left-semi join;
+only documents with a hash in common get their words back, each place is verified on its words, and what
+is left joins the list of documents. Words never travel with the rows of other windows, so the cost is
+linear in the length of a text, and the plan is the same at any size: Spark broadcasts the hashes (8 bytes
+each), places and hits by their measured size and splits skewed keys where it shuffles. DataFrame functions
+only; no Python in the tasks.
 
 Short items are looked up by the hash of their first 1, 2, 4 or 8 words, so at most five window
 lengths are hashed, and only those that the items need.
@@ -24,10 +27,6 @@ from tabularium.llm.common import UPPER, kept_table, table
 N = 13
 SHARE = 20  # contaminated when SHARE * n_hit >= n_words
 KEY_LENGTHS = (1, 2, 4, 8)
-#: A test window takes about 300 bytes in a broadcast; more rows than this are joined by shuffle.
-BROADCAST_WINDOWS = 500_000
-#: Contaminated documents take about 200 bytes each in a broadcast (spans more); beyond this the texts are shuffled.
-BROADCAST_DOCUMENTS = 200_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -53,70 +52,91 @@ def windows(items: DataFrame, n: int = N) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
-    """One row per distinct (doc_id, text) with ``n_words``, hit ``spans`` and ``items``.
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, _s, w): the hash of the text tells rows that share an id apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", F.unhex(F.sha2(text, 256)).alias("_s"), word_array(text).alias("w"))
 
-    ``spans`` are disjoint, ascending structs (first word, end) counted from 1, ``copies`` the
-    number of equal rows.
-    """
-    tests = kept_table(windows(items, n), "windows")
-    lengths = [r[0] for r in tests.select("key_len").distinct().orderBy("key_len").collect()]
-    small = tests.count() <= BROADCAST_WINDOWS
-    base = docs.select(
-        "doc_id", F.xxhash64("text").alias("_t"), F.sha2("text", 256).alias("_s"), word_array(F.col("text")).alias("w")
-    )
-    size = F.size("w")
 
-    def keys(k: int) -> Column:
-        at = F.sequence(F.lit(1), size - k + 1)
+def same_document(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["_d"]) & (a["_s"] == b["_of"])
+
+
+def places(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, _s, key_len, h, at): a narrow row per document, key length and start, without the words."""
+    kind = "array<struct<key_len:int,h:bigint,at:int>>"
+
+    def keys(w: Column, k: int) -> Column:
         each = F.transform(
-            at, lambda i: F.struct(F.lit(k).alias("key_len"), F.xxhash64(F.slice("w", i, k)).alias("h"), i.alias("at"))
+            F.sequence(F.lit(1), F.size(w) - k + 1),
+            lambda i: F.struct(F.lit(k).alias("key_len"), F.xxhash64(F.slice(w, i, k)).alias("h"), i.alias("at")),
         )
-        return F.when(size >= k, each).otherwise(F.array().cast("array<struct<key_len:int,h:bigint,at:int>>"))
+        return F.when(F.size(w) >= k, each).otherwise(F.array().cast(kind))
 
-    head = F.array(F.struct(F.lit(0).alias("key_len"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("at")))
-    places = base.select(
-        "doc_id", "_t", "_s", "w", F.inline(F.concat(head, *[keys(k) for k in lengths]))
-    )
-    mark = tests.sparkSession.range(1).select(  # keeps one row of every document in the join
-        F.lit(0).alias("key_len"),
-        F.lit(0).cast("long").alias("h"),
-        F.array().cast("array<string>").alias("words"),
-        F.array().cast(tests.schema["items"].dataType).alias("items"),
+    # a bound variable holds the words: as a column, the optimiser would split the text again for every window
+    every = F.transform(F.array("w"), lambda w: F.concat(F.array().cast(kind), *[keys(w, k) for k in lengths]))
+    return keyed(docs).select("doc_id", "_s", F.inline(F.element_at(every, 1)))
+
+
+def hits(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
+    """One row per distinct (doc_id, text) with ``n_words``, ``n_hit``, hit ``spans`` and ``items``.
+
+    ``spans`` are ascending structs (first word, end) counted from 1, one for each place and length of a hit;
+    ``copies`` is the number of equal rows.
+    """
+    tests = kept_table(windows(items, n), "windows")
+    lengths = [r[0] for r in tests.select("key_len").distinct().orderBy("key_len").collect()]
+    hashes = tests.select("key_len", "h").distinct()
+    found = places(docs, lengths).join(hashes, ["key_len", "h"], "left_semi")
+    # the few documents with a hash in common get their words back, and with them the words of each place
+    starts = found.groupBy(F.col("doc_id").alias("_d"), F.col("_s").alias("_of")).agg(
+        F.collect_set(F.struct("key_len", "h", "at")).alias("starts")
     )
-    lookup = tests.unionByName(mark)
-    found = places.join(F.broadcast(lookup) if small else lookup, ["key_len", "h"]).where(
-        (F.col("key_len") == 0) | (F.slice("w", F.col("at"), F.size("words")) == F.col("words"))
+    starts = kept_table(starts, "starts")
+    own = keyed(docs)
+    read = own.join(starts, same_document(own, starts)).select(
+        "doc_id",
+        "_s",
+        F.inline(
+            F.transform(
+                "starts",
+                lambda p: F.struct(
+                    p["key_len"].alias("key_len"), p["h"].alias("h"), p["at"].alias("at"), F.slice("w", p["at"], n).alias("here")
+                ),
+            )
+        ),
     )
-    span = F.when(F.col("at") > 0, F.struct(F.col("at").alias("first"), (F.col("at") + F.size("words")).alias("end")))
+    verified = read.join(tests, ["key_len", "h"]).where(F.slice("here", 1, F.size("words")) == F.col("words"))
+    span = F.struct(F.col("at").alias("first"), (F.col("at") + F.size("words")).alias("end"))
     merged = (
-        found.select("doc_id", "_t", "_s", F.size("w").alias("n_words"), "key_len", span.alias("span"), "items")
-        .groupBy("doc_id", "_t", "_s", "n_words")
+        verified.select(F.col("doc_id").alias("_d"), F.col("_s").alias("_of"), span.alias("span"), "items")
+        .groupBy("_d", "_of")
         .agg(
-            F.sort_array(F.collect_set("span")).alias("raw"),
+            F.sort_array(F.collect_set("span")).alias("spans"),
             F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-            F.count_if(F.col("key_len") == 0).alias("copies"),
         )
     )
-    kind = "array<struct<first:int,end:int>>"
-    last = lambda acc: F.element_at(acc, -1)
-
-    def join_spans(acc: Column, x: Column) -> Column:
-        grown = F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["end"], x["end"]).alias("end"))
-        return (
-            F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= x["first"]),
-                   F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown)))
-            .otherwise(F.concat(acc, F.array(x)))
-        )
-
-    return merged.select(
-        "doc_id", "_t", "_s", "n_words", "items", "copies",
-        F.aggregate("raw", F.array().cast(kind), lambda acc, x: join_spans(acc, x).cast(kind)).alias("spans"),
-    )
+    merged = kept_table(merged, "hits")
+    each = keyed(docs).select("doc_id", "_s", F.size("w").alias("n_words"))
+    all_docs = each.groupBy("doc_id", "_s", "n_words").agg(F.count("*").alias("copies"))
+    none = lambda c: F.coalesce(c, F.array().cast(merged.schema[c].dataType))
+    return all_docs.join(merged, same_document(all_docs, merged), "left").select(
+        "doc_id", "_s", "n_words", "copies", none("items").alias("items"), none("spans").alias("spans")
+    )
 
 
 def measured(found: DataFrame) -> DataFrame:
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
+    # spans ascend, so one walk that knows how far the words are counted is enough
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
+    walk = F.aggregate(
+        "spans",
+        start,
+        lambda acc, s: F.struct(
+            (acc["n"] + F.greatest(s["end"] - F.greatest(s["first"], acc["upto"]), F.lit(0))).cast("long").alias("n"),
+            F.greatest(acc["upto"], s["end"]).alias("upto"),
+        ),
+    )
+    n_hit = walk["n"]
     return found.withColumn("n_hit", n_hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
     )
@@ -125,26 +145,30 @@ def measured(found: DataFrame) -> DataFrame:
 def _contaminated(docs: DataFrame, items: DataFrame, *more: Column) -> DataFrame:
     """Ids and text hashes of contaminated documents, to be joined with the texts."""
     bad = measured(hits(docs, items)).where("contaminated")
-    stored = kept_table(bad.select(F.col("doc_id").alias("__id"), F.col("_s").alias("__key"), *more), "contaminated")
-    return F.broadcast(stored) if stored.count() <= BROADCAST_DOCUMENTS else stored
+    return kept_table(bad.select(F.col("doc_id").alias("__id"), F.col("_s").alias("__key"), *more), "contaminated")
+
+
+def _is_one_of(docs: DataFrame, stored: DataFrame) -> Column:
+    key = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    return docs["doc_id"].eqNullSafe(stored["__id"]) & (key == stored["__key"])
 
 
 def remove_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated rows, columns unchanged. Clean documents all stay."""
     stored = _contaminated(docs, items)
-    same = docs["doc_id"].eqNullSafe(stored["__id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["__key"])
-    return docs.join(stored, same, "left_anti")
+    return docs.join(stored, _is_one_of(docs, stored), "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with hit words cut out of contaminated texts (the rest joined by single spaces, lower-cased)."""
     stored = _contaminated(docs, items, F.col("spans").alias("__spans"))
     words = word_array(docs["text"])
-    inside = lambda i: F.exists(stored["__spans"], lambda s: (s["first"] <= i + 1) & (i + 1 < s["end"]))
-    rest = F.array_join(F.filter(words, lambda _, i: ~inside(i)), " ")
-    same = docs["doc_id"].eqNullSafe(stored["__id"]) & F.sha2(docs["text"], 256).eqNullSafe(stored["__key"])
+    hit = F.flatten(F.transform(stored["__spans"], lambda s: F.sequence(s["first"], s["end"] - 1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size(words)), F.concat(F.array(F.lit(0)), hit))
+    rest = F.array_join(F.transform(left, lambda i: F.element_at(words, i)), " ")
     text = F.when(stored["__spans"].isNull(), docs["text"]).otherwise(rest).alias("text")
-    return docs.join(stored, same, "left").select(*[text if c == "text" else docs[c] for c in docs.columns])
+    joined = docs.join(stored, _is_one_of(docs, stored), "left")
+    return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
