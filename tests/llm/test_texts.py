@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -194,7 +195,34 @@ def brute_hits(doc, items):
     return len(ws), len(hit), sorted(map(str, found))
 
 
-def test_decontamination_by_brute_force(spark):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_decontamination_by_brute_force(spark, threshold):
+    """With hashes broadcast, and with every join shuffled."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        decontamination_by_brute_force(spark)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_decontamination_is_linear_in_the_text(spark):
+    """Four times the words take less than six times as long."""
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    took = {}
+    for n in (1000, 40_000, 160_000):  # the first one warms up
+        text = " ".join(f"w{i % 9973}" for i in range(n))
+        docs = spark.createDataFrame([(1, f"{text} {item}")], "doc_id long, text string")
+        start = time.perf_counter()
+        row = decontam.measured(decontam.hits(docs, items)).first()
+        took[n] = time.perf_counter() - start
+        assert (row["n_words"], row["n_hit"]) == (n + 14, 14)
+    assert took[160_000] < 6 * took[40_000]
+
+
+def decontamination_by_brute_force(spark):
     rng = random.Random(7)
     items = [(i, " ".join(rng.choices(SYLLABLES[:4 + i], k=k))) for i, k in enumerate([1, 2, 3, 5, 7, 8, 9, 12, 13, 14, 20, 40])]
     items += [(50, items[-1][1]), (51, "Únïcode Wörds, 123")]
