@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tabularium.session import new_folder
 
 BLOCK_BYTES = 1 << 18
+HASH_BITS = 1 << 27
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -34,6 +35,25 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _short_hash(h: str) -> Column:
+    return F.pmod(F.xxhash64(h), F.lit(HASH_BITS))
+
+
+def hash_bitmap(df: DataFrame, h: str) -> DataFrame:
+    """(bucket, bits): the values of ``h`` as a bitmap of ``HASH_BITS`` bits, that is 16 MB at most at any size."""
+    place = _short_hash(h)
+    each = df.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("place"))
+    return kept_table(each.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), "hashes")
+
+
+def through_bitmap(df: DataFrame, h: str, bitmap: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``h`` is in the (broadcast) bitmap; a few others may pass, none is missed."""
+    at = F.bitmap_bit_position(_short_hash(h))
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    joined = df.join(F.broadcast(bitmap), F.bitmap_bucket_number(_short_hash(h)) == F.col("bucket"))
+    return joined.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("bucket", "bits")
+
+
 def share(spark: SparkSession, model: object) -> Broadcast:
     """Broadcast a model with its class, so that executors need no installed copy of this package."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

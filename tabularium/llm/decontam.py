@@ -5,8 +5,8 @@ consecutive words of an item; an item with fewer words is one window. Every docu
 row (document, hash, place) that is looked up among the hashes of the test windows by a left-semi join;
 only documents with a hash in common get their words back, each place is verified on its words, and what
 is left joins the list of documents. Words never travel with the rows of other windows, so the cost is
-linear in the length of a text, and the plan is the same at any size: Spark broadcasts the hashes (8 bytes
-each), places and hits by their measured size and splits skewed keys where it shuffles. DataFrame functions
+linear in the length of a text, and the plan is the same at any size: a bitmap of fixed size picks the
+documents to read again, Spark broadcasts hashes and hits by their measured size and splits skewed keys. DataFrame functions
 only; no Python in the tasks.
 
 Short items are looked up by the hash of their first 1, 2, 4 or 8 words, so at most five window
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import UPPER, kept_table, table
+from tabularium.llm.common import UPPER, hash_bitmap, kept_table, table, through_bitmap
 
 N = 13
 SHARE = 20  # contaminated when SHARE * n_hit >= n_words
@@ -93,7 +93,10 @@ def hits(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
         F.collect_set(F.struct("key_len", "h", "at")).alias("starts")
     )
     starts = kept_table(starts, "starts")
-    own = keyed(docs)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    some = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("_s"))
+    some = through_bitmap(some, "_s", hash_bitmap(starts, "_of"))
+    own = some.select("doc_id", "_s", word_array(F.col("text")).alias("w"))
     read = own.join(starts, same_document(own, starts)).select(
         "doc_id",
         "_s",

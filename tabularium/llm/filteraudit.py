@@ -28,7 +28,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import kept_table, table
+from tabularium.llm.common import hash_bitmap, kept_table, table, through_bitmap
 
 LETTERS = "ABCDE"
 MIN_WORDS = 50
@@ -37,8 +37,6 @@ CAPITAL_SHARE = 5  # percent of the code points
 SYMBOLS = "[#$%&*|]"
 COPY = 1 << LETTERS.index("E")
 N_ORDERS = 120
-#: Size of the broadcast bitmap of hashes: 16 MB at most, whatever the corpus.
-HASH_BITS = 1 << 27
 
 
 def text_failures(text: Column) -> Column:
@@ -59,28 +57,10 @@ def text_failures(text: Column) -> Column:
     return F.element_at(F.transform(F.array(words), bits), 1)  # the words are split once
 
 
-def marked_hashes(base: DataFrame) -> DataFrame:
-    """(bucket, bits): bitmaps of the hashes that stand under several ids, in ``HASH_BITS`` bits at most."""
+def several_ids(base: DataFrame) -> DataFrame:
+    """Hashes that stand under several ids."""
     ids = base.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    place = short_hash("h")
-    several = ids.where("low < high").select(
-        F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("place")
-    )
-    return kept_table(several.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), "hashes")
-
-
-def short_hash(h: str) -> Column:
-    return F.pmod(F.xxhash64(h), F.lit(HASH_BITS))
-
-
-def bucket(h: str) -> Column:
-    return F.bitmap_bucket_number(short_hash(h)) == F.col("bucket")
-
-
-def in_bitmap(h: str) -> Column:
-    at = F.bitmap_bit_position(short_hash(h))
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    return F.getbit(byte, (at % 8).cast("int")) == 1
+    return ids.where("low < high").select("h")
 
 
 def failures(docs: DataFrame) -> DataFrame:
@@ -91,7 +71,7 @@ def failures(docs: DataFrame) -> DataFrame:
         "h", F.unhex(F.sha2("text", 256))
     )
     base = kept_table(hashed.select("doc_id", "part", "h", text_failures(F.col("text")).alias("mask")), "failures")
-    texts = hashed.join(F.broadcast(marked_hashes(base)), bucket("h"), "inner").where(in_bitmap("h")).drop("bucket", "bits")
+    texts = through_bitmap(hashed, "h", hash_bitmap(several_ids(base), "h"))
     texts = kept_table(texts, "texts")  # else the semi-join would be planned below the bitmap, with all texts
     ids = texts.groupBy(F.col("h").alias("h_of"), F.col("text").alias("text_of")).agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
