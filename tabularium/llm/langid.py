@@ -134,7 +134,7 @@ def score_texts(texts: list, model: LangModel) -> tuple[list[str], np.ndarray]:
             for j in range(k):
                 np.add.at(sums[:, j], owners, row_sums(model.log_prob[j][bucket], offsets))
     weight = np.minimum(1.0, EVIDENCE / np.maximum(grams, 1))
-    logit = model.prior + sums * weight[:, None]
+    logit = (model.prior + sums) * weight[:, None]  # tempered as a whole: the best language is that of the plain sums
     logit -= logit.max(axis=1, keepdims=True)
     prob = np.exp(logit)
     prob /= prob.sum(axis=1, keepdims=True)

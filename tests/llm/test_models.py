@@ -137,3 +137,17 @@ def test_statistics_by_brute_force():
         assert math.isclose(got["bars"][i], t.count("|") / max(len(raw), 1))
         lines = [x for x in t.split("\n") if x]
         assert math.isclose(got["repeated_lines"][i], 1 - len(set(lines)) / max(len(lines), 1) if lines else 1.0)
+
+
+def test_prediction_is_plain_naive_bayes():
+    """The prior weighs against all n-grams of a long text: evidence that is tempered alone would lose to it."""
+    rng = np.random.default_rng(4)
+    log_prob = np.log(rng.dirichlet(np.ones(64), 2))
+    log_prob[1] = log_prob[0] + 0.05  # each n-gram is a little likelier in the rare language
+    model = langid.LangModel(["common", "rare"], np.concatenate([log_prob, np.zeros((2, 1))], axis=1), np.log([0.99, 0.01]))
+    texts = ["a", "ab" * 5, "abc de " * 300, "x" * 2000]
+    names, scores = langid.score_texts(texts, model)
+    for text, name in zip(texts, names):
+        n_grams = sum(max(len(text) - order + 1, 0) for order in langid.ORDERS)
+        assert name == ("rare" if np.log(0.01) + 0.05 * n_grams > np.log(0.99) else "common")
+    assert ((scores >= 0.5) & (scores < 1)).all()
