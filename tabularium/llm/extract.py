@@ -51,18 +51,28 @@ ENDS = {
 }
 P_STOPS = frozenset("table td th button object caption html".split())
 
-# Kinds, roles and name parts of boilerplate.
+# Kinds, roles and names of boilerplate.
 DROP_KINDS = frozenset(
-    "head nav header footer aside form script style noscript template iframe svg canvas button select textarea menu "
-    "dialog object audio video title math input xmp noembed noframes".split()
+    "head nav header footer aside form script style noscript template iframe svg canvas select textarea menu "
+    "object audio video title input xmp noembed noframes".split()
 )
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Names that mean boilerplate whatever stands beside them.
 DROP_NAMES = frozenset(
-    "ad ads adv adbox adslot adunit adsbygoogle advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos "
-    "promotion banner sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
-    "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe signup login "
-    "social share sharing related recommended recommendations comment comments disqus reply replies respond widget "
-    "widgets pagination pager toolbar copyright skip".split()
+    "adbox adslot adunit adsbygoogle advert adverts advertisement advertisements sponsored promos sidebar sidebars nav "
+    "navbar breadcrumb breadcrumbs footer masthead cookie cookies gdpr newsletter disqus pagination pager".split()
+)
+#: Names that articles use too (related-work, share-prices): all parts of the name must be names or furniture.
+DROP_ALONE = frozenset(
+    "ad ads adv advertising sponsor sponsors promo promotion banner menu menus navigation header consent notice notices "
+    "alert alerts popup modal overlay subscribe signup login social share sharing related recommended recommendations "
+    "comment comments reply replies respond widget widgets toolbar copyright skip".split()
+)
+FURNITURE = frozenset(
+    "area articles bar block blocks body bottom box button buttons col column container content count feed fixed form "
+    "global group header heading icon icons inline inner item items left link links list main media mobile "
+    "module panel page post posts primary right row secondary section site small sticky stories text this thread title "
+    "to top unit user users wrap wrapper".split()
 )
 WITHOUT = frozenset("has no not with without".split())  # has-sidebar names what surrounds a sidebar
 OWN_HEADER = frozenset("article post entry content story main".split())
@@ -73,9 +83,23 @@ TOKEN = re.compile(
     r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?P<close>>?))"
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+OPEN = re.compile(r"(?:^|\s)open(?=[\s=/]|$)", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
+def _boilerplate_name(parts: list[str]) -> bool:
+    """Whether the parts of a class or id name boilerplate."""
+    known = DROP_NAMES | DROP_ALONE
+    pairs = {i: a + b for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in known}  # sideBar, sign-up
+    bad = {p for i, p in enumerate(parts) if p in known and (not i or parts[i - 1] not in WITHOUT)} | set(pairs.values())
+    if not bad or bad <= {"header"} and OWN_HEADER.intersection(parts):
+        return False
+    if bad & DROP_NAMES:
+        return True
+    paired = {j for i in pairs for j in (i, i + 1)}
+    return all(i in paired or p in known or p in FURNITURE or p.isdigit() for i, p in enumerate(parts))
+
+
 class Page:
     """Nodes of one page in page order, and its texts with the node and the block they stand in."""
 
@@ -87,19 +111,28 @@ class Page:
     def _read(self, source: str) -> None:
         stack, block, at, size = [0], 0, 0, len(source)
         kind, parent, attrs, texts = self.kind, self.parent, self.attrs, self.texts
+        places: dict[str, list[int]] = {}  # where each kind stands in the stack
+        blocks: list[int] = []  # where blocks stand in it
+        bodies: set[str] = set()
 
         def add(text: str) -> None:
             if text:
                 texts.append((stack[-1], block, text))
 
+        def last(names) -> int:
+            return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+        def cut(place: int) -> None:
+            while len(stack) > place:  # every element leaves once
+                name = kind[stack.pop()]
+                places[name].pop()
+                if name in BLOCK:
+                    blocks.pop()
+
         def close_to(names, stops) -> None:
-            for i in range(len(stack) - 1, 0, -1):
-                name = kind[stack[i]]
-                if name in names:
-                    del stack[i:]
-                    return
-                if name in stops:
-                    return
+            place = last(names)
+            if place > last(stops):
+                cut(place)
 
         while at < size:
             lt = source.find("<", at)
@@ -134,16 +167,14 @@ class Page:
             if name in BLOCK:
                 block += 1
             if m["end"]:
-                for i in range(len(stack) - 1, 0, -1):
-                    open_ = kind[stack[i]]
-                    if open_ == name:
-                        del stack[i:]
-                        break
-                    if name not in BLOCK and open_ in BLOCK:
-                        break  # an inline end tag does not end blocks
-                continue
-            if name in ("html", "body") and name in kind:
+                place = last((name,))
+                if place and (name in BLOCK or not blocks or place > blocks[-1]):  # an inline end tag ends no block
+                    cut(place)
                 continue
+            if name in ("html", "body"):
+                if name == "html" or name in bodies:
+                    continue
+                bodies.add(name)
             if name in CLOSES_P:
                 close_to(("p",), P_STOPS)
             if name in ENDS:
@@ -160,6 +191,9 @@ class Page:
                     at = size if gt < 0 else gt + 1
                 continue
             if name not in VOID and not m["attrs"].endswith("/") or name in BLOCK - VOID:
+                places.setdefault(name, []).append(len(stack))
+                if name in BLOCK:
+                    blocks.append(len(stack))
                 stack.append(len(kind) - 1)
 
     def boilerplate(self) -> list[bool]:
@@ -169,12 +203,13 @@ class Page:
         for i in range(n - 1, 0, -1):
             if self.kind[i] in ("article", "main") and not self._named(i) or around_main[i]:
                 around_main[self.parent[i]] = True
-        dropped, in_main = [False] * n, [False] * n
+        dropped, in_main, in_p = [False] * n, [False] * n, [False] * n
         own_header = [False] * n
         for i in range(1, n):
             up = self.parent[i]
             name = self.kind[i]
             in_main[i] = in_main[up] or name in ("article", "main")
+            in_p[i] = in_p[up] or name == "p"
             if own_header[up]:  # of an article's own header only the headings are text
                 own_header[i] = True
                 dropped[i] = dropped[up] or name in DROP_KINDS
@@ -184,14 +219,17 @@ class Page:
                 continue
             if name in ("html", "body"):
                 continue
-            dropped[i] = dropped[up] or name in DROP_KINDS or (not around_main[i] and self._named(i))
+            control = name in DROP_KINDS or name == "button" and not in_p[i]  # a button in a sentence is text
+            dropped[i] = dropped[up] or control or (not around_main[i] and self._named(i))
         headed = [False] * n
         for i in range(1, n):
             headed[i] = headed[self.parent[i]] or (own_header[i] and self.kind[i] in HEADINGS)
         return [d or (o and not h) for d, o, h in zip(dropped, own_header, headed)]
 
     def _named(self, i: int) -> bool:
-        """Boilerplate by role, class, id or being hidden."""
+        """Boilerplate by role, class, id or being hidden; a dialog without ``open`` is hidden."""
+        if self.kind[i] == "dialog" and not OPEN.search(self.attrs[i]):
+            return True
         if not self.attrs[i]:
             return False
         for m in ATTRIBUTE.finditer(self.attrs[i]):
@@ -205,10 +243,7 @@ class Page:
             if key in ("class", "id"):
                 for word in value.split():
                     parts = [p.lower() for p in NAME_PART.findall(word)]
-                    pairs = [a + b for a, b in zip(parts, parts[1:])]  # sideBar, sign-up
-                    bad = DROP_NAMES.intersection(pairs)
-                    bad |= {p for i, p in enumerate(parts) if p in DROP_NAMES and (not i or parts[i - 1] not in WITHOUT)}
-                    if bad and not (bad <= {"header"} and OWN_HEADER.intersection(parts)):
+                    if _boilerplate_name(parts):
                         return True
         return False
 
