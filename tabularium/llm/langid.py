@@ -3,7 +3,7 @@
 Counts of hashed 1- to 3-grams are gathered per language in every task and summed by Spark; the
 log-probability matrix (buckets x languages, a fixed number of buckets) is broadcast and texts are
 scored in sparse numpy batches. Whole texts count; a text longer than a block is cut into pieces
-whose sums are added.
+whose sums are added, every n-gram in the piece where it starts.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; so is every text
 when nothing was learned. Rows with a null label or a null text teach nothing. Ties between languages
@@ -41,7 +41,7 @@ class LangModel:
 
 
 def _pieces(texts: list, limit: int) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Blocks of lower-cased texts, long ones cut (with an overlap for n-grams across the cut)."""
+    """Blocks of lower-cased texts, long ones cut; n-grams start in the first ``limit`` characters of a piece."""
     owners, parts, size = [], [], 0
     for i, text in enumerate(texts):
         text = (text or "").lower()
@@ -57,8 +57,8 @@ def _pieces(texts: list, limit: int) -> Iterator[tuple[np.ndarray, list[str]]]:
         yield np.array(owners), parts
 
 
-def _grams(parts: list[str], order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of the n-gram at each code point (``buckets`` where it would leave its text), offsets."""
+def _grams(parts: list[str], order: int, buckets: int, limit: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of the n-gram at each code point (``buckets`` where none starts in this piece), offsets."""
     codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
     mixed = codes * np.uint32(0x9E3779B1)
@@ -70,6 +70,8 @@ def _grams(parts: list[str], order: int, buckets: int) -> tuple[np.ndarray, np.n
     for k in range(1, order):
         at = offsets[1:] - k
         bucket[at[at >= offsets[:-1]]] = buckets
+    for i in np.flatnonzero(np.diff(offsets) > limit):  # what follows is the next piece's
+        bucket[offsets[i] + limit : offsets[i + 1]] = buckets
     return bucket, offsets
 
 
@@ -130,7 +132,7 @@ def score_texts(texts: list, model: LangModel) -> tuple[list[str], np.ndarray]:
     for owners, parts in _pieces(texts, PIECE):
         for order in ORDERS:
             bucket, offsets = _grams(parts, order, buckets)
-            np.add.at(grams, owners, np.maximum(np.diff(offsets) - order + 1, 0))
+            np.add.at(grams, owners, np.clip(np.diff(offsets) - order + 1, 0, PIECE))
             for j in range(k):
                 np.add.at(sums[:, j], owners, row_sums(model.log_prob[j][bucket], offsets))
     weight = np.minimum(1.0, EVIDENCE / np.maximum(grams, 1))

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from tabularium.llm import langid, maxent, quality
 from tabularium.llm.common import Words, space_words, text_blocks
 from tabularium.llm.queries import QUERIES
@@ -50,14 +51,20 @@ def test_language_id_on_held_out_documents(spark):
 def test_long_texts_are_cut_without_loss():
     model = langid.LangModel(["a", "b"], np.random.default_rng(0).normal(size=(2, langid.BUCKETS + 1)), np.zeros(2))
     model.log_prob[:, -1] = 0
-    text = "".join(chr(97 + i * i % 26) for i in range(3 * langid.PIECE // 2))
+    piece = langid.PIECE
+    for size in (piece - 1, piece, piece + 1, piece + 2, 2 * piece, 2 * piece + 1, 5 * piece // 2):
+        text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(size))
+        for order in langid.ORDERS:
+            whole = np.bincount(langid._grams([text], order, langid.BUCKETS, size)[0], minlength=langid.BUCKETS + 1)
+            cut = np.zeros_like(whole)
+            for _, parts in langid._pieces([text], piece):
+                cut += np.bincount(langid._grams(parts, order, langid.BUCKETS)[0], minlength=langid.BUCKETS + 1)
+            assert (whole[:-1] == cut[:-1]).all() and whole[:-1].sum() == size - order + 1
     names, scores = langid.score_texts([text, text[:100]], model)
-    whole = sum(row[langid._grams([text], o, langid.BUCKETS)[0]].sum() for row in model.log_prob[:1] for o in langid.ORDERS)
-    pieces = 0.0
-    for _, parts in langid._pieces([text], langid.PIECE):
-        pieces += sum(model.log_prob[0][langid._grams(parts, o, langid.BUCKETS)[0]].sum() for o in langid.ORDERS)
-    assert abs(whole - pieces) < 50  # two n-grams around each cut count twice
-    assert len(names) == 2 and (scores >= 0).all()
+    sums = [sum(row[langid._grams([text], o, langid.BUCKETS, size)[0]].sum() for o in langid.ORDERS) for row in model.log_prob]
+    assert names[0] == model.labels[int(np.argmax(sums))]
+    n_grams = sum(size - o + 1 for o in langid.ORDERS)
+    assert scores[0] == pytest.approx(1 / (1 + np.exp(-abs(sums[0] - sums[1]) * langid.EVIDENCE / n_grams)))
 
 
 def test_language_model_counts_by_brute_force(spark):
