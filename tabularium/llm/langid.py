@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import remainder, row_sums, share, shared_model, table
+from tabularium.llm.common import remainder, row_sums, share, shared_model, table, unused
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -156,7 +156,7 @@ def predict(
 ) -> DataFrame:
     """``keep`` columns with language and score, called ``names``; one row per input row."""
     shared = share(docs.sparkSession, model)
-    picked = docs.select(*keep, F.col(text).alias("__text"))
+    picked = docs.select(*keep, F.col(text).alias(*unused(docs, "__text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model(shared)
