@@ -28,6 +28,17 @@ def remainder(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cut lineage, known size."""
     path = new_folder(df.sparkSession, name)
@@ -54,6 +65,18 @@ def through_bitmap(df: DataFrame, h: str, bitmap: DataFrame) -> DataFrame:
     return joined.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("bucket", "bits")
 
 
+def smallest_hashes(df: DataFrame, h: str, k: int) -> DataFrame:
+    """At least the ``k`` rows with the smallest ``h``, and at most one of 65,536 hash ranges more.
+
+    The range comes from a histogram, so nothing is sorted in one task.
+    """
+    place = F.shiftright(h, 48)
+    counted = df.groupBy(place.alias("at")).agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("at")
+    total = np.cumsum(counted.column("n").to_numpy())
+    i = int(np.searchsorted(total, k))
+    return df if i >= len(total) else df.where(place <= int(counted.column("at")[i].as_py()))
+
+
 def share(spark: SparkSession, model: object) -> Broadcast:
     """Broadcast a model with its class, so that executors need no installed copy of this package."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import kept_table, table
+from tabularium.llm.common import kept_table, table, unused
 
 SEED = "mix-1"
 POWER = 0.5
@@ -75,21 +75,22 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, seed: str = SEED, mar
     """Replicated documents in a global random order; sources without a target vanish."""
     wanted = targets if targets is not None else tempered_targets(docs)
     parts = F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int")
+    source, pieces, cdf, times, nth, key = unused(docs, "__source", "__parts", "__cdf", "__n", "__copy", "__key")
     by_source = rates(docs, wanted).where("rate > 0").select(
-        F.col("source").alias("__source"), parts.alias("__parts"), distribution(F.col("rate") / parts).alias("__cdf")
+        F.col("source").alias(source), parts.alias(pieces), distribution(F.col("rate") / parts).alias(cdf)
     )
     by_source = kept_table(by_source, "poisson")
-    joined = docs.join(by_source, docs["source"].eqNullSafe(F.col("__source")))
+    joined = docs.join(by_source, docs["source"].eqNullSafe(F.col(source)))
     out = [c for c in docs.columns if not (marks and c in ("copy", "shuffle_key"))]
-    counted = joined.withColumn("__n", copies(seed, F.col("__parts"), F.col("__cdf"))).where("__n > 0")
-    each = counted.select(*out, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
-    keyed = each.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "text", "__copy"))
+    counted = joined.withColumn(times, copies(seed, F.col(pieces), F.col(cdf))).where(F.col(times) > 0)
+    each = counted.select(*out, F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(nth))
+    keyed = each.withColumn(key, F.xxhash64(F.lit(seed), "doc_id", "text", nth))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # hashes are even over their range, so the range partition of a key needs no sample
-    share = (F.col("__key").cast("double") + 2.0**63) / 2.0**64
+    share = (F.col(key).cast("double") + 2.0**63) / 2.0**64
     place = F.least(F.floor(share * n), F.lit(n - 1)).cast("int")
-    ordered = keyed.repartitionById(n, place).sortWithinPartitions("__key")
-    extra = [F.col("__copy").alias("copy"), F.col("__key").alias("shuffle_key")] if marks else []
+    ordered = keyed.repartitionById(n, place).sortWithinPartitions(key)
+    extra = [F.col(nth).alias("copy"), F.col(key).alias("shuffle_key")] if marks else []
     return ordered.select(*out, *extra)
 
 
