@@ -7,8 +7,9 @@ into arrays (feature, threshold, children, value) and all rows of a batch walk t
 
 Defined results: a null text is an empty text, and both get an ordinary score from their (zero)
 statistics. Without labelled rows, or with one class only, every score is the share of label 1
-(0.5 without any row). A document with several labels counts once per label row; null labels and
-rows without a document teach nothing. Repeated rows each get the same score. Columns besides the
+(0.5 without any row). A document with several labels counts once per distinct label; null labels and
+rows without a document teach nothing, and of several texts under one id the one with the smallest statistics
+teaches. Repeated rows each get the same score. Columns besides the
 text never reach the model.
 """
 
@@ -24,15 +25,18 @@ from pyspark.sql import functions as F
 
 from tabularium.llm.common import (
     Words,
+    kept_table,
     line_words,
     remainder,
     row_starts,
     row_sums,
     share,
     shared_model,
+    smallest_hashes,
     space_words,
     table,
     text_blocks,
+    unused,
 )
 
 SAMPLE = 20_000
@@ -197,12 +201,15 @@ def _statistics_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE) -> Trees:
     """Trees fitted on at most ``sample`` labelled rows."""
     marks = labels.select(F.col("doc_id").alias("_id"), F.col(target).cast("double").alias("y"))
-    order = F.xxhash64("_id"), F.col("_id"), F.col("y")
     known = docs.select(F.col("doc_id").alias("_id"))
-    chosen = marks.where("y IS NOT NULL").join(known, "_id", "left_semi").orderBy(*order).limit(sample)
-    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), "_id")  # at most ``sample`` ids
+    marked = marks.where("y IS NOT NULL").distinct().join(known, "_id", "left_semi").withColumn("_h", F.xxhash64("_id"))
+    chosen = kept_table(smallest_hashes(marked, "_h", sample), "sample")  # its known size makes the join a broadcast
+    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(chosen.select("_id", "y"), "_id")
     statistics = rows.select("_id", "y", "text").mapInArrow(_statistics_task, "_id long, y double, x array<double>")
-    got = statistics.orderBy(*order).limit(sample).toArrow()
+    each = statistics.groupBy("_id", "y").agg(F.min("x").alias("x")).withColumn("_h", F.xxhash64("_id"))
+    got = each.toArrow().sort_by([("_h", "ascending"), ("_id", "ascending"), ("y", "ascending")]).slice(0, sample)
+    if not got.num_rows:
+        return boost(np.zeros((0, len(FEATURES))), np.zeros(0))
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     y = got.column("y").to_numpy()
     place = np.lexsort([*x.T[::-1], y])  # equal ids may arrive in any order
@@ -212,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
 def predict(docs: DataFrame, model: Trees, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
     """``keep`` columns and the score; one row per input row."""
     shared = share(docs.sparkSession, model)
-    picked = docs.select(*keep, F.col("text").alias("__text"))
+    picked = docs.select(*keep, F.col("text").alias(*unused(docs, "__text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, statistics = shared_model(shared), Statistics()
