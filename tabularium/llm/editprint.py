@@ -284,11 +284,13 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     ranged = picked.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     walked = ranged.mapInArrow(_walk_task, f"{RESULT}, role int, part long, text string")
     rows = kept_table(walked, "fingerprints")
-    # two rows per partition, whatever the number of documents
-    along = Window.orderBy("part", "role")
     edges = rows.where(F.col("role") != INNER).select("doc_id", "text", "role", "part")
-    following = F.coalesce(F.lead("text").over(along), F.first("text").over(along))
-    last = edges.withColumn("following", following).where(F.col("role") == LAST)
+    # one narrow row per partition is put in order; the texts follow by joins
+    along = Window.orderBy("part")
+    parts_used = edges.where(F.col("role") == FIRST).select("part")
+    after = parts_used.select("part", F.coalesce(F.lead("part").over(along), F.first("part").over(along)).alias("next"))
+    first = edges.where(F.col("role") == FIRST).select(F.col("part").alias("next"), F.col("text").alias("following"))
+    last = edges.where(F.col("role") == LAST).join(after, "part").join(first, "next")
     closed = last.select("doc_id", "text", "following").mapInArrow(_edge_task, RESULT)
     return rows.where(F.col("role") == INNER).drop("role", "part", "text").unionByName(closed)
 
