@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import Words, kept_table, row_starts, share, shared_model, space_words, table, text_blocks
+from tabularium.llm.common import Words, kept_table, row_starts, share, shared_model, space_words, table, text_blocks, unused
 
 REGISTERS, BAND = 128, 4
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
@@ -366,19 +366,28 @@ def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, n: int = 5) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Columns unchanged."""
+    """One document of each group of near duplicates: the one with the smallest id. Columns unchanged.
+
+    Of several rows with the chosen id the one whose text has the smallest SHA-256 stays (a null text comes last),
+    among equal texts the one whose other columns come first as JSON.
+    """
     rows = near_duplicates(docs, n).where("doc_id IS NOT NULL")
-    ids = kept_table(rows.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n")), "kept")
-    same = docs["doc_id"].cast("long") == F.col("__id")
+    ids = kept_table(rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "kept")
+    own, whole = unused(docs, "__id", "__row")
+    same = docs["doc_id"].cast("long") == F.col(own)
 
     def listed(condition: str) -> DataFrame:
-        chosen = ids.where(condition).select(F.col("doc_id").alias("__id"))
+        chosen = ids.where(condition).select(F.col("doc_id").alias(own))
         return F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
 
     # ids that go, or that occur again, are fewer than those that stay
-    single = docs.join(listed("NOT __kept OR __n > 1"), same, "left_anti")
-    repeated = docs.join(listed("__kept AND __n > 1"), same, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated)
+    single = docs.join(listed("NOT kept OR n > 1"), same, "left_anti")
+    repeated = docs.join(listed("kept AND n > 1"), same, "left_semi")
+    others = [c for c in docs.columns if c != "text"]
+    order = F.struct(F.coalesce(F.sha2("text", 256), F.lit("~")), F.to_json(F.struct(*others)))
+    row = F.struct(*docs.columns)
+    one = repeated.groupBy(F.col("doc_id").alias(own)).agg(F.min_by(row, order).alias(whole)).select(f"{whole}.*")
+    return single.unionByName(one)
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:

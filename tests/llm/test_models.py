@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from tabularium.llm import langid, maxent, quality
-from tabularium.llm.common import Words, space_words, text_blocks
+from pyspark.sql import functions as F
+from tabularium.llm.common import Words, smallest_hashes, space_words, text_blocks
 from tabularium.llm.queries import QUERIES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,3 +159,29 @@ def test_prediction_is_plain_naive_bayes():
         n_grams = sum(max(len(text) - order + 1, 0) for order in langid.ORDERS)
         assert name == ("rare" if np.log(0.01) + 0.05 * n_grams > np.log(0.99) else "common")
     assert ((scores >= 0.5) & (scores < 1)).all()
+
+
+def test_most_frequent_tokens_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(h), int(c)) for h, c in zip(rng.integers(-(2**63), 2**63, 3000), rng.zipf(1.6, 3000).clip(max=10**9))]
+    counts = spark.createDataFrame(rows, "h long, c long").repartition(7)
+    for k in (1, 10, 500, 2999, 3000, 5000):
+        h, c = maxent.most_frequent(counts, k)
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
+        assert list(zip(h.view(np.int64).tolist(), c.tolist())) == want
+    assert len(maxent.most_frequent(counts.limit(0), 5)[0]) == 0
+
+
+def test_quality_sample_is_the_smallest_hashes(spark, monkeypatch):
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(0, 500, 2).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("quality"))
+    seen = {}
+    monkeypatch.setattr(quality, "boost", lambda x, y: seen.update(n=len(y), y=sorted(y)))
+    quality.fit(docs, labels, sample=40)
+    order = labels.select(F.xxhash64("doc_id").alias("h"), "quality").orderBy("h").limit(40).collect()
+    assert seen["n"] == 40 and seen["y"] == sorted(float(r["quality"]) for r in order)
+    quality.fit(docs.unionByName(docs), labels.unionByName(labels), sample=10_000)
+    assert seen["n"] == 250
+    plan = spark.range(3).select("id")  # the helper keeps whole ranges
+    assert smallest_hashes(plan.withColumn("h", F.xxhash64("id")), "h", 2).count() >= 2
+

@@ -1,7 +1,11 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing column names, for every query."""
 
+import hashlib
+
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
+from tabularium.llm import setsketch
 from tabularium.llm.queries import QUERIES
 
 OTHER_ROWS = ("op1_main_text", "op5_license_scan", "op9_mixture", "op11_nearest_neighbours", "op12_filter_audit")
@@ -127,3 +131,31 @@ def test_pipeline(spark, odd_tables, empty_tables):
     assert got.columns == spark.read.parquet(f"{odd_tables}/documents.parquet").columns
     assert not {4, 5} & {r["doc_id"] for r in got.collect()}  # contaminated
     assert corpus_pipeline.run(spark, empty_tables).count() == 0
+
+
+def test_one_of_several_texts_with_the_same_id_stays(spark):
+    rows = [(1, "one two three four five six", "b"), (1, "other words that say something else", "a"), (2, None, "x"),
+            (2, "a text of its own for the second id", "y"), (3, "same", "q"), (3, "same", "p")]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = {(1, min((t for i, t, _ in rows if i == 1), key=digest)), (2, rows[3][1]), (3, "same")}
+    for parts in (1, 4):
+        for given in (rows, rows[::-1]):
+            docs = spark.createDataFrame(given, "doc_id long, text string, source string").repartition(parts)
+            got = setsketch.deduplicate(docs).collect()
+            assert {(r["doc_id"], r["text"]) for r in got} == want and len(got) == 3
+            assert [r["source"] for r in got if r["doc_id"] == 3] == ["p"]
+
+
+CLASHING = "__text __score __lang __id __kept __n __key __parts __h __row _id _h y x n_words kept label".split()
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_carry_columns_with_names_of_their_own(spark, small, name, stage):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    got = stage(spark, more, small)
+    assert got.columns == more.columns
+    plain = sorted(r["doc_id"] for r in stage(spark, docs, small).collect())
+    rows = got.collect()
+    assert sorted(r["doc_id"] for r in rows) == plain
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in CLASHING)
