@@ -8,6 +8,14 @@ Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
 3. near_dedup: the document with the smallest id of each near-duplicate group stays (5-word shingles, 0.8)
 4. decontaminate: documents contaminated by ``benchmark`` go
 5. mix: sources are brought to their target weights; the number of copies shows in repeated rows
+
+Null and empty texts: the quality model scores them as empty, and what passes goes in the language stage, as it has
+no letter. Null ids: such rows have no duplicates and are not labelled; the other stages judge them by their text.
+Very long texts are read whole. Ties: equal language scores go to the alphabetically first; the smallest id of a
+group stays, of several texts under that id the one with the smallest SHA-256. Repeated rows are judged alike, one
+stays at near_dedup. A null source is a source of its own. Empty tables give an empty result with the columns of
+``documents``; without labels every score is 0.5, without benchmark items nothing is contaminated.
+Further columns are carried along under any name.
 """
 
 from __future__ import annotations
@@ -16,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import decontam, langid, mixing, quality, setsketch
-from tabularium.llm.common import kept_table, table
+from tabularium.llm.common import kept_table, table, unused
 
 #: Texts whose language is less certain than this are rejected, as are those without a letter.
 LANGUAGE_BOUND = 0.5
@@ -24,14 +32,16 @@ LANGUAGE_BOUND = 0.5
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.predict(docs, model, keep=tuple(docs.columns), score="__score")
-    return scored.where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    (score,) = unused(docs, "__score")
+    scored = quality.predict(docs, model, keep=tuple(docs.columns), score=score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
-    found = langid.predict(docs, model, keep=tuple(docs.columns), names=("__lang", "__score"))
-    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LANGUAGE_BOUND)
+    lang, score = unused(docs, "__lang", "__score")
+    found = langid.predict(docs, model, keep=tuple(docs.columns), names=(lang, score))
+    sure = (F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LANGUAGE_BOUND)
     return found.where(sure).select(*docs.columns)
 
 
