@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import distributions as dist
+from tabularium.functions.normal import log_normal_cdf
 from tabularium.operators.groups import proportion
-from tabularium.operators.order_stats import global_row_number, mid_ranks
+from tabularium.operators.order_stats import global_row_number, join_groups, mid_ranks, running_counts
 from tabularium.session import stored
 
 
@@ -192,6 +193,52 @@ def normality(df: DataFrame, group: str, value: str) -> DataFrame:
     return stats.withColumn("jb", jb).withColumn("p", F.exp(-F.col("jb") / 2.0))
 
 
+# P-value of the adjusted statistic when mean and deviation come from the rows (upper limit of
+# the statistic, then the terms of the exponent; the first two rows give 1 - p).
+AD_P = (
+    (0.2, -13.436, 101.14, -223.73),
+    (0.34, -8.318, 42.796, -59.938),
+    (0.6, 0.9177, -4.279, -1.38),
+    (10.0, 1.2937, -5.709, 0.0186),
+)
+AD_LEAST = 3.7e-24
+
+
+def anderson_darling(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Anderson-Darling test of each group against the normal law fitted to it: ``(group, n, a2, p)``.
+
+    Every distinct value gets its place in the order of its group from running counts, so no group is
+    sorted in one task. A group with fewer than two values, or with one value only, has no statistic.
+    """
+    counted = running_counts(df.select(group, F.col(value).cast("double").alias(value)), [group], value)
+    counted = stored(counted)
+    n, v = F.col("n").cast("double"), F.col("value")
+    means = counted.groupBy(group).agg((F.sum(n * v) / F.sum(n)).alias("mean"), F.sum("n").alias("size"))
+    means = stored(means)
+    around = join_groups(counted, means, [group])
+    spread = around.groupBy(group).agg(F.sum(n * F.pow(v - F.col("mean"), F.lit(2.0))).alias("square"))
+    spread = stored(join_groups(means, spread, [group]))
+    sd = F.when((F.col("square") > 0) & (F.col("size") > 1), F.sqrt(F.col("square") / (F.col("size") - 1)))
+    z = (v - F.col("mean")) / F.col("sd")
+    before, size = F.col("before").cast("double"), F.col("size").cast("double")
+    # the sums of 2 i - 1 and of 2 (size - i) + 1 over the places i of equal values
+    below, above = n * (2.0 * before + n), n * (2.0 * size - 2.0 * before - n)
+    term = below * log_normal_cdf(z) + above * log_normal_cdf(-z)
+    placed = join_groups(counted, spread.withColumn("sd", sd), [group])
+    sums = placed.groupBy(group).agg(F.first("size").alias("n"), F.sum(term).alias("terms"))
+    a2 = -F.col("n") - F.col("terms") / F.col("n")
+    return sums.select(group, "n", a2.alias("a2")).withColumn("p", _ad_p_value(F.col("a2"), F.col("n")))
+
+
+def _ad_p_value(a2, n):
+    adjusted = a2 * (1.0 + 0.75 / n + 2.25 / (n * n))
+    p = F.when(adjusted.isNull(), F.lit(None).cast("double"))
+    for at, (limit, *terms) in enumerate(AD_P):
+        e = F.exp(F.lit(terms[0]) + F.lit(terms[1]) * adjusted + F.lit(terms[2]) * adjusted * adjusted)
+        p = p.when(adjusted < limit, 1.0 - e if at < 2 else e)
+    return p.otherwise(F.lit(AD_LEAST))
+
+
 def ks_normal(df: DataFrame, value: str, mean: float, sd: float) -> DataFrame:
     """Kolmogorov-Smirnov test of a column against a normal law that is given, not fitted to it."""
     clean = df.select(F.col(value).cast("double").alias(value)).na.drop()

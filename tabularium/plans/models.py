@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import bucket_of, fixed
-from tabularium.operators import features, models, regression, similarity
+from tabularium.operators import decomposition, features, models, regression, similarity
+from tabularium.plans.common import fixed_sql
 from tabularium.sources import shapes
 
 FEATURES = ["accommodates", "bedrooms", "extra_people", "score", "type_mean", "spot_mean"]
@@ -141,6 +142,29 @@ def svd_lowrank(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def svd_row_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared length of every vector, from its left singular vector and all singular values."""
+    df = shapes.vectors(spark, sf)
+    values, right = decomposition.tall_svd(df, "vector", DIMENSIONS)
+    rows = decomposition.left_vectors(df, "vector", values, right)
+    weights = F.array(*[F.lit(float(v)) for v in values])
+    parts = F.zip_with("u", weights, lambda u, s: (u * s) * (u * s))
+    length = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
+    return rows.select("id", fixed(length, 6).alias("length"))
+
+
+def svd_left_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Inner products of the ten leading left singular vectors over all rows."""
+    df = shapes.vectors(spark, sf)
+    values, right = decomposition.tall_svd(df, "vector", 10)
+    each = decomposition.left_vectors(df, "vector", values, right)
+    a = each.select("u", F.posexplode("u").alias("i", "a"))
+    cells = a.select("i", "a", F.posexplode("u").alias("j", "b"))
+    return cells.groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("product")).select(
+        "i", "j", fixed("product", 6).alias("product")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -154,10 +178,16 @@ QUERIES = {
         pca_neighbours,
         vector_neighbours,
         svd_lowrank,
+        svd_row_lengths,
+        svd_left_products,
     )
 }
 
 SQL = {
+    "svd_row_lengths": f"""SELECT vec_id AS id,
+  {fixed_sql('list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])', 6)} AS length FROM embeddings""",
+    "svd_left_products": """SELECT i::INTEGER AS i, j::INTEGER AS j, (CASE WHEN i = j THEN 1 ELSE 0 END)::DOUBLE AS product
+FROM range(10) a(i), range(10) b(j) WHERE (SELECT count(*) FROM embeddings) > 0""",
     "vector_neighbours": """WITH v AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS e
   FROM embeddings),
 d AS (SELECT v.id, v.label, list_sum(list_transform(range(1, len(v.e) + 1),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import bucket_of, fixed
+from tabularium.functions.normal import log_erfc_sql
 from tabularium.operators import cleaning, features, groups, hypothesis, regression
 from tabularium.plans.common import LISTINGS, fixed_sql, with_ctes
 from tabularium.sources import shapes
@@ -74,6 +75,12 @@ def normality(spark: SparkSession, sf: str) -> DataFrame:
     return _fixed(df, 6, "skewness", "kurtosis", "p").withColumn("jb", fixed("jb", 3))
 
 
+def normality_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """Anderson-Darling test of the prices of each property type against its own normal law."""
+    df = hypothesis.anderson_darling(shapes.listings(spark, sf), "property_type", "price")
+    return _fixed(df, 6, "a2", "p")
+
+
 def proportion_ci(spark: SparkSession, sf: str) -> DataFrame:
     return groups.proportion(shapes.listings(spark, sf), "bedrooms", 3)
 
@@ -202,6 +209,7 @@ QUERIES = {
         test_p_values,
         ks_prices,
         normality,
+        normality_fitted,
         proportion_ci,
         proportion_bounds,
         ols_normal_eq,
@@ -220,6 +228,11 @@ QUERIES = {
 }
 
 _MORE = _L.rstrip() + ",\n"
+_HALF = f"({log_erfc_sql('x')} - ln(2::DOUBLE))"
+_AD_P = " ".join(
+    f"WHEN s < {limit} THEN {'1 - ' if at < 2 else ''}exp({a} + {b}::DOUBLE * s + {c}::DOUBLE * s * s)"
+    for at, (limit, a, b, c) in enumerate(hypothesis.AD_P)
+)
 _HOUSES = """houses AS (SELECT p_partkey AS id, p_retailprice AS sale_price,
   p_size::DOUBLE AS living_area, (1950 + p_partkey % 70)::DOUBLE AS year_built FROM part)"""
 _TRAIN = (
@@ -328,6 +341,19 @@ s AS (SELECT property_type, n, m3 / pow(m2, 1.5::DOUBLE) AS sk, m4 / (m2 * m2) -
 j AS (SELECT *, n / 6.0::DOUBLE * (sk * sk + ku * ku / 4) AS jb FROM s)
 SELECT property_type, n, {fixed_sql('sk', 6)} AS skewness, {fixed_sql('ku', 6)} AS kurtosis,
   {fixed_sql('jb', 3)} AS jb, {fixed_sql('exp(-jb / 2)', 6)} AS p FROM j""",
+    "normality_fitted": _MORE
+    + f"""r AS (SELECT property_type, price::DOUBLE AS v, row_number() OVER w AS i,
+    count(*) OVER (PARTITION BY property_type) AS n, avg(price::DOUBLE) OVER (PARTITION BY property_type) AS m,
+    stddev_samp(price::DOUBLE) OVER (PARTITION BY property_type) AS sd
+  FROM listings WHERE price IS NOT NULL WINDOW w AS (PARTITION BY property_type ORDER BY price)),
+z AS (SELECT property_type, i, n, (v - m) / nullif(sd, 0) AS z, abs((v - m) / nullif(sd, 0)) / sqrt(2::DOUBLE) AS x FROM r),
+l AS (SELECT property_type, i, n, z, {_HALF} AS half FROM z),
+a AS (SELECT property_type, n, -n - sum((2 * i - 1) * CASE WHEN z < 0 THEN half ELSE ln(1 - exp(half)) END
+    + (2 * (n - i) + 1) * CASE WHEN z <= 0 THEN ln(1 - exp(half)) ELSE half END) / n AS a2
+  FROM l GROUP BY property_type, n),
+s AS (SELECT *, a2 * (1 + 0.75::DOUBLE / n + 2.25::DOUBLE / (n * n)) AS s FROM a)
+SELECT property_type, n, {fixed_sql('a2', 6)} AS a2,
+  {fixed_sql(f"CASE WHEN s IS NULL THEN NULL {_AD_P} ELSE {hypothesis.AD_LEAST!r}::DOUBLE END", 6)} AS p FROM s""",
     "proportion_ci": _L
     + """SELECT count(*) FILTER (bedrooms = 3) AS hits, count(*) AS n,
   round(count(*) FILTER (bedrooms = 3) * 100.0::DOUBLE / count(*), 2) AS percent FROM listings""",

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions.columns import as_wall_clock
-from tabularium.operators import usage
+from tabularium.operators import sketches, usage
 from tabularium.plans.common import DEVICES, USERS, with_ctes
 from tabularium.session import new_folder
 from tabularium.sources import shapes, telemetry
 from tabularium.streaming import usage as streams
 
+ARRIVALS = 4
 ARCHIVED_HOUR = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
 
 
@@ -69,6 +70,52 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return shapes.devices_from(stream)
 
 
+def usage_sketch_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily users and median bytes from merged hourly sketches, beside the exact count and the bounds they keep."""
+    devices = shapes.devices(spark, sf)
+    hourly = sketches.hourly_sketches(devices, "id", "bytes")
+    archive = sketches.write_sketches(hourly, new_folder(spark, "sketches"))
+    day = ["year", "month", "day"]
+    daily = sketches.read_sketches(sketches.merge_sketches(archive, day), (0.5,)).drop("n")
+    rows = telemetry.with_archive_parts(devices).select(*day, "id", "bytes")
+    both = rows.join(daily, day)  # a row per day
+    exact = both.groupBy(*day).agg(
+        F.count("*").alias("n"),
+        F.countDistinct("id").alias("users"),
+        F.first("distinct").alias("found"),
+        F.avg((F.col("bytes") < F.col("q50")).cast("double")).alias("below"),
+        F.avg((F.col("bytes") <= F.col("q50")).cast("double")).alias("upto"),
+    )
+    close = F.abs(F.col("found") - F.col("users")) <= 4 * sketches.DISTINCT_ERROR * F.col("users") + 1
+    half = (F.col("below") <= 0.5 + sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - sketches.RANK_ERROR)
+    return exact.select(*day, "n", "users", close.alias("users_close"), half.alias("median_close"))
+
+
+def _arrivals(devices: DataFrame) -> list[DataFrame]:
+    """The rows in the order in which they come: by time, but some a quarter or two of the span too late."""
+    at = F.unix_timestamp("timestamp")
+    span = devices.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    lo, hi = span["lo"] or 0, span["hi"] or 0
+    quarter = F.floor((at - lo) * ARRIVALS / F.lit(hi - lo + 1))
+    behind = F.when(F.col("bytes") % 25 == 0, 2).when(F.col("bytes") % 5 == 0, 1).otherwise(0)
+    place = F.least(quarter + behind, F.lit(ARRIVALS - 1))
+    return [devices.where(place == i) for i in range(ARRIVALS)]
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly totals of a stream that is restarted at every arrival and leaves out rows behind its watermark."""
+    root = new_folder(spark, "late")
+    devices, users = shapes.devices(spark, sf), shapes.users(spark, sf)
+
+    def start():
+        stream = spark.readStream.schema(devices.schema).parquet(f"{root}/arrived")
+        totals = streams.stream_minute_totals(usage.enrich(stream, users), "1 hour")
+        return streams.write_stream_batches(totals, streams.batch_folder_writer(f"{root}/data"), f"{root}/state")
+
+    streams.replay_arrivals(_arrivals(devices), f"{root}/arrived", start)
+    return _wall(spark.read.parquet(f"{root}/data").select("timestamp", "id", "value", "type"))
+
+
 def stream_usage_minute(spark: SparkSession, sf: str) -> DataFrame:
     root = new_folder(spark, "minute")
     enriched = usage.enrich(_event_stream(spark, sf), shapes.users(spark, sf))
@@ -112,6 +159,8 @@ QUERIES = {
     "usage_fanout_minute": usage_fanout_minute,
     "usage_archive_hour": usage_archive_hour,
     "usage_archive_report": usage_archive_report,
+    "usage_sketch_daily": usage_sketch_daily,
+    "stream_late_rows": stream_late_rows,
     "stream_usage_minute": stream_usage_minute,
     "stream_device_job": stream_device_job,
 }
@@ -167,6 +216,30 @@ SELECT h AS "timestamp", id, value, 'id_bytes_total' AS report FROM users_hour
 UNION ALL SELECT h, antenna_id, CAST(sum(bytes) AS BIGINT), 'antenna_bytes_total' FROM one GROUP BY ALL
 UNION ALL SELECT h, app, CAST(sum(bytes) AS BIGINT), 'app_bytes_total' FROM one GROUP BY ALL
 UNION ALL SELECT h, id, value, 'quota_excess' FROM users_hour WHERE value > quota""",
+    "usage_sketch_daily": with_ctes(DEVICES)
+    + """SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
+  CAST(day("timestamp") AS INTEGER) AS day, count(*) AS n, count(DISTINCT id) AS users,
+  true AS users_close, true AS median_close FROM devices GROUP BY ALL""",
+    "stream_late_rows": _WITH.rstrip()
+    + f""",
+span AS (SELECT min(epoch("timestamp"))::BIGINT AS lo, max(epoch("timestamp"))::BIGINT AS hi FROM devices),
+arrived AS (
+  SELECT e.*, least(CAST(floor((epoch("timestamp")::BIGINT - lo) * {ARRIVALS} / (hi - lo + 1)::DOUBLE) AS INTEGER)
+      + CASE WHEN bytes % 25 = 0 THEN 2 WHEN bytes % 5 = 0 THEN 1 ELSE 0 END, {ARRIVALS - 1}) AS arrival
+  FROM enriched e, span),
+marks AS (
+  SELECT n.arrival, (SELECT max("timestamp") FROM arrived a WHERE a.arrival < n.arrival) - INTERVAL 30 SECOND AS mark
+  FROM range({ARRIVALS + 1}) n(arrival)),
+kept AS (
+  SELECT a.* FROM arrived a JOIN marks m ON a.arrival = m.arrival
+  WHERE m.mark IS NULL OR date_trunc('hour', a."timestamp") + INTERVAL 1 HOUR > m.mark),
+fan AS (
+  SELECT date_trunc('hour', "timestamp") AS "timestamp", id, 'id_bytes_total' AS type, bytes FROM kept
+  UNION ALL SELECT date_trunc('hour', "timestamp"), antenna_id, 'antenna_bytes_total', bytes FROM kept
+  UNION ALL SELECT date_trunc('hour', "timestamp"), app, 'app_bytes_total', bytes FROM kept),
+totals AS (SELECT "timestamp", id, type, CAST(sum(bytes) AS BIGINT) AS value FROM fan GROUP BY ALL)
+SELECT "timestamp", id, value, type FROM totals
+WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT mark FROM marks WHERE arrival = {ARRIVALS})""",
     "stream_usage_minute": _WITH.rstrip()
     + ",\n"
     + _FANOUT

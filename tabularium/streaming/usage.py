@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +90,24 @@ def await_all(queries: list[StreamingQuery]) -> None:
         raise
 
 
+def replay_arrivals(
+    arrivals: Iterable[DataFrame], folder: str, start: Callable[[], StreamingQuery]
+) -> list[int]:
+    """Add rows to a watched folder one arrival after another; the stream goes on from its checkpoint each time.
+
+    ``start`` begins a run that ends when all files are read. The result is, per arrival, how many rows
+    (partial sums of rows that agree in all keys) came behind the watermark and were dropped.
+    """
+    dropped = []
+    for rows in arrivals:
+        rows.write.mode("append").parquet(folder)
+        query = start()
+        query.awaitTermination()
+        states = [state for progress in query.recentProgress for state in progress.stateOperators]
+        dropped.append(sum(state.numRowsDroppedByWatermark for state in states))
+    return dropped
+
+
 def run_device_job(
     devices: DataFrame,
     users: DataFrame,
