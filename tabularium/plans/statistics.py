@@ -34,21 +34,20 @@ def kruskal_wallis(spark: SparkSession, sf: str) -> DataFrame:
 
 def tukey_pairs(spark: SparkSession, sf: str) -> DataFrame:
     df = hypothesis.tukey_pairs(shapes.listings(spark, sf), "neighbourhood", "square_feet")
-    return _fixed(df.select("group_a", "group_b", "diff"), 6, "diff")
+    return _fixed(_fixed(df, 6, "diff"), 4, "low", "high", "p_adj")
 
 
 def tukey_to_control(spark: SparkSession, sf: str) -> DataFrame:
-    """Size of each neighbourhood against one of them; interval and p-value are in the operator's tests."""
+    """Size of each neighbourhood against one of them, with interval and p-value."""
     df = hypothesis.tukey_to_control(
         shapes.listings(spark, sf), "neighbourhood", "square_feet", "Brand#1"
     )
-    return _fixed(df.select("control", "neighbourhood", "diff"), 6, "diff")
+    return _fixed(_fixed(df, 6, "diff"), 4, "low", "high", "p_adj")
 
 
 def group_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    return hypothesis.group_similarity(
-        shapes.listings(spark, sf), "neighbourhood", "square_feet"
-    )
+    df = hypothesis.group_similarity(shapes.listings(spark, sf), "neighbourhood", "square_feet")
+    return _fixed(df, 4, "value", "distance")
 
 
 def test_p_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -233,6 +232,50 @@ _AD_P = " ".join(
     f"WHEN s < {limit} THEN {'1 - ' if at < 2 else ''}exp({a} + {b}::DOUBLE * s + {c}::DOUBLE * s * s)"
     for at, (limit, a, b, c) in enumerate(hypothesis.AD_P)
 )
+# The studentised range by the trapezoid rule: z over the largest of k means, s over the pooled error.
+_RANGE = """,
+k AS (SELECT count(*)::DOUBLE AS k, (sum(n) - count(*))::DOUBLE AS dof, sum(w) AS w FROM stats),
+zs AS (SELECT z, exp(-z * z / 2) AS f, {cdf_z} AS above
+  FROM (SELECT (i - 80) * 0.1::DOUBLE AS z, abs((i - 80) * 0.1::DOUBLE) / sqrt(2::DOUBLE) AS x FROM range(161) r(i))),
+ss AS (SELECT s, exp((dof - 1) * ln(s) - dof * (s * s - 1) / 2) AS g
+  FROM (SELECT dof, 1 + (i - 25) * 0.4::DOUBLE / sqrt(2 * dof) AS s FROM k, range(51) r(i)) WHERE s > 0),
+sized AS (SELECT s, g / sum(g) OVER () AS g FROM ss),
+points AS (SELECT z, s, above, k, k * f * 0.1::DOUBLE / sqrt(2 * pi()) * g AS weight FROM zs, sized, k)"""
+
+
+def _cdf_sql(z: str, x: str) -> str:
+    half = f"exp({log_erfc_sql(x)} - ln(2::DOUBLE))"
+    return f"CASE WHEN {z} < 0 THEN {half} ELSE 1 - {half} END"
+
+
+_BELOW = "sum(weight * pow(greatest(above - cdf, 0), k - 1))"
+_TUKEY = (
+    _RANGE.format(cdf_z=_cdf_sql("z", "x"))
+    + f""",
+pairs AS (SELECT a.g AS group_a, b.g AS group_b, b.m - a.m AS diff, sqrt(k.w / k.dof / 2 * (1 / a.n + 1 / b.n)) AS error
+  FROM stats a JOIN stats b ON a.g <> b.g, k WHERE {{pairs}}),
+placed AS (SELECT group_a, group_b, weight, above, k, z - abs(diff) / error * s AS y,
+    abs(z - abs(diff) / error * s) / sqrt(2::DOUBLE) AS x FROM pairs, points),
+tails AS (SELECT group_a, group_b, greatest(1 - {_BELOW}, 0) AS p
+  FROM (SELECT *, {_cdf_sql('y', 'x')} AS cdf FROM placed) GROUP BY ALL),
+crit AS (
+  SELECT 0 AS step, 0::DOUBLE AS lo, 50::DOUBLE AS hi
+  UNION ALL
+  SELECT step + 1, CASE WHEN {_BELOW} < 0.95::DOUBLE THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN {_BELOW} < 0.95::DOUBLE THEN hi ELSE (lo + hi) / 2 END
+  FROM (SELECT *, {_cdf_sql('y', 'x')} AS cdf
+    FROM (SELECT step, lo, hi, weight, above, k, z - (lo + hi) / 2 * s AS y,
+        abs(z - (lo + hi) / 2 * s) / sqrt(2::DOUBLE) AS x FROM crit, points WHERE step < 48))
+  GROUP BY step, lo, hi),
+width AS (SELECT (lo + hi) / 2 AS q FROM crit WHERE step = 48),
+judged AS (SELECT group_a, group_b, diff, diff - q * error AS low, diff + q * error AS high, p
+  FROM pairs JOIN tails USING (group_a, group_b), width)
+"""
+)
+_JUDGED = (
+    f"{fixed_sql('diff', 6)} AS diff, {fixed_sql('low', 4)} AS low, {fixed_sql('high', 4)} AS high, "
+    f"{fixed_sql('p', 4)} AS p_adj"
+)
 _HOUSES = """houses AS (SELECT p_partkey AS id, p_retailprice AS sale_price,
   p_size::DOUBLE AS living_area, (1950 + p_partkey % 70)::DOUBLE AS year_built FROM part)"""
 _TRAIN = (
@@ -322,16 +365,22 @@ tot AS (SELECT sum(n) AS big FROM per)
 SELECT count(*) - 1 AS df, {fixed_sql('''(12.0::DOUBLE * sum(n * pow(rs / n - (big + 1) / 2, 2))
   / (max(big) * (max(big) + 1))) / (1 - sum(tp) / (pow(max(big), 3) - max(big)))''', 6)} AS h
 FROM per, tot""",
-    "tukey_pairs": _MORE
+    "tukey_pairs": _MORE.replace("WITH", "WITH RECURSIVE", 1)
     + _MOM.format(g="neighbourhood", v="square_feet")
-    + f"""
-SELECT a.g AS group_a, b.g AS group_b, {fixed_sql('b.m - a.m', 6)} AS diff
-FROM stats a JOIN stats b ON a.g < b.g""",
-    "tukey_to_control": _MORE
+    + _TUKEY.format(pairs="a.g < b.g")
+    + f"SELECT group_a, group_b, {_JUDGED} FROM judged",
+    "tukey_to_control": _MORE.replace("WITH", "WITH RECURSIVE", 1)
     + _MOM.format(g="neighbourhood", v="square_feet")
-    + f"""
-SELECT c.g AS control, s.g AS neighbourhood, {fixed_sql('s.m - c.m', 6)} AS diff
-FROM stats s JOIN stats c ON c.g = 'Brand#1' AND s.g <> 'Brand#1'""",
+    + _TUKEY.format(pairs="a.g = 'Brand#1'")
+    + f"SELECT group_a AS control, group_b AS neighbourhood, {_JUDGED} FROM judged",
+    "group_similarity": _MORE.replace("WITH", "WITH RECURSIVE", 1)
+    + _MOM.format(g="neighbourhood", v="square_feet")
+    + _TUKEY.format(pairs="a.g < b.g")
+    + f""", v AS (
+  SELECT group_a, group_b, round(p, 4) AS value FROM judged
+  UNION ALL SELECT group_b, group_a, round(p, 4) FROM judged
+  UNION ALL SELECT g, g, 1 FROM stats)
+SELECT group_a, group_b, {fixed_sql('value', 4)} AS value, {fixed_sql('1 - value', 4)} AS distance FROM v""",
     "normality": _MORE
     + f"""c AS (SELECT property_type, price - avg(price) OVER (PARTITION BY property_type) AS d
   FROM listings),
