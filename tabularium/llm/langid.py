@@ -8,7 +8,8 @@ whose sums are added, every n-gram in the piece where it starts.
 Defined results: a null text, or one without any letter, is ``und`` with score 0; so is every text
 when nothing was learned. Rows with a null label or a null text teach nothing. Ties between languages
 go to the alphabetically first. Repeated rows count as often as they occur. Extra columns of the
-input never reach the model, and names that clash with result columns are not carried along.
+input never reach the model, and names that clash with result columns are not carried along. More
+than ``MOST_LABELS`` distinct labels raise a ValueError before anything is learned.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ ALPHA = 0.5
 #: Overlapping n-grams are not independent: evidence counts as that of so many n-grams at most.
 EVIDENCE = 64
 PIECE = 1 << 17
+#: More labels than this are an error: the matrix that is broadcast takes half a megabyte a label.
+MOST_LABELS = 512
 
 
 @dataclass
@@ -101,7 +104,10 @@ def _count_task(buckets: int):
 def fit(train: DataFrame, text: str = "text", label: str = "lang", buckets: int = BUCKETS) -> LangModel:
     """Learn from all rows with a label. The driver gets one number per (label, bucket)."""
     rows = train.select(F.col(label).alias("label"), F.col(text).alias("text")).where("label IS NOT NULL")
-    docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
+    if len(counted) > MOST_LABELS:
+        raise ValueError(f"column {label} holds more than {MOST_LABELS} languages")
+    docs = {r["label"]: r["n"] for r in counted}
     sums = (
         rows.where("text IS NOT NULL")
         .mapInArrow(_count_task(buckets), "label string, bucket long, n long")

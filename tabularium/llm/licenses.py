@@ -6,9 +6,9 @@ increasing run of anchors, and aligning every gap between anchors in the same wa
 aligned; a stretch that covers ``BOUND`` of a template is reported, every occurrence on its own.
 
 Alignment is tried only where it can succeed: a text must hold one of the template's longest words
-(so many of them that a text without any can not reach the bound), and a stretch of one and a half template lengths must
-hold enough of the template's words. Both are necessary conditions, so nothing is lost. Texts are
-read whole.
+(so many of them that a text without any can not reach the bound), and the stretch must hold enough of the template's
+words; both are necessary conditions. A stretch is at most one and a half template lengths (``STRETCH``) by definition: a notice
+with more foreign words in between than half its own is not reported. Texts are read whole.
 
 Defined results: null, empty and wordless texts give no rows. Several licenses, or several
 occurrences of one, give a row each; of overlapping stretches the best covered stays (ties: more words, then the name). A declaration names its license: its own word

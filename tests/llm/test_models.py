@@ -185,3 +185,9 @@ def test_quality_sample_is_the_smallest_hashes(spark, monkeypatch):
     plan = spark.range(3).select("id")  # the helper keeps whole ranges
     assert smallest_hashes(plan.withColumn("h", F.xxhash64("id")), "h", 2).count() >= 2
 
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.range(langid.MOST_LABELS + 1).select(F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="more than"):
+        langid.fit(docs)
