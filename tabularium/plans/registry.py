@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("usage", "listings", "statistics", "models", "text", "vectors")
+MODULES = ("usage", "listings", "statistics", "models", "text", "vectors", "words")
 
 
 def _merged(attribute: str) -> dict:
