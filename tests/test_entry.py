@@ -10,7 +10,7 @@ FAST = [
 UNCHECKED = {
     "group_similarity", "ks_prices", "lasso_cv", "lasso_fit", "lasso_log", "importances", "group_clusters",
     "pca_shares", "pca_loadings", "pca_neighbours", "svd_lowrank", "text_classifier", "batch_scoring",
-    "stream_label_windows",
+    "stream_label_windows", "word_factors_learnt",
 }
 
 
