@@ -141,9 +141,7 @@ def loaded_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a message stream, one per second of event time."""
-    schema = shapes.table(spark, sf, "documents").schema
-    # a table is one file or a folder of files: its own path reads both
-    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/documents.parquet")
+    stream = shapes.table_stream(spark, sf, "documents")
     return stream.select(
         F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")).alias("timestamp"),
         F.encode("text", "UTF-8").alias("value"),

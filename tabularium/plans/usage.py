@@ -63,10 +63,7 @@ def usage_archive_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = shapes.table(spark, sf, "events").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    )
+    stream = shapes.table_stream(spark, sf, "events")
     return shapes.devices_from(stream)
 
 

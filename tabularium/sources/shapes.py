@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table as a file stream; the table is one file or a folder of parts.
+
+    Spark takes a plain stream path for a folder, so the path is written as a pattern, which may match either.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parque[t]"
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(path)
+
+
 def devices_from(events: DataFrame) -> DataFrame:
     """Event rows (batch or stream) as parsed device messages."""
     return events.select(
