@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -16,6 +22,12 @@ from tabularium.session import stored
 
 SEQUENCE_LENGTH = 300
 FREQUENT_WORDS = 10_000
+#: Levels of the sums of classifier gradients, which have a number per feature.
+DEPTH = 12
+#: Words of texts whose neighbours a task adds up before it hands them on.
+COMBINE = 1 << 18
+#: Bits that tell which words are frequent (16 MB), and how many of them a task sets at a time.
+KNOWN_BITS, PIECE = 1 << 27, 1 << 22
 
 
 def clean_comments(comments: DataFrame) -> DataFrame:
@@ -99,12 +111,80 @@ def label_index(df: DataFrame, label: str, name: str = "label_index") -> DataFra
     return found.withColumn(name, F.col(name).cast("int"))
 
 
-def _signed_dimension(word: Column, size: int) -> Column:
-    """Dimension (from 1) and sign of a context word, both from its md5."""
-    digest = F.md5(word)
-    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % size + 1
-    odd = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2 == 1
-    return F.when(odd, -place).otherwise(place).cast("int")
+def _bits(column: Column) -> Column:
+    return F.conv(F.substring(F.md5(column), 10, 7), 16, 10).cast("long") % KNOWN_BITS
+
+
+def known_words(vocab: DataFrame):
+    """A broadcast of ``KNOWN_BITS`` bits: those of the words of ``vocab`` are set, so a word without its bit is not one of them."""
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(PIECE, dtype=bool)
+        bits[rows["bit"].to_numpy() % PIECE] = True
+        return pd.DataFrame({"part": [rows["bit"].iloc[0] // PIECE], "bits": [np.packbits(bits).tobytes()]})
+
+    places = vocab.select(_bits(F.col("word")).alias("bit")).distinct()
+    pieces = places.groupBy(F.floor(F.col("bit") / PIECE)).applyInPandas(merged, "part long, bits binary").toArrow()
+    found = np.zeros(KNOWN_BITS // 8, dtype=np.uint8)
+    for part, bits in zip(pieces.column("part").to_pylist(), pieces.column("bits").to_pylist()):
+        found[part * PIECE // 8 : (part + 1) * PIECE // 8] = np.frombuffer(bits, np.uint8)
+    return vocab.sparkSession.sparkContext.broadcast(found)
+
+
+def maybe_known(shared, names: list[str]) -> np.ndarray:
+    """Which words have their bit in a broadcast of ``known_words``."""
+    digests = (hashlib.md5(w.encode("utf-8")).hexdigest() for w in names)
+    at = np.fromiter((int(x[9:16], 16) % KNOWN_BITS for x in digests), np.int64, len(names))
+    return (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def word_batches(batches: Iterator[pa.RecordBatch], most: int = COMBINE) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Texts in groups of about ``most`` words: the distinct words, the word number of every place, the text of every place."""
+    names, words, sizes = {}, [], []
+
+    def group():
+        code = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
+        return list(names), code, np.repeat(np.arange(len(sizes)), sizes)
+
+    for batch in batches:
+        for text in batch.column(0):
+            here = [w for w in (text.as_py() or "").split(" ") if w]
+            words += here
+            sizes.append(len(here))
+            if len(words) >= most:
+                yield group()
+                names, words, sizes = {}, [], []
+    if words:
+        yield group()
+
+
+def _context_task(shared, size: int, window: int):
+    """(word, dim, value) of groups of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, code, text in word_batches(batches):
+            digests = [hashlib.md5(w.encode("utf-8")).hexdigest() for w in names]
+            place = np.array([int(x[:8], 16) % size for x in digests])
+            sign = np.array([-1 if int(x[8], 16) % 2 else 1 for x in digests])
+            dim, signed, known = place[code], sign[code], maybe_known(shared, names)[code]
+            keys, values = [], []
+            for gap in range(1, window + 1):
+                same = np.flatnonzero(text[gap:] == text[:-gap])
+                for at, beside in ((same, same + gap), (same + gap, same)):
+                    at, beside = at[known[at]], beside[known[at]]
+                    keys.append(code[at] * size + dim[beside])
+                    values.append(signed[beside])
+            key, value = np.concatenate(keys), np.concatenate(values)
+            order = np.argsort(key, kind="stable")
+            key, value = key[order], value[order]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+            total = np.add.reduceat(value, first) if len(key) else value
+            word = pa.array(names, pa.string()).take(pa.array(key[first] // size))
+            cells = [word, pa.array((key[first] % size + 1).astype(np.int32)), pa.array(total.astype(np.int64))]
+            for lo in range(0, len(first), 1 << 16):
+                yield pa.RecordBatch.from_arrays([c.slice(lo, 1 << 16) for c in cells], ["word", "dim", "value"])
+
+    return run
 
 
 def context_counts(
@@ -118,35 +198,31 @@ def context_counts(
     """``(word, dim, value)``: words seen around each frequent enough word, hashed into ``size`` dimensions.
 
     Each context word adds its sign at its dimension, so vectors of a fixed size keep (on average)
-    the inner products of the full context counts. One explode and one aggregation; nothing is trained,
-    nothing passes the driver, and the result does not depend on partitions.
+    the inner products of the full context counts. A task adds up groups of texts, whose sums are all that is
+    shuffled; nothing is trained, nothing passes the driver, and the result does not depend on partitions.
     """
-    words = df.select(F.filter(F.split(text, " +"), lambda t: t != "").alias("w"))
-    coded = words.select("w", F.transform("w", lambda t: _signed_dimension(t, size)).alias("c"))
-    each = coded.select("c", F.posexplode("w").alias("pos", "word"))
-    start = F.greatest(F.col("pos") - window, F.lit(0))
-    around = F.concat(
-        F.slice("c", start + 1, F.col("pos") - start), F.slice("c", F.col("pos") + 2, F.lit(window))
-    )
-    centres = each.select("word", around.alias("around"))
-    known = lookup_words(centres, vocab.filter(F.col("n") >= min_count))
-    return (
-        known.select("word", F.explode("around").alias("code"))
-        .groupBy("word", F.abs("code").alias("dim"))
-        .agg(F.sum(F.signum("code")).cast("long").alias("value"))
-    )
+    known = vocab.filter(F.col("n") >= min_count).select("word", "index")
+    task = _context_task(known_words(known), size, window)
+    parts = df.select(text).mapInArrow(task, "word string, dim int, value long")
+    sums = parts.groupBy("word", "dim").agg(F.sum("value").alias("value"))
+    return sums.join(known.select("word"), "word", "left_semi")  # a bit may belong to several words
 
 
 def embedding_table(vocab: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Vector per vocabulary word; words without one get zeros."""
-    entries = counts.groupBy("word").agg(
-        F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("at")
-    )
-    dimensions = F.sequence(F.lit(1), F.lit(size))
-    vector = F.transform(dimensions, lambda i: F.coalesce(F.try_element_at("at", i), F.lit(0)).cast("double"))
+
+    @F.pandas_udf("array<double>")
+    def dense(dims: pd.Series, values: pd.Series) -> pd.Series:
+        rows = np.zeros((len(dims), size))
+        for row, at, value in zip(rows, dims, values):
+            row[at - 1] = value
+        return pd.Series(list(rows))
+
+    cells = counts.groupBy("word").agg(F.collect_list(F.struct("dim", "value")).alias("at"))
+    entries = cells.select("word", dense("at.dim", "at.value").alias("at"))
     zeros = F.array_repeat(F.lit(0.0), size)
     joined = vocab.join(entries, "word", "left")
-    return joined.withColumn("vector", F.when(F.col("at").isNull(), zeros).otherwise(vector)).drop("at")
+    return joined.withColumn("vector", F.coalesce("at", zeros)).drop("at")
 
 
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
@@ -164,7 +240,8 @@ def fit_classifier(
         stages=[
             HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
             IDF(inputCol="tf", outputCol="features"),
-            LogisticRegression(labelCol="target", regParam=0.01, maxIter=20),
+            # deep trees: the driver gets sums of two or three partitions, however many there are
+            LogisticRegression(labelCol="target", regParam=0.01, maxIter=20, aggregationDepth=DEPTH),
         ]
     ).fit(data)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators.decomposition import triangular_factor
-from tabularium.operators.text import lookup_words
+from tabularium.operators.text import known_words, lookup_words, maybe_known, word_batches
 from tabularium.session import stored
 
 BLOCK = 1024
@@ -30,19 +30,34 @@ SLICE = 1 << 16
 VECTORS = "index long, vec array<double>"
 
 
-def word_pairs(df: DataFrame, text: str = "text", window: int = 7) -> DataFrame:
+def word_pairs(df: DataFrame, text: str = "text", window: int = 7, known: DataFrame | None = None) -> DataFrame:
     """``(a, b, n)``: how often two words (``a <= b``) stand at most ``window`` words apart in a text.
 
-    Pairs are made one distance at a time, so the memory of a task follows the longest text, not that times
-    ``window``; counts are combined before the shuffle.
+    A task counts the pairs of groups of texts, one distance at a time; only these counts are shuffled.
+    With ``known`` (a table of words), pairs with other words may be missing.
     """
-    words = df.select(F.filter(F.split(text, " +"), lambda w: w != "").alias("w"))
-    apart = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(window))).alias("gap"))
-    length = F.size("w") - F.col("gap")
-    first, second = F.slice("w", F.lit(1), length), F.slice("w", F.col("gap") + 1, length)
-    pair = F.zip_with(first, second, lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")))
-    each = apart.where(length > 0).select(F.explode(pair).alias("p"))
-    return each.groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    shared = None if known is None else known_words(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, code, place in word_batches(batches):
+            order = np.array(sorted(range(len(names)), key=lambda i: names[i].encode("utf-8")))
+            rank = np.empty(len(names), np.int64)
+            rank[order] = np.arange(len(names))
+            held = np.ones(len(code), dtype=bool) if shared is None else maybe_known(shared, names)[code]
+            code, many = rank[code], len(names)
+            keys = []
+            for gap in range(1, window + 1):
+                same = np.flatnonzero((place[gap:] == place[:-gap]) & held[gap:] & held[:-gap])
+                x, y = code[same], code[same + gap]
+                keys.append(np.minimum(x, y) * many + np.maximum(x, y))
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            word = pa.array([names[i] for i in order], pa.string())
+            cells = [word.take(pa.array(key // many)), word.take(pa.array(key % many)), pa.array(n.astype(np.int64))]
+            for lo in range(0, len(key), 1 << 16):
+                yield pa.RecordBatch.from_arrays([c.slice(lo, 1 << 16) for c in cells], ["a", "b", "n"])
+
+    parts = df.select(text).mapInArrow(run, "a string, b string, n long")
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def affinity(pairs: DataFrame, vocab: DataFrame, min_count: int = 10) -> DataFrame:
@@ -52,6 +67,7 @@ def affinity(pairs: DataFrame, vocab: DataFrame, min_count: int = 10) -> DataFra
     run over the kept words. A word beside itself counts in both directions.
     """
     known = stored(vocab.where(F.col("n") >= min_count).select("word", "index"))
+    pairs = stored(pairs)  # looked up twice, counted once
     left = lookup_words(pairs.withColumnRenamed("a", "word"), known).select("b", "n", F.col("index").alias("i"))
     both = lookup_words(left.withColumnRenamed("b", "word"), known).select("i", F.col("index").alias("j"), "n")
     there = F.struct("i", "j", "n")
@@ -192,5 +208,5 @@ def fit_word_vectors(
 ) -> DataFrame:
     """The vocabulary with a learnt ``vector`` per word; NULL for words below ``min_count`` or without a positive pair."""
     vocab = stored(vocab)
-    _, vectors = factorise(affinity(word_pairs(df, text, window), vocab, min_count), size, seed=seed)
+    _, vectors = factorise(affinity(word_pairs(df, text, window, vocab.where(F.col("n") >= min_count)), vocab, min_count), size, seed=seed)
     return vocab.join(vectors.withColumnRenamed("vec", "vector"), "index", "left")

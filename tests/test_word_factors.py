@@ -99,3 +99,33 @@ def test_fewer_words_than_components_and_none(spark):
     assert values == pytest.approx(true[true > 1e-9])
     none = wf.fit_word_vectors(df.where("id > 99"), vocab, size=4)
     assert [r["vector"] for r in none.collect()] == [None, None, None]
+
+
+def test_context_counts_by_hand(spark):
+    import hashlib
+
+    df = frame(spark, TEXT + ["x a y b z"])
+    got = ops.context_counts(df, ops.vocabulary(df), size=5, window=2, min_count=2).collect()
+    wanted, often = Counter(), Counter(x for t in TEXT + ["x a y b z"] for x in (t or "").split())
+    for t in TEXT + ["x a y b z"]:
+        w = (t or "").split()
+        for i, x in enumerate(w):
+            for y in w[max(i - 2, 0) : i] + w[i + 1 : i + 3]:
+                digest = hashlib.md5(y.encode()).hexdigest()
+                if often[x] >= 2:
+                    wanted[x, int(digest[:8], 16) % 5 + 1] += -1 if int(digest[8], 16) % 2 else 1
+    assert {(r["word"], r["dim"]): r["value"] for r in got if r["value"]} == {k: v for k, v in wanted.items() if v}
+
+
+def test_words_are_counted_before_the_shuffle(spark):
+    df = frame(spark, ["a b"] * 50)
+    for made in (wf.word_pairs(df), ops.context_counts(df, ops.vocabulary(df))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "explode" not in plan.split("MapInArrow")[0]
+
+
+def test_pairs_of_known_words(spark):
+    df = frame(spark, TEXT)
+    known = spark.createDataFrame([("a",), ("b",)], "word string")
+    got = {(r["a"], r["b"]): r["n"] for r in wf.word_pairs(df, window=2, known=known).collect()}
+    assert got == {k: n for k, n in brute_pairs(TEXT, 2).items() if set(k) <= {"a", "b"}}
