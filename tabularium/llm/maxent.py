@@ -8,9 +8,11 @@ all others share ``TAIL`` hashed outcomes; outcomes form classes by frequency. A
 
 so unseen words have the weight of one count, as in the base score. Both softmax layers add weights of hashed features: the
 previous word, the pair of previous words, and two skips. The weights come from full-batch gradient updates: in
-every round all tasks sum observed and expected feature counts over all training texts, Spark adds them up,
-and each weight moves by ``log(observed / expected) / features``, the step of generalised iterative scaling.
-In the first round expectations follow from the outcome shares and need no forward pass.
+every round all tasks sum expected feature counts and the log-likelihood over all training texts, Spark adds them up,
+and each weight moves by ``log(observed / expected) / STEP`` less its share of ``DECAY``, a step of generalised iterative
+scaling with a penalty on weights few tokens support. In the first round expectations follow from the outcome shares
+and need no forward pass. Training ends when a round gains less than ``TOLERANCE`` a token (log10), after ``ROUNDS``
+at the latest. A round that loses more than that is taken back and repeated with the step that cannot overshoot.
 
 Scoring runs in sparse numpy batches. Counts of the ``HEAD`` most frequent tokens are broadcast (12 bytes each); the rarer tokens
 of each text are joined with the count table by shuffle. Nothing is left out.
@@ -48,9 +50,13 @@ CLASSES, SLOTS = 16, 16
 TOP, TAIL = 128, 128
 HEAD = 1 << 18
 FEATURES = 4
+WIDTH = max(CLASSES, SLOTS)
+SUMS = [f"v{k}" for k in range(WIDTH)]
 CLASS_BITS, SLOT_BITS = 13, 14
-ROUNDS = 2
-SMOOTHING = 20.0
+ROUNDS = 30  # a bound; convergence ends the training
+TOLERANCE = 1e-3  # log10 a token
+STEP = 2.0  # at FEATURES scaling is sure not to overshoot, below it is faster
+SMOOTHING, DECAY = 20.0, 50.0
 END, START = 0x51A7_E0D5_9C3B_4F21, 0x1B56_C4E9_8D2F_A073
 CHUNK = 1 << 12  # tokens whose logits fit the cache
 WIDE = 1 << 16
@@ -161,29 +167,33 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield combined()
 
 
-def _add_expected(total: np.ndarray, rows: list[np.ndarray], kind: np.ndarray | None, weight: np.ndarray, model) -> None:
-    """Add each token's probabilities to the rows of its features: classes, or slots within ``kind``."""
-    n, width = len(rows[0]), total.shape[1]
-    p = np.empty((n, width))
+def _add_expected(total: np.ndarray, rows: list[np.ndarray], y: np.ndarray, kind: np.ndarray | None, weight, model) -> float:
+    """Add each token's probabilities to the rows of its features: classes, or slots within ``kind``; log10 of all ``y``."""
+    n, width = len(rows[0]), len(total)
+    p, reached = np.empty((width, n)), 0.0
     for at in range(0, n, CHUNK):
         here = slice(at, at + CHUNK)
         bias = model.bias[:, 0] if kind is None else model.bias[kind[here], 1:]
         _, e = _softmax(bias, weight, [r[here] for r in rows])
-        np.divide(e, _norms(e)[:, None], out=p[here])
-    columns, flat = np.arange(width), p.ravel()
+        e /= _norms(e)[:, None]
+        reached += np.log10(e[np.arange(len(e)), y[here]], dtype=np.float64).sum()
+        p[:, here] = e.T
     for r in rows:
-        cell = r.astype(np.int64)[:, None] * width + columns
-        total += np.bincount(cell.ravel(), flat, total.size).reshape(total.shape)
+        place = r.astype(np.int64)
+        for k in range(width):
+            total[k] += np.bincount(place, p[k], total.shape[1])
+    return reached
 
 
 def _sums_task(shared, expected: bool):
-    """(index, value): observed, or expected, feature counts of both layers."""
+    """(place, v0, v1, ...): observed, or expected, feature counts of both layers by feature row, and the log-likelihood."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, tokens = shared_model(shared), Tokens()
-        classes = np.zeros((1 << CLASS_BITS, CLASSES))
-        slots = np.zeros((1 << SLOT_BITS, SLOTS))
-        kinds = np.zeros((1 << SLOT_BITS, CLASSES))  # classes of the tokens behind each slot row
+        classes = np.zeros((CLASSES, 1 << CLASS_BITS))
+        slots = np.zeros((SLOTS, 1 << SLOT_BITS))
+        kinds = np.zeros((CLASSES, 1 << SLOT_BITS))  # classes of the tokens behind each slot row
+        reached = 0.0
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 h, starts = tokens(data, offsets)
@@ -191,40 +201,35 @@ def _sums_task(shared, expected: bool):
                 outcome = model.outcome(h)
                 for at in range(0, len(h), WIDE):
                     o = outcome[at : at + WIDE]
-                    kind = o // SLOTS
+                    kind, slot = o // SLOTS, o % SLOTS
                     c_rows, s_rows = _rows([g[at : at + WIDE] for g in features], kind)
                     if expected:
-                        for total, rows, bias, weight in (
-                            (classes, c_rows, None, model.class_weight),
-                            (slots, s_rows, kind, model.slot_weight),
-                        ):
-                            _add_expected(total, rows, bias, weight, model)
+                        reached += _add_expected(classes, c_rows, kind, None, model.class_weight, model)
+                        reached += _add_expected(slots, s_rows, slot, kind, model.slot_weight, model)
                     else:
-                        for total, rows, y in (
-                            (classes, c_rows, kind),
-                            (slots, s_rows, o % SLOTS),
-                            (kinds, s_rows, kind),
-                        ):
+                        for total, rows, y in ((classes, c_rows, kind), (slots, s_rows, slot), (kinds, s_rows, kind)):
                             for r in rows:
-                                cell = r.astype(np.int64) * total.shape[1] + y
+                                cell = y * total.shape[1] + r
                                 total += np.bincount(cell, minlength=total.size).reshape(total.shape)
-        values = np.concatenate([classes.ravel(), slots.ravel(), kinds.ravel()])
-        at = np.flatnonzero(values)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(values[at])], ["index", "value"])
+        last = np.zeros((WIDTH, 1))
+        last[0] = reached
+        values = np.concatenate([classes, slots, kinds, last], axis=1)
+        place = np.flatnonzero(values.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(place), *(pa.array(v[place]) for v in values)], ["place", *SUMS])
 
     return run
 
 
-def _sums(train: DataFrame, model: LanguageModel, expected: bool) -> list[np.ndarray]:
-    """Feature counts summed by Spark; the driver gets one number per weight."""
+def _sums(train: DataFrame, model: LanguageModel, expected: bool) -> tuple[list[np.ndarray], float]:
+    """Feature counts summed by Spark, and the log10 probability of all texts; the driver gets one number per weight."""
     shared = share(train.sparkSession, model)
-    parts = train.mapInArrow(_sums_task(shared, expected), "index long, value double")
-    got = parts.groupBy("index").agg(F.sum("value").alias("value")).toArrow()
-    shapes = [(1 << CLASS_BITS, CLASSES), (1 << SLOT_BITS, SLOTS), (1 << SLOT_BITS, CLASSES)]
-    ends = np.cumsum([a * b for a, b in shapes])
-    flat = np.zeros(ends[-1])
-    flat[got.column("index").to_numpy()] = got.column("value").to_numpy()
-    return [part.reshape(shape) for part, shape in zip(np.split(flat, ends[:-1]), shapes)]
+    parts = train.mapInArrow(_sums_task(shared, expected), "place long, " + ", ".join(f"{v} double" for v in SUMS))
+    got = parts.groupBy("place").agg(*(F.sum(v).alias(v) for v in SUMS)).toArrow()
+    ends = np.cumsum([1 << CLASS_BITS, 1 << SLOT_BITS, 1 << SLOT_BITS])
+    flat = np.zeros((ends[-1] + 1, WIDTH))
+    flat[got.column("place").to_numpy()] = np.column_stack([got.column(v).to_numpy() for v in SUMS])
+    *layers, last = np.split(flat, ends)
+    return layers, float(last[0, 0])
 
 
 def token_counts(train: DataFrame) -> DataFrame:
@@ -299,21 +304,38 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[LanguageModel, DataFram
     )
     if not model.total:
         return model, counts
-    observed = _sums(texts, model, expected=False)
+    observed, _ = _sums(texts, model, expected=False)
+    # with all weights 0 every token expects the shares of the outcomes
+    want = [observed[0].sum(axis=1, keepdims=True) * np.exp(bias[:, 0]), observed[2] @ np.exp(bias[:, 1:])]
+    here, step = (model.class_weight, model.slot_weight), STEP
+    before = float(((share - 1) * (bias[:, :1] + bias[:, 1:])).sum() / np.log(10.0))
     for turn in range(rounds):
         if turn:
-            want = _sums(texts, model, expected=True)
-        else:  # with all weights 0 every token expects the shares of the outcomes
-            want = observed[0].sum(axis=1, keepdims=True) * np.exp(bias[:, 0]), observed[2] @ np.exp(bias[:, 1:])
-        steps = []
-        for o, e in zip(observed, want):
-            prior = SMOOTHING * e / np.maximum(e.sum(axis=1, keepdims=True), 1e-9)
-            steps.append(np.log((o + prior + 1e-9) / (e + prior + 1e-9)) / FEATURES)
-        model.class_weight = np.clip(model.class_weight + steps[0], -MOST, MOST).astype(np.float32)
-        model.slot_weight = np.clip(model.slot_weight + steps[1], -MOST, MOST).astype(np.float32)
+            (*now, _), reached = _sums(texts, model, expected=True)
+            gain = (reached - before) / model.total
+            if abs(gain) < TOLERANCE:
+                break
+            if gain > 0:
+                here, want, before = (model.class_weight, model.slot_weight), now, reached
+            elif step < FEATURES:
+                step = FEATURES
+            else:
+                model.class_weight, model.slot_weight = here
+                break
+        model.class_weight, model.slot_weight = _moved(here, observed, want, step)
     return model, counts
 
 
+def _moved(weights, observed: list[np.ndarray], want: list[np.ndarray], step: float) -> list[np.ndarray]:
+    """Both layers' weights after one update."""
+    moved = []
+    for w, o, e in zip(weights, observed, want):
+        prior = SMOOTHING * e / np.maximum(e.sum(axis=1, keepdims=True), 1e-9)
+        move = np.log((o + prior + 1e-9) / (e + prior + 1e-9)) - w * DECAY / (e + prior + DECAY)
+        moved.append(np.clip(w + move / step, -MOST, MOST).astype(np.float32))
+    return moved
+
+
 def score_rows(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...]) -> DataFrame:
     """Per row: what the head and the model give, and the rarer tokens (``tail``, ``times``) still to be joined."""
     shared = share(docs.sparkSession, model)

@@ -84,6 +84,24 @@ def test_language_model_counts_by_brute_force(spark):
         assert sum(r["score"] - r["base_score"] for r in rows if r["held_out"] == part) > 0
 
 
+def test_language_model_is_trained_until_rounds_gain_little(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text")
+
+    def reached(rounds):
+        model, counts = maxent.fit(docs, rounds) if rounds else maxent.fit(docs)
+        total = maxent.score(docs, model, counts).agg({"score": "sum"}).first()[0]
+        observed, _ = maxent._sums(docs.select("text"), model, expected=False)
+        (*want, _), log10 = maxent._sums(docs.select("text"), model, expected=True)
+        weights = maxent._moved((model.class_weight, model.slot_weight), observed, want, maxent.STEP)
+        model.class_weight, model.slot_weight = weights
+        return total / model.total, (maxent._sums(docs.select("text"), model, expected=True)[1] - log10) / model.total
+
+    few, left_by_few = reached(2)
+    score, left = reached(None)
+    assert score - few > maxent.TOLERANCE
+    assert left < maxent.TOLERANCE < left_by_few
+
+
 def test_language_model_is_a_distribution():
     rng = np.random.default_rng(1)
     top = rng.integers(0, 1 << 63, 20, dtype=np.uint64)
