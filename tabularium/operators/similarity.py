@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabularium.functions.columns import cosine, indicator, squared_distance
+from tabularium.functions.columns import cosine, squared_distance
 from tabularium.session import stored
 
 FREQUENT_TOKENS = 10_000
@@ -202,12 +204,34 @@ def cosine_with_set(df: DataFrame, key: str, tokens: str, probe) -> DataFrame:
     return set_pair_vectors(others, "_probe", tokens).drop("_probe")
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _members(left: pd.Series, right: pd.Series) -> pd.Series:
+    """1.0/0.0 per element of ``left`` for membership in ``right``: one lookup each."""
+
+    def marks(some, other):
+        if some is None or other is None:
+            return None
+        known = set(other) - {None}
+        return [float(x in known) for x in some]
+
+    return pd.Series([marks(a, b) for a, b in zip(left, right)], dtype=object)
+
+
 def set_pair_vectors(pairs: DataFrame, left: str, right: str) -> DataFrame:
-    """Union of two token sets and their 0/1 vectors over it, with the cosine of the vectors."""
-    union = F.array_union(left, right)
-    return (
-        pairs.withColumn("union", union)
-        .withColumn("vector_a", indicator("union", left))
-        .withColumn("vector_b", indicator("union", right))
-        .withColumn("cosine", F.round(cosine("vector_a", "vector_b"), 3))
-    )
+    """Union of two token sets and their 0/1 vectors over it, with the cosine of the vectors.
+
+    The union lists the left tokens first, so only these are looked up (in Arrow batches), each once; what follows
+    them is in the right set alone. The work is linear in the tokens. The products of 0/1 vectors are counts.
+    """
+    found = lambda x: F.when(x.isNull(), 0.0).otherwise(1.0)  # noqa: E731  a null is no member of any set
+    own, more = F.size("_left"), F.size("union") - F.size("_left")
+    only_right = F.slice("union", own + 1, more)
+    whole = pairs.withColumn("_left", F.array_distinct(left)).withColumn("union", F.array_union(left, right))
+    marked = whole.withColumn("_in", _members("_left", F.when(F.col("union").isNotNull(), F.col(right))))
+    vectors = marked.withColumns({
+        "vector_a": F.when(F.col("union").isNotNull(), F.concat(F.transform("_left", found), F.array_repeat(F.lit(0.0), more))),
+        "vector_b": F.concat("_in", F.transform(only_right, found)),
+    })
+    ones = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
+    cosine_of_sets = F.try_divide(ones("_in"), F.sqrt(ones("vector_a")) * F.sqrt(ones("vector_b")))
+    return vectors.withColumn("cosine", F.round(cosine_of_sets, 3)).drop("_left", "_in")

@@ -1,6 +1,7 @@
 import hashlib
 import json
 import re
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -209,6 +210,24 @@ def test_cosine_examples(spark):
     assert row["cosine"] == round(1 / 6 ** 0.5, 3)
 
 
+def test_set_vectors_look_each_token_up_once(spark):
+    """Repeats, nulls and empty sets as by ``indicator``; long sets in linear time."""
+    sets = [["b", "a", "b"], ["a", "c", None], [None], [], None, ["c", "b", "c", "d"]]
+    df = spark.createDataFrame([(a, b) for a in sets for b in sets], "a array<string>, b array<string>")
+    union = F.array_union("a", "b")
+    want = df.withColumn("union", union).withColumns({v: columns.indicator("union", s) for v, s in (("vector_a", "a"), ("vector_b", "b"))})
+    want = want.withColumn("cosine", F.round(columns.cosine("vector_a", "vector_b"), 3))
+    key = lambda r: str(r)
+    got = similarity.set_pair_vectors(df, "a", "b")
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    words = F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.concat(F.lit("w"), i.cast("string")))
+    long = spark.range(1).select(words.alias("a"), F.reverse(words).alias("b"))
+    start = time.monotonic()
+    assert similarity.set_pair_vectors(long, "a", "b").select("cosine").first()[0] == 1.0
+    assert time.monotonic() - start < 20  # 7.2 billion comparisons before
+
+
 TOKENS = st.lists(st.sampled_from(list("abcdefgh")), min_size=1, max_size=6)
 
 
