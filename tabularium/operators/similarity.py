@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions.columns import cosine, squared_distance
+from tabularium.operators.order_stats import global_row_number
 from tabularium.session import stored
 
 FREQUENT_TOKENS = 10_000
+SKETCH_WORDS = 16  # of 64 bits
 
 
 def keyed_dot(
@@ -94,88 +96,93 @@ def cosine_pairs(
 ) -> DataFrame:
     """Every pair of distinct token sets whose cosine |A & B| / sqrt(|A| |B|) reaches the bound.
 
-    Prefix filtering, exact for any positive bound: two sets that reach it share at least
-    bound^2 * |A| tokens, so they must share one of the first |A| - ceil(bound^2 * |A|) + 1 tokens
-    of A in any common order. Rare tokens come first in that order (every token by its frequency), which
-    keeps common tokens out of the join; sizes must be within a factor bound^2, which the join key checks in size bands.
+    Prefix filtering, exact for any positive bound: two sets that reach it share at least ``w`` = bound * sqrt(|A| |B|)
+    tokens, so the first |A| - w + 1 tokens of A and the first |B| - w + 1 of B in any common order share one. With
+    bound^2 |B| <= |A| <= |B|, ``w`` is at least bound * |A| and bound^2 * |B|, which gives each side its prefix. Rare tokens
+    come first in that order: tokens are numbered by frequency, and the numbers stand for them from there on. Sizes are
+    checked in size bands by the join key.
+
+    Where two prefixes meet, a pair goes on only if the tokens left behind the place can still make up ``w``, and if
+    sketches allow it: bit k of a set's sketch is the parity of its tokens with hash k, so the sketches of two sets differ
+    in no more bits than the sets in tokens. Both are checked where the rows meet, before anything is shuffled.
     """
     if not 0.0 < min_cosine <= 1.0:
         raise ValueError("the bound must be in (0, 1]")
     share = min_cosine * min_cosine
-    exploded = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    counts = stored(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-    head = F.broadcast(counts.orderBy(F.col("df").desc(), "token").limit(frequent))
+    exploded = sets.select("set_id", "size", "copies", F.explode("tokens").alias("token"))
+    counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    numbered = stored(global_row_number(counts, ["df", "token"], "id"))
+    every, lonely = numbered.agg(F.count(F.lit(1)), F.count_if(F.col("df") == 1)).first()
+    head = F.broadcast(numbered.orderBy(F.col("id").desc()).limit(frequent).select("token", "id"))
     # The ``frequent`` commonest tokens (a fixed number) are matched where they are; the rarer ones are shuffled.
-    rare = exploded.join(head.select("token"), "token", "left_anti").join(counts, "token")
-    ranked = (
-        exploded.join(head, "token")
-        .unionByName(rare)
-        .groupBy("set_id", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ordered"))
+    rare = exploded.join(head.select("token"), "token", "left_anti").join(numbered.select("token", "id"), "token")
+    numbers = exploded.join(head, "token").unionByName(rare).withColumn("id", F.col("id").cast("int" if every < 1 << 31 else "long"))
+    h = F.xxhash64("id")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    word = F.pmod(F.shiftright(h, 6), F.lit(SKETCH_WORDS))
+    sketch = [f"sketch{i}" for i in range(SKETCH_WORDS)]
+    ranked = stored(
+        numbers.groupBy("set_id", "size", "copies").agg(
+            F.sort_array(F.collect_list("id")).alias("ids"),
+            *(F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(c) for i, c in enumerate(sketch)),
+        )
     )
     # The tiny slack keeps rounding from shortening a prefix.
-    needed = F.ceil(F.col("size") * share - 1e-9)
-    length = (F.col("size") - needed + 1).cast("int")
+    length = lambda least: (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).cast("int")
     step = -math.log(share) if share < 1.0 else 1.0
     band = F.floor(F.ln("size") / F.lit(step)).cast("int") if share < 1.0 else F.col("size")
     keyed = ranked.select(
-        "set_id",
-        "size",
-        band.alias("band"),
-        (F.col("size") - length).alias("rest"),
-        F.element_at("ordered", length).alias("last"),
-        F.explode(F.transform(F.slice("ordered", 1, length), lambda s: s["token"])).alias("token"),
-    )
+        "set_id", "size", band.alias("band"), length(min_cosine).alias("short"), *sketch,
+        F.posexplode(F.slice("ids", 1, length(share))).alias("place", "token"),
+    ).filter(F.col("token") > lonely)  # what only one set has meets nothing
     reach = [0, 1] if share < 1.0 else [0]
-    small = keyed.select(
+    small = keyed.filter(F.col("place") < F.col("short")).select(
         F.col("set_id").alias("a"),
         F.col("size").alias("size_a"),
-        F.col("rest").alias("rest_a"),
-        F.col("last").alias("last_a"),
+        F.col("place").alias("place_a"),
+        *(F.col(c).alias(f"{c}_a") for c in sketch),
         "token",
         F.explode(F.array(*[F.col("band") + F.lit(r) for r in reach])).alias("band"),
     )
     large = keyed.select(
         F.col("set_id").alias("b"),
         F.col("size").alias("size_b"),
-        F.col("rest").alias("rest_b"),
-        F.col("last").alias("last_b"),
+        F.col("place").alias("place_b"),
+        *(F.col(c).alias(f"{c}_b") for c in sketch),
         "token",
         "band",
     )
     later = (F.col("size_a") < F.col("size_b")) | (
         (F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b"))
     )
-    # Shared tokens are either in both prefixes (counted here) or behind the prefix that ends
-    # first in the common order, so the count plus that remainder bounds the overlap.
-    behind = F.when(F.col("last_a") <= F.col("last_b"), F.col("rest_a")).otherwise(F.col("rest_b"))
     wanted = F.sqrt(F.col("size_a").cast("double") * F.col("size_b")) * min_cosine - 1e-9
+    # For the first token a pair shares, no shared token stands before it.
+    behind = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0))
     candidates = (
         small.join(large, ["token", "band"])
         .filter(later & (F.col("size_a") >= F.col("size_b") * share - 1e-9))
-        .groupBy("a", "b", "size_a", "size_b", behind.alias("behind"))
-        .agg(F.count(F.lit(1)).alias("met"))
-        .filter(F.col("met") + F.col("behind") >= wanted)
+        .filter(behind >= wanted)
+        .filter(F.col("size_a") + F.col("size_b") - apart >= 2 * wanted)
         .select("a", "b")
+        .distinct()
     )
-    left = sets.select(
-        F.col("set_id").alias("a"), F.col("tokens").alias("ta"), F.col("copies").alias("ca")
-    )
-    right = sets.select(
-        F.col("set_id").alias("b"), F.col("tokens").alias("tb"), F.col("copies").alias("cb")
-    )
-    shared = F.size(F.array_intersect("ta", "tb"))
+    sides = [
+        ranked.select(F.col("set_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("ids", "size", "copies")))
+        for x in ("a", "b")
+    ]
+    shared = F.size(F.array_intersect("ids_a", "ids_b"))
     matched = (
-        candidates.join(left, "a")
-        .join(right, "b")
+        candidates.join(sides[0], "a")
+        .join(sides[1], "b")
         .select(
             "a",
             "b",
-            "ca",
-            "cb",
+            F.col("copies_a").alias("ca"),
+            F.col("copies_b").alias("cb"),
             shared.alias("shared"),
-            (F.size("ta") + F.size("tb") - shared).alias("united"),
-            (shared / F.sqrt(F.size("ta").cast("double") * F.size("tb"))).alias("cosine"),
+            (F.col("size_a") + F.col("size_b") - shared).alias("united"),
+            (shared / F.sqrt(F.col("size_a").cast("double") * F.col("size_b"))).alias("cosine"),
         )
         .filter(F.col("cosine") >= min_cosine)
     )

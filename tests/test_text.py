@@ -1,11 +1,13 @@
 import hashlib
 import json
+import random
 import re
 import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import columns, text as tx
@@ -210,6 +212,21 @@ def test_cosine_examples(spark):
     assert row["cosine"] == round(1 / 6 ** 0.5, 3)
 
 
+def test_cosine_pairs_shuffle_few_candidates(spark, monkeypatch):
+    """Sets with many common words, few of them alike: pairs that cannot reach the bound are left out where they meet."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    bags = [rng.sample(words, 60) for _ in range(400)]
+    bags += [bag[:-4] + [f"x{i}"] for i, bag in enumerate(bags[:20])]
+    sets = similarity.distinct_sets(spark.createDataFrame(list(enumerate(bags)), "id int, tokens array<string>"), "id", "tokens")
+    seen = []
+    distinct = DataFrame.distinct
+    monkeypatch.setattr(DataFrame, "distinct", lambda df: seen.append(distinct(df)) or seen[-1])
+    pairs = similarity.cosine_pairs(sets, 0.8).collect()
+    assert sorted((r["set_a"], r["set_b"]) for r in pairs) == [(i, 400 + i) for i in range(20)]
+    assert seen and seen[-1].count() < 100  # of 88,000 pairs, most with a token in both prefixes
+
+
 def test_set_vectors_look_each_token_up_once(spark):
     """Repeats, nulls and empty sets as by ``indicator``; long sets in linear time."""
     sets = [["b", "a", "b"], ["a", "c", None], [None], [], None, ["c", "b", "c", "d"]]
