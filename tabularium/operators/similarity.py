@@ -109,7 +109,9 @@ def cosine_pairs(
     if not 0.0 < min_cosine <= 1.0:
         raise ValueError("the bound must be in (0, 1]")
     share = min_cosine * min_cosine
-    exploded = sets.select("set_id", "size", "copies", F.explode("tokens").alias("token"))
+    # A set listed in several rows stays several rows, each with a sketch of its own.
+    sets = stored(sets.withColumn("_row", F.monotonically_increasing_id()))
+    exploded = sets.select("_row", "set_id", "size", "copies", F.explode("tokens").alias("token"))
     counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     numbered = stored(global_row_number(counts, ["df", "token"], "id"))
     every, lonely = numbered.agg(F.count(F.lit(1)), F.count_if(F.col("df") == 1)).first()
@@ -122,7 +124,7 @@ def cosine_pairs(
     word = F.pmod(F.shiftright(h, 6), F.lit(SKETCH_WORDS))
     sketch = [f"sketch{i}" for i in range(SKETCH_WORDS)]
     ranked = stored(
-        numbers.groupBy("set_id", "size", "copies").agg(
+        numbers.groupBy("_row", "set_id", "size", "copies").agg(
             F.sort_array(F.collect_list("id")).alias("ids"),
             *(F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(c) for i, c in enumerate(sketch)),
         )

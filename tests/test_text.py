@@ -7,7 +7,6 @@ import time
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.functions import columns, text as tx
@@ -220,13 +219,21 @@ def test_cosine_pairs_shuffle_few_candidates(spark, monkeypatch):
     bags += [bag[:-4] + [f"x{i}"] for i, bag in enumerate(bags[:20])]
     sets = similarity.distinct_sets(spark.createDataFrame(list(enumerate(bags)), "id int, tokens array<string>"), "id", "tokens")
     seen = []
-    distinct = DataFrame.distinct
-    monkeypatch.setattr(DataFrame, "distinct", lambda df: seen.append(distinct(df)) or seen[-1])
+    frame, distinct = type(sets), type(sets).distinct
+    monkeypatch.setattr(frame, "distinct", lambda df: seen.append(distinct(df)) or seen[-1])
     pairs = similarity.cosine_pairs(sets, 0.8).collect()
     assert sorted((r["set_a"], r["set_b"]) for r in pairs) == [(i, 400 + i) for i in range(20)]
     assert seen and seen[-1].count() < 100  # of 88,000 pairs, most with a token in both prefixes
 
 
+def test_cosine_pairs_of_repeated_sets(spark):
+    """A set in two rows gives its pairs twice."""
+    rows = [(1, list("abcde"), 5, 1), (2, list("abcdf"), 5, 2), (2, list("abcdf"), 5, 2), (3, list("xyz"), 3, 1)]
+    sets = spark.createDataFrame(rows, "set_id long, tokens array<string>, size int, copies long").repartition(3)
+    got = similarity.cosine_pairs(sets, 0.7).select("set_a", "set_b", "shared", "united").collect()
+    assert [tuple(r) for r in got] == [(1, 2, 4, 6)] * 2
+
+
 def test_set_vectors_look_each_token_up_once(spark):
     """Repeats, nulls and empty sets as by ``indicator``; long sets in linear time."""
     sets = [["b", "a", "b"], ["a", "c", None], [None], [], None, ["c", "b", "c", "d"]]
