@@ -9,7 +9,7 @@ product then is nearness on a sphere, without hubs made by long vectors.
 projections. A round joins the lists of all nodes (their neighbours and a sample of the nodes that list
 them) with the vectors in them, compares the neighbours of a node with each other where one of the two is
 new, and merges what is nearer into the lists, until few edges change (``CHANGED``). Lists are joined
-block by block (2,048 nodes), so a vector travels once to each block that needs it and a task holds one
+block by block (256 nodes), so a vector travels once to each block that needs it and a task holds one
 block. Reverse lists are samples by hash and merges take the best by windows that Spark limits before the
 shuffle: no node's list grows with the table.
 
@@ -41,6 +41,7 @@ OFFERS = 8  # of a node's list to each of its members, a round
 CHANGED = 0.1  # share of new edges below which the graph is done
 ROUNDS = 12
 BLOCK = 2048
+LIST_BLOCK = 256  # a vector has 80 lists at most, so from some 100 blocks on it goes to nearly as many at any table size
 BEAM, EXPANDED, STEPS = 128, 32, 8
 SEED = 11
 
@@ -65,8 +66,8 @@ def valid(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.where(F.size("vec") == (length[0]["n"] if length else 0)).distinct()
 
 
-def block_of(node: Column) -> Column:
-    return F.floor(node / BLOCK).cast("long")
+def block_of(node: Column, size: int = BLOCK) -> Column:
+    return F.floor(node / size).cast("long")
 
 
 def make_nodes(rows: DataFrame, top: int) -> DataFrame:
@@ -240,7 +241,7 @@ def descend(sphere: DataFrame, edges: DataFrame, k: int, round_no: int) -> DataF
         edges.select(F.col("w").alias("v"), F.col("u").alias("x"), "fresh"), "v", [F.xxhash64("v", "x", F.lit(round_no)), "x"], k
     )
     lists = edges.select(F.col("u").alias("v"), F.col("w").alias("x"), "fresh").unionByName(reverse)
-    lists = lists.groupBy("v", "x").agg(F.max("fresh").alias("fresh")).withColumn("block", block_of(F.col("v")))
+    lists = lists.groupBy("v", "x").agg(F.max("fresh").alias("fresh")).withColumn("block", block_of(F.col("v"), LIST_BLOCK))
     lists = kept_table(lists, "lists")
     last = edges.groupBy(F.col("u").alias("node")).agg(F.min("sim").alias("low"), F.count("*").alias("n"))
     last = last.select("node", F.when(F.col("n") >= k, F.col("low")).alias("last"))
