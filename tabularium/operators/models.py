@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions.columns import bucket_of
+from tabularium.operators import forests
 from tabularium.operators.groups import cumulative_share
 from tabularium.session import stored
 
@@ -69,16 +70,9 @@ def forest_cv(
 
 def fit_forest(
     train: DataFrame, features: list[str], target: str, depth: int = 9, trees: int = 200, seed: int = 0
-):
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol=target,
-        maxDepth=depth,
-        numTrees=trees,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-    )
-    return forest.fit(assemble(_training_table(train, [*features, target]), features).select("features", F.col(target).cast("double")))
+) -> forests.Forest:
+    """A forest of ``trees`` trees to one depth, square root of the features per split."""
+    return forests.fit(train, features, target, depth, trees, seed)
 
 
 def importances(spark, model, features: list[str]) -> DataFrame:
