@@ -342,14 +342,14 @@ def fit(
     seed &= (1 << 63) - 1
     forest = Forest.of_roots(list(features), cuts, mean, trees)
     nodes, k = np.arange(trees, dtype=np.int32), math.ceil(math.sqrt(len(features)))
+    each = max(1, SUMS // (k * 2 * bins * 8))
     draw = np.random.default_rng([seed, trees])
     for level in range(depth):
-        picks = np.sort(draw.random((nodes.size, len(features))).argsort(axis=1)[:, :k], axis=1).astype(np.int32)
-        each = max(1, SUMS // (k * 2 * bins * 8))
-        found = [
-            _best_splits(blocks, forest, nodes[i : i + each], picks[i : i + each], level, bins, seed)
-            for i in range(0, nodes.size, each)
-        ]
+        found = []
+        for i in range(0, nodes.size, each):
+            part = nodes[i : i + each]
+            picks = np.sort(draw.random((part.size, len(features))).argsort(axis=1)[:, :k], axis=1).astype(np.int32)
+            found.append(_best_splits(blocks, forest, part, picks, level, bins, seed))
         nodes = forest.split(nodes, {c: np.concatenate([f[c] for f in found]) for c in found[0]})
         if not nodes.size:
             break
