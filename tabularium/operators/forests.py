@@ -30,6 +30,8 @@ FEW = 1_000
 #: Nodes whose sums travel in one row, and bytes of sums a task holds at once.
 SHARE, SUMS = 32, 1 << 27
 LEAF = 255
+#: Bin numbers of a block, and the bits for a place among them.
+CELLS, OFFSETS = 1 << 22, (1 << 24) - 1
 
 #: Poisson(1) weights by 16 random bits; where the bits hold a step of the distribution, more bits decide.
 _STEPS = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(19)])
@@ -41,7 +43,7 @@ _WEIGHTS = np.where(_LOW == _HIGH, _LOW, 255).astype(np.uint8)
 def bootstrap(size: int, *key: int) -> np.ndarray:
     """How often each of ``size`` rows is drawn: Poisson(1), the same for the same key."""
     draw = np.random.Generator(np.random.SFC64(list(key)))
-    bits = draw.integers(0, 65536, size, dtype=np.uint16)
+    bits = draw.bit_generator.random_raw((size + 3) // 4).view(np.uint16)[:size]
     weights = _WEIGHTS.take(bits)
     open_ = np.flatnonzero(weights == 255)
     weights[open_] = np.searchsorted(_STEPS, (bits[open_] + draw.random(open_.size)) / 65536, side="right")
@@ -188,17 +190,18 @@ class Forest:
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """The mean over all trees; null where a feature is null or not a number."""
         cuts, trees, depth, values = self.cuts, self.trees, self.depth, self.values()
-        feature, cut, left = self.feature, self.cut, self.left
+        nodes, most = (self.feature, self.cut, self.left), max(1, CELLS // len(cuts))
 
         @F.pandas_udf("double")
         def predict(rows: pd.DataFrame) -> pd.Series:
-            x = rows.to_numpy(float)
-            n = len(x)
-            flat = np.concatenate([_binned(x[:, i], c) for i, c in enumerate(cuts)])
-            offset, index, out = feature.astype(np.int64) * n, np.arange(n), np.zeros(n)
-            for t in range(trees):
-                out += values.take(_walk(flat, offset, cut, left, np.full(n, t, np.int32), index, depth))
-            return pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, out / trees))
+            whole, out = rows.to_numpy(float), np.zeros(len(rows))
+            for start in range(0, len(rows), most):
+                x = whole[start : start + most]
+                flat = np.concatenate([_binned(x[:, i], c) for i, c in enumerate(cuts)])
+                steps, index = _steps(*nodes, len(x)), np.arange(len(x))
+                for t in range(trees):
+                    out[start : start + most] += values.take(_walk(flat, steps, t, index, depth))
+            return pd.Series(np.where(np.isnan(whole).any(axis=1), np.nan, out / trees))
 
         return df.withColumn(
             name, predict(F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.features)]))
@@ -219,9 +222,17 @@ class Forest:
         )
 
 
-def _walk(flat, offset, cut, left, at, index, steps):
-    for _ in range(steps):
-        at = left.take(at) + (flat.take(offset.take(at) + index) > cut.take(at))
+def _steps(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+    """What a step reads of a node, in one number: left child, start of the feature's ``size`` bins, cut."""
+    return (left.astype(np.int64) << 32) | (feature.astype(np.int64) * size << 8) | cut
+
+
+def _walk(flat: np.ndarray, steps: np.ndarray, tree: int, index: np.ndarray, levels: int) -> np.ndarray:
+    """The node that each row of ``index`` reaches from the root of the tree."""
+    at = np.full(index.size, tree, np.int64)
+    for _ in range(levels):
+        step = steps.take(at)
+        at = (step >> 32) + (flat.take((step >> 8 & OFFSETS) + index) > step.astype(np.uint8))
     return at
 
 
@@ -229,29 +240,29 @@ def _best_splits(
     blocks: DataFrame, forest: Forest, nodes: np.ndarray, picks: np.ndarray, level: int, bins: int, seed: int
 ) -> dict[str, np.ndarray]:
     """The best split of each of ``nodes`` among its picked features, from the sums of all blocks."""
-    feature, cut, left, p, k = forest.feature, forest.cut, forest.left, len(forest.features), picks.shape[1]
-    place = np.full(left.size, -1, np.int32)
+    tables, k = (forest.feature, forest.cut, forest.left), picks.shape[1]
+    place = np.full(forest.left.size, -1, np.int32)
     place[nodes] = np.arange(nodes.size, dtype=np.int32)
     trees, firsts = np.unique(forest.tree[nodes], return_index=True)
     ends = np.append(firsts[1:], nodes.size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((nodes.size, k, 2, bins))
+        held, places, slots = np.zeros((nodes.size, k, 2, bins)), place.astype(np.int64), picks.T.astype(np.int64)
         for batch in batches:
             for block, n, packed, raw in zip(*[batch.column(c) for c in ("block", "size", "bins", "labels")]):
                 n = n.as_py()
                 flat = np.frombuffer(packed.as_buffer(), np.uint8)
                 labels = np.frombuffer(raw.as_buffer(), float)
-                offset, picked = feature * np.int32(n), (picks.T * np.int32(n)).copy()
+                steps, picked = _steps(*tables, n), np.ascontiguousarray(slots * n)
                 for t, first, end in zip(trees.tolist(), firsts.tolist(), ends.tolist()):
                     weights = bootstrap(n, seed, block.as_py(), t)
-                    index = np.flatnonzero(weights).astype(np.int32)
-                    to = place.take(_walk(flat, offset, cut, left, np.full(index.size, t, np.int32), index, level))
+                    index = np.flatnonzero(weights > 0)
+                    to = places.take(_walk(flat, steps, t, index, level))
                     if (to < 0).any():
                         index, to = index[to >= 0], to[to >= 0]
                     w = weights.take(index).astype(float)
                     y = w * labels.take(index)
-                    base, cells = (to - np.int32(first)) * np.int32(bins), (end - first) * bins
+                    base, cells = (to - first) * bins, (end - first) * bins
                     for j in range(k):
                         key = base + flat.take(picked[j].take(to) + index)
                         held[first:end, j, 0] += np.bincount(key, w, cells).reshape(-1, bins)
@@ -336,7 +347,7 @@ def fit(
     bins = max(2, min(bins, LEAF + 1, count))
     cuts = cut_points(rows, columns, bins)
     cores = train.sparkSession.sparkContext.defaultParallelism
-    size = max(1024, min(BLOCK, (BLOCK << 6) // len(features), count // (4 * cores)))
+    size = max(1, min(BLOCK, CELLS // len(features), max(1024, count // (4 * cores))))
     blocks = _packed(rows, columns, cuts, mean, size, max(cores, count // FILE))
 
     seed &= (1 << 63) - 1
