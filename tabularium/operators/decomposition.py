@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.session import stored
+from tabularium.session import discard, stored
 
 FAN = 16
 
@@ -34,22 +34,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=float).reshape(len(column), -1)
 
 
-def triangular_factor(df: DataFrame, column: str, right: np.ndarray | None = None) -> np.ndarray:
-    """R of the QR decomposition of the rows (times ``right``, if given), by tree reduction."""
+def _unpacked(column: pa.Array, width: int) -> list[np.ndarray]:
+    return [np.frombuffer(value.as_buffer()).reshape(-1, width) for value in column]
+
+
+def triangular_factor(df: DataFrame, column: str, right: np.ndarray | None = None, packed: int | None = None) -> np.ndarray:
+    """R of the QR decomposition of the rows (times ``right``, if given), by tree reduction.
+
+    ``packed``: every value of ``column`` is a binary with the doubles of many rows of that width.
+    """
 
     def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = None
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch.column(0))
+            values = batch.column(0)
+            for x in [_matrix(values)] if packed is None and batch.num_rows else [] if packed is None else _unpacked(values, packed):
                 x = x if right is None else x @ right
                 r = np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")
         if r is not None:
             part = pa.array([TaskContext.get().partitionId()], pa.int64())
             yield pa.RecordBatch.from_arrays([part, pa.array([r.tobytes()], pa.binary())], ["part", "r"])
 
-    picked = _complete(df, column).select(column)
-    first = picked.first()
+    picked = _complete(df, column).select(column) if packed is None else df.select(column)
+    first = picked.first() if packed is None else [range(packed)]
     width = right.shape[1] if right is not None else len(first[0]) if first else 0
 
     def joined(parts) -> np.ndarray:
@@ -63,6 +70,7 @@ def triangular_factor(df: DataFrame, column: str, right: np.ndarray | None = Non
         groups = level.groupBy(F.floor(F.col("part") / FAN).alias("to"))
         level = stored(groups.applyInPandas(merged, "part long, r binary"))
     found = [row["r"] for row in level.orderBy("part").collect()]
+    discard(level)
     return joined(found) if found else np.zeros((0, width))
 
 

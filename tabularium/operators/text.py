@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -26,6 +27,8 @@ FREQUENT_WORDS = 10_000
 DEPTH = 12
 #: Words of texts whose neighbours a task adds up before it hands them on.
 COMBINE = 1 << 18
+#: Words of texts that a task counts, or numbers, at a time.
+WORDS = 1 << 20
 #: Bits that tell which words are frequent (16 MB), and how many of them a task sets at a time.
 KNOWN_BITS, PIECE = 1 << 27, 1 << 22
 
@@ -54,12 +57,15 @@ def words_of(df: DataFrame, text: str = "text") -> DataFrame:
 
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n, index)``: index 1 for the most frequent word, ties in word order."""
-    counts = (
-        df.select(F.explode(F.split(text, " +")).alias("word"))
-        .filter(F.col("word") != "")
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, code, _ in word_groups(batches, WORDS):
+            n = pa.array(np.bincount(code, minlength=len(names)).astype(np.int64))
+            for lo in range(0, len(names), 1 << 16):
+                yield pa.RecordBatch.from_arrays([x.slice(lo, 1 << 16) for x in (names, n)], ["word", "n"])
+
+    parts = df.select(F.col(text).cast("string")).mapInArrow(run, "word string, n long")  # a task counts, only counts are shuffled
+    counts = parts.groupBy("word").agg(F.sum("n").alias("n"))
     return global_row_number(counts, [F.col("n").desc(), F.col("word").asc()], "index")
 
 
@@ -138,26 +144,42 @@ def maybe_known(shared, names: list[str]) -> np.ndarray:
     return (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def word_batches(batches: Iterator[pa.RecordBatch], most: int = COMBINE) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
-    """Texts in groups of about ``most`` words: the distinct words, the word number of every place, the text of every place."""
-    names, words, sizes = {}, [], []
+def word_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Texts in groups of about ``most`` words: the distinct words, the word number of every place, the words of every text."""
+    held, sizes, many = [], [], 0
 
     def group():
-        code = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
-        return list(names), code, np.repeat(np.arange(len(sizes)), sizes)
+        found = pa.concat_arrays(held).dictionary_encode()
+        return found.dictionary, found.indices.to_numpy(), np.concatenate(sizes)
 
     for batch in batches:
-        for text in batch.column(0):
-            here = [w for w in (text.as_py() or "").split(" ") if w]
-            words += here
-            sizes.append(len(here))
-            if len(words) >= most:
+        column = batch.column(0).cast(pa.large_string())
+        long = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())
+        ends = np.searchsorted(long, np.arange(1, (long[-1] if len(long) else 0) // (8 * most) + 1) * (8 * most), "right")
+        bounds = np.unique(np.r_[0, ends, len(column)])  # long texts are split a few at a time
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            lists = pc.split_pattern(column.slice(lo, hi - lo), " ")
+            words, length = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+            if not real.all():
+                length = np.bincount(np.repeat(np.arange(len(length)), length)[real], minlength=len(length))
+                words = words.filter(pa.array(real))
+            held.append(words)
+            sizes.append(length)
+            many += len(words)
+            if many >= most:
                 yield group()
-                names, words, sizes = {}, [], []
-    if words:
+                held, sizes, many = [], [], 0
+    if many:
         yield group()
 
 
+def word_batches(batches: Iterator[pa.RecordBatch], most: int = COMBINE) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Texts in groups of about ``most`` words: the distinct words, the word number of every place, the text of every place."""
+    for names, code, sizes in word_groups(batches, most):
+        yield names.to_pylist(), code.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+
+
 def _context_task(shared, size: int, window: int):
     """(word, dim, value) of groups of texts."""
 

@@ -24,8 +24,8 @@ def word_affinity(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of words that stand near each other more often than by chance: counts and mutual information."""
     df = _texts(spark, sf)
     vocab = stored(ops.vocabulary(df))
-    pairs = word_factors.word_pairs(df, window=WINDOW, known=vocab.where(F.col("n") >= MIN_COUNT))
-    cells = word_factors.affinity(pairs, vocab, MIN_COUNT)
+    pairs = word_factors.word_pairs(df, window=WINDOW, known=vocab.where(F.col("n") >= MIN_COUNT), packed=True)
+    cells = word_factors.affinity(pairs, vocab, MIN_COUNT, upper=True)
     return cells.where("i <= j").select("i", "j", "n", fixed("v", 6).alias("affinity"))
 
 

@@ -88,4 +88,16 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``stored`` before ``release`` does: nothing may read it any more."""
+    spark, path = table.sparkSession, table.stored_path
+    kind = spark._jvm.org.apache.hadoop.fs.Path
+    kind(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(kind(path), True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)

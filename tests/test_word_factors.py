@@ -129,3 +129,93 @@ def test_pairs_of_known_words(spark):
     known = spark.createDataFrame([("a",), ("b",)], "word string")
     got = {(r["a"], r["b"]): r["n"] for r in wf.word_pairs(df, window=2, known=known).collect()}
     assert got == {k: n for k, n in brute_pairs(TEXT, 2).items() if set(k) <= {"a", "b"}}
+
+
+def numbered(texts, vocab, min_count, window):
+    index = {r["word"]: r["index"] for r in vocab.collect() if r["n"] >= min_count}
+    wanted = Counter()
+    for (a, b), n in brute_pairs(texts, window).items():
+        if a in index and b in index:
+            wanted[tuple(sorted((index[a], index[b])))] += n
+    return wanted
+
+
+def unpacked(blocks):
+    out = Counter()
+    for r in (r.asDict() for r in blocks.collect()):
+        key, n = wf._places(bytes(r["gaps"]), r["many"]), wf._spread(bytes(r["ns"]), r["many"])
+        for k, m in zip(key.tolist(), n.tolist()):
+            i, j = (k // r["wide"]) * r["parts"] + r["bi"], (k % r["wide"]) * r["parts"] + r["bj"]
+            assert (i, j) not in out
+            out[i, j] = m
+    return out
+
+
+@pytest.mark.parametrize("group", [1, 50, 1 << 20])
+def test_pairs_of_numbers_travel_in_few_rows(spark, monkeypatch, group):
+    monkeypatch.setattr(wf, "BLOCK", 64)
+    monkeypatch.setattr(wf, "LEAST", 3)
+    monkeypatch.setattr(wf, "PIECES", 7)  # several parts in a strip
+    monkeypatch.setattr(wf, "WORDS", group)
+    texts = TEXT + talks(np.random.default_rng(5), texts=60) + ["w0x1 all1"] * 300 + ["é  ü all1 "]
+    df = frame(spark, texts)
+    vocab = ops.vocabulary(df)
+    known = vocab.where("n >= 2")
+    blocks = wf.word_pairs(df, window=3, known=known, packed=True)
+    assert unpacked(blocks) == numbered(texts, vocab, 2, 3)
+    parts = {(r["bi"], r["bj"]) for r in blocks.collect()}
+    assert len(parts) == blocks.count() <= blocks.first()["parts"] ** 2  # not a row per pair
+    for least in (2, 5):  # blocks may hold words that are too rare
+        rows = {(r["i"], r["j"]): (r["n"], r["v"]) for r in wf.affinity(wf.word_pairs(df, window=3), vocab, least).collect()}
+        got = {(r["i"], r["j"]): (r["n"], r["v"]) for r in wf.affinity(blocks, vocab, least).collect()}
+        half = {(r["i"], r["j"]): (r["n"], r["v"]) for r in wf.affinity(blocks, vocab, least, upper=True).collect()}
+        assert got == rows and half == {k: v for k, v in rows.items() if k[0] <= k[1]}
+        table = exact(texts, vocab, least, 3)
+        assert {k: v for k, (_, v) in got.items()} == pytest.approx({k: table[k] for k in zip(*map(np.ndarray.tolist, np.nonzero(table)))})
+
+
+def test_words_counted_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(ops, "WORDS", 3)
+    df = frame(spark, TEXT + ["é  ü a ", " "])
+    got = {r["word"]: (r["n"], r["index"]) for r in ops.vocabulary(df).collect()}
+    assert got == {"a": (6, 1), "b": (4, 2), "c": (2, 3), "é": (1, 4), "ü": (1, 5)}
+
+
+def test_products_keep_no_vectors_on_disk(spark, monkeypatch):
+    import os
+
+    from tabularium import session
+
+    monkeypatch.setattr(wf, "BLOCK", 64)
+    texts = talks(np.random.default_rng(7), texts=200)
+    df = frame(spark, texts)
+    vocab = ops.vocabulary(df)
+    blocks = wf.affinity(wf.word_pairs(df, known=vocab, packed=True), vocab, 2, packed=True)
+    before = set(session._made[spark.sparkContext.applicationId])
+    values, vectors = wf.factorise(blocks, 40)
+    made = set(session._made[spark.sparkContext.applicationId]) - before
+    sizes = sorted(sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs) for p in made)
+    assert sum(sizes) < 1.5 * sizes[-1]  # the result, once; a table per pass and product before
+    true = np.linalg.eigvalsh(exact(texts, vocab, 2, 7))[::-1][:5]
+    assert values[:5] == pytest.approx(true, rel=1e-3) and vectors.count() == vocab.where("n >= 2").count()
+    rows, _ = wf.factorise(wf.affinity(wf.word_pairs(df), vocab, 2), 40)
+    assert rows == pytest.approx(values)
+
+
+def test_cells_of_a_part_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(wf, "BLOCK", 64)
+    rng = np.random.default_rng(1)
+    table = np.triu(rng.random((150, 150)) * (rng.random((150, 150)) < 0.2))
+    table += table.T
+    cells = spark.createDataFrame([(int(i), int(j), float(table[i, j])) for i, j in zip(*np.nonzero(table))], "i long, j long, v double")
+    parts, wide = wf._deal(149)
+    blocks = wf._blocks_of(cells, "v", parts, wide)
+    blocks = blocks.selectExpr("*", "cast(null as binary) s", "cast(null as binary) t", "cast(null as double) total", "cast(null as long) last")
+    start = rng.standard_normal((parts * wide, 4))
+    sent = [(p, b"", np.ascontiguousarray(start[p::parts][:wide]).tobytes()) for p in range(parts)]
+    got = wf.product(blocks.repartition(5), spark.createDataFrame(sent, wf.PARTS), wide, 4, np.eye(4))
+    out = np.zeros_like(start)
+    for r in got.collect():
+        out[r["part"] :: parts][:wide] = np.frombuffer(bytes(r["vec"])).reshape(wide, 4)
+    assert out[:150] == pytest.approx(table @ start[:150])
+    got.unpersist()
