@@ -20,7 +20,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +32,8 @@ from tabularium.session import discard, stored
 BLOCK, LEAST = 8192, 12
 #: Partial matrices added up at a time.
 FAN = 32
+#: Words whose vectors travel together.
+HAND = 2048
 #: Rows into which the pairs of a group of texts fall, at most about.
 PIECES = 2048
 #: Rows of a block multiplied together, and how many of them a column needs to be multiplied densely.
@@ -175,8 +177,6 @@ def _pair_blocks(df: DataFrame, text: str, window: int, known: DataFrame) -> Dat
     shape = "bi int, strip int, many long, gaps binary, ns binary"
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         task = TaskContext.get().partitionId() << 32
         for k, (names, code, sizes) in enumerate(word_groups(batches, WORDS)):
             row = [pa.array([task + k]), pa.array([names], pa.list_(names.type)).cast(pa.list_(pa.string()))]
@@ -410,14 +410,18 @@ def _add_product(out: np.ndarray, i: np.ndarray, j: np.ndarray, v: np.ndarray, r
             out[start + ii[a]] += vv[a:b] @ rows[jj[a:b]]
 
 
-PARTS = "part int, ids binary, vec binary"
+#: Vectors of ``HAND`` words of a part, and which of them (by their row in the part) have cells.
+PARTS = "part int, piece int, ids binary, vec binary"
 
 
-def _part(part: int, ids: bytes, rows: np.ndarray) -> pa.RecordBatch:
-    """A row of ``PARTS``, without a copy of the vectors."""
-    data = np.ascontiguousarray(rows)
-    vec = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, data.nbytes], np.int32)), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([ids], pa.binary()), vec], ["part", "ids", "vec"])
+def _pieces(part: int, ids: np.ndarray, rows: np.ndarray, hand: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``PARTS`` for a part, without copies of its vectors."""
+    for piece, first in enumerate(range(0, len(rows), hand)):
+        data = np.ascontiguousarray(rows[first : first + hand])
+        own = ids[(ids >= first) & (ids < first + hand)].astype(np.int64).tobytes()
+        vec = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, data.nbytes], np.int32)), pa.py_buffer(data)])
+        row = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([own], pa.binary()), vec]
+        yield pa.RecordBatch.from_arrays(row, ["part", "piece", "ids", "vec"])
 
 
 def product(cells: DataFrame, vectors: DataFrame, wide: int, width: int, right: np.ndarray) -> DataFrame:
@@ -427,34 +431,44 @@ def product(cells: DataFrame, vectors: DataFrame, wide: int, width: int, right:
     gives the cells of a part to several tasks, their sums are added up.
     """
 
+    hand = HAND
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, seen = {}, {}
+        sums, seen, held = {}, {}, {}
         for batch in batches:
             vec = batch.column(batch.schema.get_field_index("vec"))
             for k, row in enumerate(_rows(batch.drop_columns(["vec"]))):
-                if row["bi"] not in sums:
-                    sums[row["bi"]], seen[row["bi"]] = np.zeros((wide, width)), np.zeros(wide, bool)
-                i, j, v = _cells(row)
-                seen[row["bi"]][i] = True
-                _add_product(sums[row["bi"]], i, j, v, np.frombuffer(vec[k].as_buffer()).reshape(wide, width))
+                at = row["bi"], row["bj"]
+                if at not in held:
+                    held[at] = [np.empty((wide, width)), -(-wide // hand)]
+                first = row["piece"] * hand
+                held[at][0][first : first + hand] = np.frombuffer(vec[k].as_buffer()).reshape(-1, width)
+                held[at][1] -= 1
+                if not held[at][1]:  # all vectors of the part are here
+                    if row["bi"] not in sums:
+                        sums[row["bi"]], seen[row["bi"]] = np.zeros((wide, width)), np.zeros(wide, bool)
+                    i, j, v = _cells(row)
+                    seen[row["bi"]][i] = True
+                    _add_product(sums[row["bi"]], i, j, v, held.pop(at)[0])
+            del vec, batch
         for part in sorted(sums):
-            ids = np.flatnonzero(seen[part]).astype(np.int64).tobytes()
-            yield _part(part, ids, sums.pop(part) @ right)
+            yield from _pieces(part, np.flatnonzero(seen[part]), sums.pop(part) @ right, hand)
 
     def merged(pieces: pa.Table) -> pa.Table:
         ids = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in pieces.column("ids")]))
         order = sorted(x.as_py() for x in pieces.column("vec"))  # the order of arrival does not show in the result
         vec = sum(np.frombuffer(x) for x in order)
-        return _frame(PARTS, [(pieces.column("part")[0].as_py(), ids.tobytes(), vec.tobytes())])
+        at = (pieces.column(c)[0].as_py() for c in ("part", "piece"))
+        return _frame(PARTS, [(*at, ids.tobytes(), vec.tobytes())])
 
     # all vectors pass through each task one by one, what a task holds are the cells of its part
-    sent = vectors.select(F.col("part").alias("at"), "vec").coalesce(1).hint("shuffle_replicate_nl")
+    sent = vectors.select(F.col("part").alias("at"), "piece", "vec").coalesce(1).hint("shuffle_replicate_nl")
     met = sent.join(cells, (F.col("bj") >= F.col("at")) & (F.col("bj") <= F.col("at"))).drop("at")
     out = met.mapInArrow(run, PARTS).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    tasks = [r["part"] for r in out.select("part").collect()]
+    tasks = [tuple(r) for r in out.select("part", "piece").collect()]
     if len(tasks) == len(set(tasks)):
         return out
-    return out.groupBy("part").applyInArrow(merged, PARTS).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    return out.groupBy("part", "piece").applyInArrow(merged, PARTS).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def _orthonormal(vectors: DataFrame, width: int) -> np.ndarray:
@@ -466,21 +480,24 @@ def _orthonormal(vectors: DataFrame, width: int) -> np.ndarray:
 
 
 def _inner(left: DataFrame, right: DataFrame, width: int, other: int) -> np.ndarray:
-    """Sum over words of the outer products of their two vectors: one partial matrix per part, added up ``FAN`` at a time."""
+    """Sum over words of the outer products of their two vectors: one partial matrix per task, added up ``FAN`` at a time."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, other))
         for batch in batches:
             for row in _rows(batch):
                 a, b = np.frombuffer(row["vec"]).reshape(-1, width), np.frombuffer(row["other"]).reshape(-1, other)
-                yield from _batches("part int, sum binary", [(row["part"], (a.T @ b).tobytes())])
+                total += a.T @ b
+        yield from _batches("part int, sum binary", [(TaskContext.get().partitionId(), total.tobytes())])
 
     def merged(pieces: pa.Table) -> pa.Table:
         found = sorted(zip(pieces.column("part").to_pylist(), pieces.column("sum").to_pylist()))
         return _frame("part int, sum binary", [(found[0][0] // FAN, sum(np.frombuffer(x) for _, x in found).tobytes())])
 
-    sent = left.select(F.col("part").alias("at"), "vec").coalesce(1).hint("shuffle_replicate_nl")
-    there = right.select("part", F.col("vec").alias("other"))
-    both = sent.join(there, (F.col("part") >= F.col("at")) & (F.col("part") <= F.col("at"))).drop("at")
+    sent = left.select(F.col("part").alias("at"), F.col("piece").alias("of"), "vec").coalesce(1).hint("shuffle_replicate_nl")
+    there = right.select("part", "piece", F.col("vec").alias("other"))
+    same = [(F.col(a) >= F.col(b)) & (F.col(a) <= F.col(b)) for a, b in (("part", "at"), ("piece", "of"))]
+    both = sent.join(there, same[0] & same[1]).select("vec", "other")
     level = _stored(both.mapInArrow(partial, "part int, sum binary"))
     while level.count() > FAN:
         groups = level.groupBy(F.floor(F.col("part") / FAN).alias("to"))
@@ -540,13 +557,15 @@ def _factorised(blocks: DataFrame, size: int, more: int, passes: int, seed: int)
     if not width:
         return np.zeros(0), spark.createDataFrame([], VECTORS)
 
+    hand = HAND
+
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                vec = np.zeros((wide, width))
-                for i in np.frombuffer(row["ids"], np.int64).tolist():
+                vec, ids = np.zeros((wide, width)), np.frombuffer(row["ids"], np.int64)
+                for i in ids.tolist():
                     vec[i] = np.random.default_rng([seed, i * parts + row["part"]]).standard_normal(width)
-                yield _part(row["part"], row["ids"], vec)
+                yield from _pieces(row["part"], ids, vec, hand)
 
     basis = words.repartition(parts).mapInArrow(start, PARTS).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     basis.select("part").collect()  # before its first use, so that a task of that needs one Python process
@@ -567,17 +586,18 @@ def _factorised(blocks: DataFrame, size: int, more: int, passes: int, seed: int)
     def cubes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                cube = ((np.frombuffer(row["vec"]).reshape(wide, width) @ final) ** 3).sum(axis=0)
-                yield from _batches("part int, sum binary", [(row["part"], cube.tobytes())])
+                cube = ((np.frombuffer(row["vec"]).reshape(-1, width) @ final) ** 3).sum(axis=0)
+                yield from _batches("part int, piece int, sum binary", [(row["part"], row["piece"], cube.tobytes())])
 
-    sums = sorted((r["part"], bytes(r["sum"])) for r in basis.mapInArrow(cubes, "part int, sum binary").collect())
-    signs = np.where(sum((np.frombuffer(x) for _, x in sums), np.zeros(len(kept))) < 0, -1.0, 1.0)
+    found = basis.mapInArrow(cubes, "part int, piece int, sum binary").collect()
+    sums = sorted((r["part"], r["piece"], bytes(r["sum"])) for r in found)
+    signs = np.where(sum((np.frombuffer(x) for _, _, x in sums), np.zeros(len(kept))) < 0, -1.0, 1.0)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 ids = np.frombuffer(row["ids"], np.int64)
-                vec = (np.frombuffer(row["vec"]).reshape(wide, width) @ (final * signs))[ids]
+                vec = (np.frombuffer(row["vec"]).reshape(-1, width) @ (final * signs))[ids - row["piece"] * hand]
                 for lo in range(0, len(ids), 1024):
                     some = vec[lo : lo + 1024]
                     rows = pa.ListArray.from_arrays(np.arange(0, some.size + 1, len(kept), dtype=np.int32), pa.array(some.ravel()))

@@ -187,6 +187,7 @@ def test_products_keep_no_vectors_on_disk(spark, monkeypatch):
     from tabularium import session
 
     monkeypatch.setattr(wf, "BLOCK", 64)
+    monkeypatch.setattr(wf, "HAND", 10)
     texts = talks(np.random.default_rng(7), texts=200)
     df = frame(spark, texts)
     vocab = ops.vocabulary(df)
@@ -212,10 +213,12 @@ def test_cells_of_a_part_in_several_tasks(spark, monkeypatch):
     blocks = wf._blocks_of(cells, "v", parts, wide)
     blocks = blocks.selectExpr("*", "cast(null as binary) s", "cast(null as binary) t", "cast(null as double) total", "cast(null as long) last")
     start = rng.standard_normal((parts * wide, 4))
-    sent = [(p, b"", np.ascontiguousarray(start[p::parts][:wide]).tobytes()) for p in range(parts)]
+    monkeypatch.setattr(wf, "HAND", 10)  # several pieces of vectors
+    whole = [(p, np.ascontiguousarray(start[p::parts][:wide])) for p in range(parts)]
+    sent = [(p, k // 10, b"", x[k : k + 10].tobytes()) for p, x in whole for k in range(0, wide, 10)]
     got = wf.product(blocks.repartition(5), spark.createDataFrame(sent, wf.PARTS), wide, 4, np.eye(4))
     out = np.zeros_like(start)
     for r in got.collect():
-        out[r["part"] :: parts][:wide] = np.frombuffer(bytes(r["vec"])).reshape(wide, 4)
+        out[r["part"] :: parts][:wide][r["piece"] * 10 :][:10] = np.frombuffer(bytes(r["vec"])).reshape(-1, 4)
     assert out[:150] == pytest.approx(table @ start[:150])
     got.unpersist()
