@@ -29,11 +29,11 @@ from tabularium.operators.text import WORDS, known_words, lookup_words, maybe_kn
 from tabularium.session import discard, stored
 
 #: Words of a part, and the fewest parts if there are that many times 64 words.
-BLOCK, LEAST = 8192, 12
+BLOCK, LEAST = 4096, 12
 #: Partial matrices added up at a time.
 FAN = 32
 #: Words whose vectors travel together.
-HAND = 2048
+HAND = 1024
 #: Rows into which the pairs of a group of texts fall, at most about.
 PIECES = 2048
 #: Rows of a block multiplied together, and how many of them a column needs to be multiplied densely.
