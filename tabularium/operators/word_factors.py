@@ -61,7 +61,7 @@ def _settings(spark: SparkSession, **conf: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def tidy_stored(df: DataFrame) -> DataFrame:
     """``stored``; the shuffle files of the job are deleted at its end."""
     with _settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         return stored(df)
@@ -231,11 +231,11 @@ def _pair_blocks(df: DataFrame, text: str, window: int, known: DataFrame) -> Dat
         return _frame(PLACED, rows)
 
     row = "group long, words array<string>, codes binary, sizes binary, places long, texts long"
-    groups = _stored(df.select(F.col(text).cast("string")).mapInArrow(numbered, row))
+    groups = tidy_stored(df.select(F.col(text).cast("string")).mapInArrow(numbered, row))
     found = lookup_words(groups.select(F.col("group").alias("of"), F.posexplode("words").alias("pos", "word")), known.select("word", "index"))
     texts = groups.select("group", "codes", "sizes", "places", "texts").groupBy("group")
     pieces = texts.cogroup(found.select("of", "pos", "index").groupBy("of")).applyInArrow(counted, shape)
-    pairs = _stored(pieces.groupBy("bi", "strip").applyInArrow(merged, PLACED))
+    pairs = tidy_stored(pieces.groupBy("bi", "strip").applyInArrow(merged, PLACED))
     discard(groups)
     return pairs
 
@@ -278,7 +278,7 @@ def affinity(
         both = lookup_words(left.withColumnRenamed("b", "word"), known)
         both = both.select(F.least("i", "index").alias("i"), F.greatest("i", "index").alias("j"), "n")
         last = int(known.agg(F.max("index")).first()[0] or 0)
-        pairs = _stored(_blocks_of(both.groupBy("i", "j").agg(F.sum("n").alias("n")), "n", *_deal(last)))
+        pairs = tidy_stored(_blocks_of(both.groupBy("i", "j").agg(F.sum("n").alias("n")), "n", *_deal(last)))
     else:
         last = int(known.agg(F.max("index")).first()[0] or 0)
 
@@ -301,7 +301,7 @@ def affinity(
         return _frame(sides, [(pieces.column("part")[0].as_py(), wide, _squeeze(s), int(s.sum()))])
 
     sides = "part int, wide long, sums binary, whole long"
-    sums = _stored(pairs.mapInArrow(summed, sides).groupBy("part").applyInArrow(together, sides))
+    sums = tidy_stored(pairs.mapInArrow(summed, sides).groupBy("part").applyInArrow(together, sides))
     total = float(sums.agg(F.sum("whole")).first()[0] or 0)
     rows, columns = (sums.select(F.col("part").alias(b), F.col("sums").alias(s)) for b, s in (("bi", "s"), ("bj", "t")))
     names = [x.split(" ")[0] for x in WEIGHED.split(", ")]
@@ -498,10 +498,10 @@ def _inner(left: DataFrame, right: DataFrame, width: int, other: int) -> np.ndar
     there = right.select("part", "piece", F.col("vec").alias("other"))
     same = [(F.col(a) >= F.col(b)) & (F.col(a) <= F.col(b)) for a, b in (("part", "at"), ("piece", "of"))]
     both = sent.join(there, same[0] & same[1]).select("vec", "other")
-    level = _stored(both.mapInArrow(partial, "part int, sum binary"))
+    level = tidy_stored(both.mapInArrow(partial, "part int, sum binary"))
     while level.count() > FAN:
         groups = level.groupBy(F.floor(F.col("part") / FAN).alias("to"))
-        level = _stored(groups.applyInArrow(merged, "part int, sum binary"))
+        level = tidy_stored(groups.applyInArrow(merged, "part int, sum binary"))
     found = sorted((row["part"], bytes(row["sum"])) for row in level.collect())
     discard(level)
     return sum((np.frombuffer(x).reshape(width, other) for _, x in found), np.zeros((width, other)))
@@ -532,13 +532,13 @@ def factorise(
 
 
 def _factorised(blocks: DataFrame, size: int, more: int, passes: int, seed: int) -> tuple[np.ndarray, DataFrame]:
-    spark, made = blocks.sparkSession, _stored(blocks)
+    spark, made = blocks.sparkSession, tidy_stored(blocks)
     shape = made.agg(F.max("parts"), F.max("wide")).first()
     parts, wide = int(shape[0] or 1), int(shape[1] or 1)
     keys = spark.range(64 * parts).select("id", F.expr(f"pmod(hash(cast(id as int)), {parts})").alias("to"))
     keys = {r["to"]: r["id"] for r in keys.groupBy("to").agg(F.min("id").alias("id")).collect()}  # a partition of its own for each part
     chosen = F.array(*[F.lit(int(keys.get(p, p))) for p in range(parts)])[F.col("bi")].cast("int")
-    placed = _stored(made.withColumn("to", chosen).repartition(parts, "to").drop("to").mapInArrow(_joined, WEIGHED))
+    placed = tidy_stored(made.withColumn("to", chosen).repartition(parts, "to").drop("to").mapInArrow(_joined, WEIGHED))
     discard(made)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -552,7 +552,7 @@ def _factorised(blocks: DataFrame, size: int, more: int, passes: int, seed: int)
         return _frame("part int, ids binary, many long", [(pieces.column("part")[0].as_py(), ids.tobytes(), len(ids))])
 
     found = placed.select("bi", "wide", "many", "gaps").mapInArrow(present, "part int, ids binary, many long")
-    words = _stored(found.groupBy("part").applyInArrow(united, "part int, ids binary, many long"))
+    words = tidy_stored(found.groupBy("part").applyInArrow(united, "part int, ids binary, many long"))
     width = min(size + more, int(words.agg(F.sum("many")).first()[0] or 0))
     if not width:
         return np.zeros(0), spark.createDataFrame([], VECTORS)
@@ -618,7 +618,7 @@ def fit_word_vectors(
     df: DataFrame, vocab: DataFrame, text: str = "text", size: int = 300, window: int = 7, min_count: int = 10, seed: int = 0
 ) -> DataFrame:
     """The vocabulary with a learnt ``vector`` per word; NULL for words below ``min_count`` or without a positive pair."""
-    vocab = stored(vocab)
+    vocab = tidy_stored(vocab)
     pairs = word_pairs(df, text, window, vocab.where(F.col("n") >= min_count), packed=True)
     _, vectors = factorise(affinity(pairs, vocab, min_count, packed=True), size, seed=seed)
     discard(pairs)

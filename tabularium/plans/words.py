@@ -10,20 +10,19 @@ from tabularium.operators import text as ops
 from tabularium.operators import word_factors
 from tabularium.plans.common import fixed_sql, with_ctes
 from tabularium.plans.text import _CLEANED, _VOCAB
-from tabularium.session import stored
 from tabularium.sources import shapes
 
 WINDOW, MIN_COUNT, SIZE = 7, 10, 300
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return stored(ops.clean_comments(shapes.comments(spark, sf)).select("doc_id", "text"))
+    return word_factors.tidy_stored(ops.clean_comments(shapes.comments(spark, sf)).select("doc_id", "text"))
 
 
 def word_affinity(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of words that stand near each other more often than by chance: counts and mutual information."""
     df = _texts(spark, sf)
-    vocab = stored(ops.vocabulary(df))
+    vocab = word_factors.tidy_stored(ops.vocabulary(df))
     pairs = word_factors.word_pairs(df, window=WINDOW, known=vocab.where(F.col("n") >= MIN_COUNT), packed=True)
     cells = word_factors.affinity(pairs, vocab, MIN_COUNT, upper=True)
     return cells.where("i <= j").select("i", "j", "n", fixed("v", 6).alias("affinity"))
